@@ -1,0 +1,17 @@
+"""Ingest events and manifest documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from gaugelake.schema import INGEST_EVENT, MANIFEST_DOCUMENT
+
+
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """Ingest events, one JSON object per line."""
+    return spark.read.schema(INGEST_EVENT).json(path)
+
+
+def read_manifests(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """Manifest documents; the entries of ``years_loaded`` stay text until they are normalised."""
+    return spark.read.schema(MANIFEST_DOCUMENT).option("multiLine", multiline).json(path)
