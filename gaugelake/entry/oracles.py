@@ -13,6 +13,7 @@ from gaugelake.derive import (
     STATION_SQL,
 )
 from gaugelake.entry import queries as q
+from gaugelake.plans.jobs import SILVER_CODES
 from gaugelake.schema import (
     LOOKBACK_HOURS,
     MAPPED_COLUMNS,
@@ -456,7 +457,7 @@ SELECT station_id, n AS observed_hours, span AS expected_hours,
 
 
 def _gold() -> dict[str, str]:
-    order = "l_returnflag, " + ", ".join(f"{p} NULLS LAST" for p in PARAMETERS)
+    order = "l_returnflag, " + ", ".join(f"{p} NULLS LAST" for p in SILVER_CODES)
     return {
         "gold_daily_summary": f"""{_SILVER} SELECT station_id,
  CAST(CAST(timestamp AS DATE) AS VARCHAR) AS date, min(temperature_celsius) AS min_temp,

@@ -17,6 +17,7 @@ from gaugelake import derive
 from gaugelake.entry.workspace import Workspace, open_workspace
 from gaugelake.functions import fixed_point
 from gaugelake.operators import coverage, gaps, gold, manifest, planning, queries, silver
+from gaugelake.plans.jobs import SILVER_CODES
 from gaugelake.schema import (
     CATALOG_DOCUMENT,
     LOOKBACK_HOURS,
@@ -634,7 +635,7 @@ def incremental_load(w: Workspace) -> DataFrame:
             raw.land_raw(documents, landing, replace=False)
             incremental.incremental_load(
                 w.spark, landing, path, checkpoint, layout=tables.YEARLY,
-                order_by=["_ingestion_timestamp", *derive.PARAMETERS])
+                order_by=["_ingestion_timestamp", *SILVER_CODES])
 
     path = w.written("incremental", load)
     return tables.scan_silver(w.spark, path, tables.YEARLY).select(*MAPPED_COLUMNS, *QUALITY)

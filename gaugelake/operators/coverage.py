@@ -16,9 +16,11 @@ MAX_WIDE_COLUMNS = 4096
 
 def payload(docs: DataFrame) -> Column:
     """The coverage payload of either document form: under ``data`` or at top level."""
-    if "data" not in docs.columns:
-        return F.struct(*[F.col(f"`{f.name}`") for f in PAYLOAD])
+    if "coverages" not in docs.columns:
+        return F.col("data")
     bare = F.struct(*[F.col(f"`{f.name}`") for f in PAYLOAD])
+    if "data" not in docs.columns:
+        return bare
     return F.when(F.col("data").isNotNull(), F.col("data")).otherwise(bare)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugelake.operators.coverage import payload
 from gaugelake.schema import CORRUPT_COLUMN, INGEST_METADATA, RAW_DOCUMENT
 from gaugelake.sources.files import atomic_replace
 
@@ -92,15 +93,23 @@ def parse_failures(docs: DataFrame) -> DataFrame:
 
 
 def isolate_bad_files(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readable documents, outcome per file): a bad document does not stop the others."""
+    """(readable documents, outcome per file): a bad document does not stop the others.
+
+    A document that parses but holds no coverages counts as empty.
+    """
     bad = F.col(CORRUPT_COLUMN).isNotNull()
+    filled = payload(docs)["coverages"].isNotNull()
+    ok, empty = F.count_if(~bad & filled), F.count_if(~bad & ~filled)
     outcome = docs.groupBy("station_id", "year", "_source_file").agg(
-        F.count_if(~bad).alias("ok_documents"), F.count_if(bad).alias("bad_documents"))
+        ok.alias("ok_documents"), empty.alias("empty_documents"),
+        # by difference: Spark refuses a scan that needs the corrupt text but no other column
+        (F.count("*") - ok - empty).alias("bad_documents"))
     return docs.where(~bad).drop(CORRUPT_COLUMN), outcome
 
 
 def file_totals(outcome: DataFrame) -> DataFrame:
-    """Files without a bad document, out of all."""
+    """Files that were read in full and hold data, out of all."""
+    ok = (F.col("bad_documents") == 0) & (F.col("ok_documents") > 0)
     return outcome.agg(
-        F.count_if(F.col("bad_documents") == 0).alias("ok_files"),
+        F.count_if(ok).alias("ok_files"),
         F.count("*").alias("files"))

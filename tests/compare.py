@@ -74,7 +74,7 @@ if __name__ == "__main__":
         try:
             difference = compare(run(session, sf_dir), con, oracle[name])
         except Exception as e:  # noqa: BLE001 - report and go on with the next query
-            difference = f"{type(e).__name__}: {str(e)[:1500]}"
+            difference = f"{type(e).__name__}: {str(e)[-600:]}"
         bad += difference is not None
         print(f"{'OK  ' if difference is None else 'DIFF'} {name} {time.time() - start:.2f}s"
               + (f"\n     {difference}" if difference else ""), flush=True)
