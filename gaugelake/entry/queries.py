@@ -128,7 +128,7 @@ def atomic_replace(w: Workspace) -> DataFrame:
         "timestamp timestamp, temperature_celsius double, station_id string, year int").parquet(path)
     return table.groupBy("station_id", "year").agg(
         F.count("*").alias("hours"),
-        fixed_point.total(F.col("temperature_celsius"), 1).alias("total_temp"))
+        fixed_point.total("temperature_celsius", 1).alias("total_temp"))
 
 
 @_register
@@ -169,7 +169,7 @@ def _partition_summary(table: DataFrame, temperature: str) -> DataFrame:
     return table.groupBy("station_id", "year", "month").agg(
         F.count("*").alias("n_rows"), F.min("timestamp").alias("first_t"),
         F.max("timestamp").alias("last_t"),
-        fixed_point.total(F.col(temperature), 1).alias("total_temp"))
+        fixed_point.total(temperature, 1).alias("total_temp"))
 
 
 @_register

@@ -2,30 +2,29 @@
 
 from __future__ import annotations
 
+import hashlib
 import threading
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gaugelake import derive
 from gaugelake.operators import coverage, silver
 from gaugelake.plans import jobs
 from gaugelake.session import configure, shared_dir
-from gaugelake.sources import raw, tables
+from gaugelake.sources import files, raw, tables
+
+INPUTS = ["lineitem", "orders", "customer", "nation", "region"]
 
 _lock = threading.RLock()
 _open: dict[str, "Workspace"] = {}
 
 
-def _fingerprint(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
-    """Changes with any of the input files; only their directory entries are read."""
-    files = spark.read.format("binaryFile").load([f"{sf_dir}/{n}.parquet" for n in names])
-    state = files.select(
-        F.xxhash64("path", F.col("modificationTime").cast("string"), "length").alias("h"))
-    digest = state.agg(F.bit_xor("h").alias("x"), F.count("*").alias("n")).first()
-    return f"{digest['n']}-{digest['x'] & (2 ** 64 - 1):016x}"
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Changes with any of the input tables."""
+    states = [(name, files.state(spark, f"{sf_dir}/{name}.parquet")) for name in INPUTS]
+    return hashlib.sha256(repr((sf_dir, states)).encode()).hexdigest()[:16]
 
 
 class Workspace:
@@ -96,9 +95,8 @@ class Workspace:
 def open_workspace(spark: SparkSession, sf_dir: str) -> Workspace:
     configure(spark)
     sf_dir = sf_dir.rstrip("/")
-    inputs = ["lineitem", "orders", "customer", "nation", "region"]
     root = (f"{shared_dir(spark)}/gaugelake/{spark.sparkContext.applicationId}/"
-            f"{_fingerprint(spark, sf_dir, inputs)}")
+            f"{_fingerprint(spark, sf_dir)}")
     with _lock:
         if root not in _open:
             _open[root] = Workspace(spark, sf_dir, root)

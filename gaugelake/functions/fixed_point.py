@@ -4,6 +4,8 @@ Adding doubles gives other last digits whenever tasks finish in another order, a
 falls on a rounding tie then prints differently from run to run. Measurements carry at most three
 decimals, so they are added as whole thousandths, and the result is rounded half away from zero
 with integer division. Under ANSI mode a sum beyond the bigint range raises an error.
+
+Arguments are SQL expressions, mostly column names.
 """
 
 from __future__ import annotations
@@ -15,52 +17,43 @@ SCALE = 3
 UNITS = 10 ** SCALE
 
 
-def units(value: Column) -> Column:
+def units(value: str) -> str:
     """The value in whole thousandths."""
-    return F.rint(value * F.lit(float(UNITS))).cast("bigint")
+    return f"CAST(rint(({value}) * {UNITS}D) AS BIGINT)"
 
 
-def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
-    """numerator / denominator of two whole numbers, rounded half away from zero."""
-    scaled = F.abs(numerator) * F.lit(2 * 10 ** digits) + denominator
-    quotient = F.call_function("div", scaled, denominator * F.lit(2))
-    signed = F.when(numerator < 0, -quotient).otherwise(quotient)
-    return F.when(denominator > 0, signed / F.lit(float(10 ** digits)))
+def _quotient(numerator: str, denominator: str, digits: int) -> Column:
+    """numerator / denominator of whole numbers, in steps of 10 ** -digits."""
+    sign = f"CASE WHEN {numerator} < 0 THEN -1 ELSE 1 END"
+    # by way of the remainder, as twice the numerator could leave the bigint range
+    carry = f"CASE WHEN abs({numerator}) % {denominator} * 2 >= {denominator} THEN 1 ELSE 0 END"
+    return F.expr(
+        f"CASE WHEN {denominator} > 0 THEN"
+        f" {sign} * (abs({numerator}) div {denominator} + {carry}) / {10 ** digits}D END")
 
 
-def _rounded(total: Column, count: Column, digits: int) -> Column:
-    """total (in thousandths) / count, rounded half away from zero to at most three digits."""
+def mean_of_units(total: str, count: str, digits: int) -> Column:
+    """Mean from partial results: a sum of thousandths and a number of values."""
     if not 0 <= digits <= SCALE:
         raise ValueError(f"digits must lie in 0..{SCALE}")
-    step = count * F.lit(10 ** (SCALE - digits))
-    # 2 * |total| could leave the bigint range before |total| does, so split off the remainder
-    whole = F.call_function("div", F.abs(total), step)
-    rest = F.abs(total) % step
-    quotient = whole + F.when(rest * 2 >= step, 1).otherwise(0)
-    signed = F.when(total < 0, -quotient).otherwise(quotient)
-    return F.when(count > 0, signed / F.lit(float(10 ** digits)))
-
-
-def mean_of_units(total: Column, count: Column, digits: int) -> Column:
-    """Mean from partial results: a sum of thousandths and a number of values."""
-    return _rounded(total, count, digits)
+    return _quotient(f"({total})", f"(({count}) * {10 ** (SCALE - digits)})", digits)
 
 
-def sum_of_units(total: Column, digits: int = SCALE) -> Column:
+def sum_of_units(total: str, digits: int = SCALE) -> Column:
     """A sum of thousandths as a double with the given number of digits."""
-    return _rounded(total, F.lit(1).cast("bigint"), digits)
+    return mean_of_units(total, "1", digits)
 
 
-def mean(value: Column, digits: int) -> Column:
+def mean(value: str, digits: int) -> Column:
     """Aggregate: rounded mean of the non-null values, null if there are none."""
-    return mean_of_units(F.sum(units(value)), F.count(value), digits)
+    return mean_of_units(f"sum({units(value)})", f"count({value})", digits)
 
 
-def total(value: Column, digits: int = SCALE) -> Column:
+def total(value: str, digits: int = SCALE) -> Column:
     """Aggregate: rounded sum of the non-null values, null if there are none."""
-    return sum_of_units(F.sum(units(value)), digits)
+    return sum_of_units(f"sum({units(value)})", digits)
 
 
-def percent(part: Column, whole: Column, digits: int = 1) -> Column:
+def percent(part: str, whole: str, digits: int = 1) -> Column:
     """100 * part / whole of two counts."""
-    return ratio(part * F.lit(100), whole, digits)
+    return _quotient(f"(({part}) * {100 * 10 ** digits})", f"({whole})", digits)

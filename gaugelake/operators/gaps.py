@@ -19,22 +19,26 @@ def detect_gaps(table: DataFrame, min_hours: int = 1) -> DataFrame:
     """Ranges of at least ``min_hours`` missing hours between two observed ones.
 
     Repeated hours disappear before any shuffle. The remaining ones are compared with their
-    predecessor within blocks of about a year, so a station is spread over many tasks, and the
-    edges of the blocks are compared in a second step that sees two rows per block.
+    neighbours within blocks of about a year, so a station is spread over many tasks; the two ends
+    of each block are then compared from block to block. Both steps share one scan and shuffle.
     """
     hours = _hours(table).withColumn(
         "block", F.call_function("div", F.col("hour"), F.lit(_BLOCK)))
-    before = Window.partitionBy("station_id", "block").orderBy("hour")
-    within = hours.select("station_id", F.lag("hour").over(before).alias("last"), "hour")
+    inside = Window.partitionBy("station_id", "block").orderBy("hour")
+    placed = hours.select(
+        "station_id", "hour",
+        F.lag("hour").over(inside).alias("last"), F.lead("hour").over(inside).alias("next"))
 
-    edges = hours.groupBy("station_id", "block").agg(
-        F.min("hour").alias("first"), F.max("hour").alias("final"))
-    earlier = Window.partitionBy("station_id").orderBy("block")
-    between = edges.select(
-        "station_id", F.lag("final").over(earlier).alias("last"), F.col("first").alias("hour"))
+    ends = placed.where(F.col("last").isNull() | F.col("next").isNull())
+    across = Window.partitionBy("station_id").orderBy("hour")
+    between = ends.select(
+        "station_id", "hour", F.lag("hour").over(across).alias("before"), "last",
+    ).where(F.col("last").isNull()).select("station_id", "hour", F.col("before").alias("last"))
 
     missing = F.col("hour") - F.col("last") - 1
-    return within.unionByName(between).where(missing >= min_hours).select(
+    return placed.select("station_id", "hour", "last").unionByName(between).where(
+        missing >= min_hours,
+    ).select(
         "station_id",
         calendar.hour_start(F.col("last") + 1).alias("gap_start"),
         calendar.hour_start(F.col("hour") - 1).alias("gap_end"),
@@ -44,11 +48,11 @@ def detect_gaps(table: DataFrame, min_hours: int = 1) -> DataFrame:
 
 def completeness(table: DataFrame) -> DataFrame:
     """Observed hours against the hours from the first to the last observation."""
-    expected = F.max("hour") - F.min("hour") + 1
+    expected = "max(hour) - min(hour) + 1"
     return _hours(table).groupBy("station_id").agg(
         F.count("*").alias("observed_hours"),
-        expected.alias("expected_hours"),
-        fixed_point.percent(F.count("*"), expected).alias("completeness_pct"),
+        F.expr(expected).alias("expected_hours"),
+        fixed_point.percent("count(*)", expected).alias("completeness_pct"),
     )
 
 

@@ -14,9 +14,9 @@ def daily_summary(silver: DataFrame) -> DataFrame:
     return silver.groupBy("station_id", F.to_date("timestamp").alias("date")).agg(
         F.min(TEMP).alias("min_temp"),
         F.max(TEMP).alias("max_temp"),
-        fixed_point.mean(F.col(TEMP), 2).alias("avg_temp"),
-        fixed_point.total(F.col(RAIN), 1).alias("total_rainfall_mm"),
-        fixed_point.mean(F.col(HUMIDITY), 1).alias("avg_humidity"),
+        fixed_point.mean(TEMP, 2).alias("avg_temp"),
+        fixed_point.total(RAIN, 1).alias("total_rainfall_mm"),
+        fixed_point.mean(HUMIDITY, 1).alias("avg_humidity"),
     )
 
 
@@ -31,12 +31,12 @@ def _monthly_parts(silver: DataFrame) -> DataFrame:
         "station_id", F.year("timestamp").alias("year"), F.month("timestamp").alias("month"),
     ).agg(
         F.count("*").alias("hours"),
-        F.sum(fixed_point.units(F.col(TEMP))).alias("_temp"),
+        F.expr(f"sum({fixed_point.units(TEMP)}) AS _temp"),
         F.count(TEMP).alias("_temp_n"),
         F.min(TEMP).alias("min_temp"),
         F.max(TEMP).alias("max_temp"),
-        F.sum(fixed_point.units(F.col(RAIN))).alias("_rain"),
-        F.sum(fixed_point.units(F.col(HUMIDITY))).alias("_humidity"),
+        F.expr(f"sum({fixed_point.units(RAIN)}) AS _rain"),
+        F.expr(f"sum({fixed_point.units(HUMIDITY)}) AS _humidity"),
         F.count(HUMIDITY).alias("_humidity_n"),
     )
 
@@ -54,10 +54,10 @@ def monthly_comparison(silver: DataFrame, stations: DataFrame) -> DataFrame:
     """
     return _with_region(_monthly_parts(silver), stations).select(
         "region", "station_id", "station_name", "year", "month", "hours",
-        fixed_point.mean_of_units(F.col("_temp"), F.col("_temp_n"), 2).alias("avg_temp"),
+        fixed_point.mean_of_units("_temp", "_temp_n", 2).alias("avg_temp"),
         "min_temp", "max_temp",
-        fixed_point.sum_of_units(F.col("_rain"), 1).alias("total_rainfall_mm"),
-        fixed_point.mean_of_units(F.col("_humidity"), F.col("_humidity_n"), 1).alias("avg_humidity"),
+        fixed_point.sum_of_units("_rain", 1).alias("total_rainfall_mm"),
+        fixed_point.mean_of_units("_humidity", "_humidity_n", 1).alias("avg_humidity"),
     )
 
 
@@ -66,12 +66,11 @@ def monthly_by_region(silver: DataFrame, stations: DataFrame) -> DataFrame:
     return _with_region(_monthly_parts(silver), stations).groupBy("region", "year", "month").agg(
         F.count("*").alias("stations"),
         F.sum("hours").alias("hours"),
-        fixed_point.mean_of_units(F.sum("_temp"), F.sum("_temp_n"), 2).alias("avg_temp"),
+        fixed_point.mean_of_units("sum(_temp)", "sum(_temp_n)", 2).alias("avg_temp"),
         F.min("min_temp").alias("min_temp"),
         F.max("max_temp").alias("max_temp"),
-        fixed_point.sum_of_units(F.sum("_rain"), 1).alias("total_rainfall_mm"),
-        fixed_point.mean_of_units(
-            F.sum("_humidity"), F.sum("_humidity_n"), 1).alias("avg_humidity"),
+        fixed_point.sum_of_units("sum(_rain)", 1).alias("total_rainfall_mm"),
+        fixed_point.mean_of_units("sum(_humidity)", "sum(_humidity_n)", 1).alias("avg_humidity"),
     )
 
 
@@ -106,7 +105,7 @@ def wettest_days(silver: DataFrame, limit: int = 10) -> DataFrame:
     """The days with the highest rain total; a day without any value has none and sorts last."""
     return (
         silver.groupBy("station_id", F.date_trunc("day", "timestamp").alias("day"))
-        .agg(fixed_point.total(F.col(RAIN), 1).alias("total_rainfall_mm"))
+        .agg(fixed_point.total(RAIN, 1).alias("total_rainfall_mm"))
         .orderBy(F.col("total_rainfall_mm").desc_nulls_last(), "station_id", "day")
         .limit(limit)
     )

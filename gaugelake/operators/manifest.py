@@ -56,8 +56,7 @@ def missing_years(stations: DataFrame, manifest: DataFrame, start: int, end: int
 
 
 def _megabytes() -> Column:
-    size = fixed_point.sum_of_units(F.sum(fixed_point.units(F.col("size_mb"))), 2)
-    return F.coalesce(size, F.lit(0.0))
+    return F.coalesce(fixed_point.total("size_mb", 2), F.lit(0.0))
 
 
 def manifest_summary(manifest: DataFrame) -> DataFrame:
@@ -77,11 +76,11 @@ def manifest_summary(manifest: DataFrame) -> DataFrame:
 def manifest_totals(manifest: DataFrame) -> DataFrame:
     """Stations, years and size over all stations."""
     per_station = manifest.groupBy("station_key").agg(
-        F.count("*").alias("_years"), F.sum(fixed_point.units(F.col("size_mb"))).alias("_size"))
+        F.count("*").alias("_years"), F.expr(f"sum({fixed_point.units('size_mb')}) AS _size"))
     return per_station.agg(
         F.count("*").alias("stations"),
         F.coalesce(F.sum("_years"), F.lit(0)).alias("total_years"),
-        F.coalesce(fixed_point.sum_of_units(F.sum("_size"), 2), F.lit(0.0)).alias("total_size_mb"),
+        F.coalesce(fixed_point.sum_of_units("sum(_size)", 2), F.lit(0.0)).alias("total_size_mb"),
     )
 
 
@@ -152,23 +151,22 @@ def ingest_event_summary(events: DataFrame) -> DataFrame:
     Counts and sizes of loaded years come from the ``year_loaded`` events; skipped and failed
     years, elapsed seconds and success from ``station_complete``.
     """
-    def of(kind: str, value: Column) -> Column:
-        return F.when(F.col("event_type") == kind, value)
+    def of(kind: str, value: str) -> str:
+        return f"CASE WHEN event_type = '{kind}' THEN {value} END"
 
     def added(kind: str, column: str) -> Column:
-        return F.coalesce(F.sum(of(kind, F.col(column))), F.lit(0))
+        return F.expr(f"coalesce(sum({of(kind, column)}), 0)")
 
     def measured(kind: str, column: str) -> Column:
-        size = fixed_point.total(of(kind, F.col(column)), 2)
-        return F.coalesce(size, F.lit(0.0))
+        return F.coalesce(fixed_point.total(of(kind, column), 2), F.lit(0.0))
 
-    loaded = F.count(of("year_loaded", F.lit(1)))
-    seconds = F.sum(fixed_point.units(of("year_loaded", F.col("duration_seconds"))))
+    loaded = "count_if(event_type = 'year_loaded')"
+    seconds = f"sum({fixed_point.units(of('year_loaded', 'duration_seconds'))})"
     return (
         events.where(F.col("event_type").isin("year_loaded", "station_complete"))
         .rollup("station_key").agg(
             F.grouping("station_key").alias("_total"),
-            loaded.alias("loaded_years"),
+            F.expr(loaded).alias("loaded_years"),
             measured("year_loaded", "file_size_mb").alias("loaded_mb"),
             fixed_point.mean_of_units(seconds, loaded, 2).alias("seconds_per_year"),
             added("station_complete", "completed_years").alias("completed_years"),

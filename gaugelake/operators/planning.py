@@ -110,13 +110,13 @@ def plan_cost(stations: DataFrame, start: str, end: str, batch_size: int,
 
 def cost_totals(cost: DataFrame) -> DataFrame:
     """Requests of the whole plan against one request per station, and the percentage saved."""
-    requests, single = F.sum("requests"), F.sum("single_requests")
     return cost.agg(
         F.count("*").alias("batches"),
         F.sum("stations").alias("stations"),
-        requests.alias("requests"),
-        single.alias("single_requests"),
-        fixed_point.percent(single - requests, single).alias("saved_pct"),
+        F.sum("requests").alias("requests"),
+        F.sum("single_requests").alias("single_requests"),
+        fixed_point.percent("sum(single_requests) - sum(requests)", "sum(single_requests)")
+        .alias("saved_pct"),
         F.sum("data_points").alias("data_points"),
         F.sum("estimated_records").alias("estimated_records"),
     )

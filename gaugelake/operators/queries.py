@@ -13,11 +13,11 @@ CORRELATED = [TEMP, HUMIDITY, RAIN, WIND]
 
 
 def _mean(column: str, digits: int) -> Column:
-    return fixed_point.mean(F.col(column), digits)
+    return fixed_point.mean(column, digits)
 
 
 def _total(column: str, digits: int = 1) -> Column:
-    return fixed_point.total(F.col(column), digits)
+    return fixed_point.total(column, digits)
 
 
 def station_comparison(silver: DataFrame) -> DataFrame:
@@ -87,27 +87,27 @@ def hottest_coldest(silver: DataFrame) -> DataFrame:
 
 
 def rainfall_comparison(silver: DataFrame) -> DataFrame:
-    wet = F.count_if(F.col(RAIN) > 0)
+    wet = f"count_if({RAIN} > 0)"
     return (
         silver.groupBy("station_id").agg(
             F.count("*").alias("total_hours"),
             _total(RAIN).alias("total_rainfall_mm"),
             _mean(RAIN, 2).alias("avg_rainfall_per_hour"),
             F.round(F.max(RAIN), 1).alias("max_hourly_rainfall"),
-            wet.alias("hours_with_rain"),
-            fixed_point.percent(wet, F.count("*")).alias("pct_hours_with_rain"),
+            F.expr(wet).alias("hours_with_rain"),
+            fixed_point.percent(wet, "count(*)").alias("pct_hours_with_rain"),
         ).orderBy(F.col("total_rainfall_mm").desc_nulls_last(), "station_id")
     )
 
 
 def quality_comparison(silver: DataFrame) -> DataFrame:
-    outliers = F.count_if("has_outliers")
+    outliers = "count_if(has_outliers)"
     return (
         silver.groupBy("station_id").agg(
             F.count("*").alias("total_records"),
             _mean("quality_score", 3).alias("avg_quality"),
-            outliers.alias("outlier_count"),
-            fixed_point.percent(outliers, F.count("*")).alias("outlier_pct"),
+            F.expr(outliers).alias("outlier_count"),
+            fixed_point.percent(outliers, "count(*)").alias("outlier_pct"),
         ).orderBy("station_id")
     )
 
@@ -180,7 +180,7 @@ def temperature_distribution(silver: DataFrame, method: str = "nearest",
         Window.unboundedPreceding, Window.currentRow)
     ranked = _per_value(silver, TEMP).select(
         "station_id", TEMP, present.alias("_rows"),
-        fixed_point.units(F.col(TEMP)).cast("decimal(38,0)").alias("_u"),
+        F.expr(f"CAST({fixed_point.units(TEMP)} AS DECIMAL(38, 0))").alias("_u"),
     ).select(
         "*",
         F.sum("_rows").over(upto).alias("_last"),  # rank of the last row with this value
@@ -257,14 +257,13 @@ def null_profile(silver: DataFrame, columns: list[str] | None = None) -> DataFra
     names = columns or silver.columns
     one = silver.agg(
         F.count("*").alias("_total"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n_{i}") for i, c in enumerate(names)])
+        *[F.expr(f"count_if(`{c}` IS NULL) AS n_{i}") for i, c in enumerate(names)])
     pairs = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"n_{i}").alias("null_count"))
-        for i, c in enumerate(names)])
+        F.expr(f"struct('{c}' AS column_name, n_{i} AS null_count)") for i, c in enumerate(names)])
     return (
         one.select(F.col("_total").alias("total_records"), F.explode(pairs).alias("p"))
         .select("p.column_name", "total_records", "p.null_count",
-                fixed_point.percent(F.col("p.null_count"), F.col("total_records")).alias("null_pct"))
+                fixed_point.percent("p.null_count", "total_records").alias("null_pct"))
         .where(F.col("null_count") > 0)
     )
 
@@ -328,7 +327,7 @@ def temps_since(silver: DataFrame, stations: DataFrame, since: str) -> DataFrame
     if "year" in silver.columns:
         rows = rows.where(F.col("year") >= int(since[:4]))
     per_station = rows.groupBy("station_id").agg(
-        F.sum(fixed_point.units(F.col(TEMP))).alias("_sum"),
+        F.expr(f"sum({fixed_point.units(TEMP)}) AS _sum"),
         F.count(TEMP).alias("_n"),
         F.min(TEMP).alias("_min"),
         F.max(TEMP).alias("_max"),
@@ -337,7 +336,7 @@ def temps_since(silver: DataFrame, stations: DataFrame, since: str) -> DataFrame
         stations.select(F.col("id").alias("station_id"), F.col("name").alias("station_name")),
         "station_id")
     return named.groupBy("station_name").agg(
-        fixed_point.mean_of_units(F.sum("_sum"), F.sum("_n"), 2).alias("avg_temp"),
+        fixed_point.mean_of_units("sum(_sum)", "sum(_n)", 2).alias("avg_temp"),
         F.min("_min").alias("min_temp"),
         F.max("_max").alias("max_temp"),
     )

@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _located(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on the file system that its scheme names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    file_system, target = _located(spark, path)
+    return file_system.exists(target)
+
+
+def state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Modification time, bytes and number of files of a table: they change with its content."""
+    file_system, target = _located(spark, path)
+    summary = file_system.getContentSummary(target)
+    return (file_system.getFileStatus(target).getModificationTime(),
+            summary.getLength(), summary.getFileCount())
 
 
 def rebalanced(df: DataFrame, by: list[str], then: list[str] | None = None) -> DataFrame:
