@@ -213,9 +213,14 @@ def temperature_distribution(silver: DataFrame, method: str = "nearest",
 
 
 def _corr(a: str, b: str, digits: int) -> Column:
-    # adding 0 turns -0.0 into 0.0; a constant column has no correlation
-    value = F.round(F.corr(a, b), digits) + F.lit(0.0)
-    return F.when(~F.isnan(value), value)
+    """Pearson correlation over the rows with both values; null if one of them is constant.
+
+    ``corr`` itself divides by zero there, which is an error in ANSI mode. Adding 0 turns -0.0
+    into 0.0.
+    """
+    return F.expr(
+        f"round(try_divide(regr_sxy({a}, {b}), sqrt(regr_sxx({a}, {b}) * regr_syy({a}, {b}))),"
+        f" {digits}) + 0D")
 
 
 def correlation_pairs(silver: DataFrame, digits: int = 6) -> DataFrame:
