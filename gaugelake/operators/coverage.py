@@ -10,6 +10,7 @@ from gaugelake.schema import COVERAGE, PAYLOAD
 LOCATION = "eumetnet:locationId"
 # columns of a flattened row besides the parameters
 ROW_KEYS = ["timestamp", "longitude", "latitude", "location_id"]
+ORIGIN = ["_coverage", "_pos"]
 _CARRIED = ["_source_file", "_metadata", "station_id", "year"]
 MAX_WIDE_COLUMNS = 4096
 
@@ -73,26 +74,58 @@ def split_coverages(docs: DataFrame, requested: list[str] | None = None) -> Data
     )
 
 
-def flatten_coverage(docs: DataFrame) -> DataFrame:
-    """One row per coverage and time, with all parameter values in a ``params`` map.
+def _located(each: DataFrame, docs: DataFrame, rows: Column) -> DataFrame:
+    """The generated rows of each coverage beside its position and origin.
 
-    The first x and y are the position. A range array shorter than the time axis gives null for
-    the times it does not reach, and a coverage without times gives no rows.
+    The rows are put together within the coverage before it is exploded: beside each exploded row
+    Spark would otherwise copy all values of its coverage.
     """
-    each = coverages(docs)
-    at = each.select(
+    return each.select(
         *_carried(docs), "_coverage",
         F.get(F.col("coverage.domain.axes.x.values"), F.lit(0)).alias("longitude"),
         F.get(F.col("coverage.domain.axes.y.values"), F.lit(0)).alias("latitude"),
         F.col(f"coverage.`{LOCATION}`").alias("location_id"),
-        F.col("coverage.ranges").alias("_ranges"),
-        F.posexplode("coverage.domain.axes.t.values").alias("_pos", "_t"),
-    )
-    params = F.transform_values("_ranges", lambda _, r: F.get(r["values"], F.col("_pos")))
-    return at.select(
-        F.to_timestamp("_t").alias("timestamp"), "longitude", "latitude", "location_id",
-        params.alias("params"), "_coverage", "_pos", *_carried(docs),
-    )
+        F.inline(rows),
+    ).withColumn("timestamp", F.to_timestamp("_t"))
+
+
+def flatten_coverage(docs: DataFrame) -> DataFrame:
+    """One row per coverage and time, with all parameter values in a ``params`` map.
+
+    The first x and y are the position. A range array shorter than the time axis gives null for
+    the times it does not reach, and a coverage without times gives no rows.
+    """
+    rows = F.transform("coverage.domain.axes.t.values", lambda t, i: F.struct(
+        t.alias("_t"), i.alias("_pos"),
+        F.transform_values("coverage.ranges", lambda _, r: F.get(r["values"], i)).alias("params")))
+    return _located(coverages(docs), docs, rows).select(*ROW_KEYS, "params", *ORIGIN, *_carried(docs))
+
+
+def flatten_wide(docs: DataFrame, names: list[str]) -> DataFrame:
+    """``flatten_coverage`` with one column per parameter instead of the map.
+
+    For known names, this never builds the maps.
+    """
+    _check_names(names, [*ROW_KEYS, *ORIGIN, *_carried(docs)])
+    times = F.col("coverage.domain.axes.t.values")
+    n = F.size(times)
+
+    def values(name: str) -> Column:
+        found = F.try_element_at("coverage.ranges", F.lit(name))["values"]
+        # zipping fills up short arrays, and takes the length of the longest
+        return F.coalesce(F.slice(found, F.lit(1), n), F.array().cast("array<double>")).alias(name)
+
+    each = coverages(docs).where(n > 0)
+    axis = F.sequence(F.lit(0), n - 1)
+    rows = F.arrays_zip(times.alias("_t"), axis.alias("_pos"), *[values(name) for name in names])
+    return _located(each, docs, rows).select(
+        *ROW_KEYS, *ORIGIN, *_carried(docs), *[F.col(f"`{name}`") for name in names])
+
+
+def _check_names(names: list[str], taken: list[str]) -> None:
+    clash = set(taken).intersection(names)
+    if clash:
+        raise ValueError(f"parameter names equal to row columns: {sorted(clash)}")
 
 
 def parameter_names(docs: DataFrame) -> list[str]:
@@ -110,10 +143,7 @@ def parameter_names(docs: DataFrame) -> list[str]:
 def widen_params(rows: DataFrame, names: list[str]) -> DataFrame:
     """One column per parameter instead of the map; an absent parameter is null."""
     kept = [c for c in rows.columns if c != "params"]
-    taken = set(kept)
-    clash = taken.intersection(names)
-    if clash:
-        raise ValueError(f"parameter names equal to row columns: {sorted(clash)}")
+    _check_names(names, kept)
     return rows.select(
         *kept, *[F.try_element_at("params", F.lit(n)).alias(n) for n in names],
     )

@@ -30,11 +30,10 @@ def refine(spark: SparkSession, raw_root: str, refined_path: str, station_id: st
         # is replaced as a whole, so every document that could reach this year is read
         docs = docs.where(F.col("year") <= year)
     names = names or coverage.parameter_names(docs)
-    rows = coverage.flatten_coverage(docs).drop("station_id", "year")
+    rows = coverage.flatten_wide(docs, names).drop("station_id", "year")
     if year is not None:
         rows = rows.where(F.year("timestamp") == year)
-    wide = coverage.add_lineage(coverage.widen_params(rows, names))
-    tables.write_refined(wide, refined_path, layout)
+    tables.write_refined(coverage.add_lineage(rows), refined_path, layout)
     return names
 
 

@@ -9,6 +9,9 @@ from functools import lru_cache
 from pyspark.sql import SparkSession
 
 
+LOCAL_MEMORY = "8g"  # a local session computes in the driver process
+
+
 def get_session(app_name: str = "gaugelake", master: str | None = None,
                 shuffle_partitions: int | None = None) -> SparkSession:
     """A session for scripts and tests; on a cluster submit with its own settings instead."""
@@ -20,7 +23,7 @@ def get_session(app_name: str = "gaugelake", master: str | None = None,
     )
     if master:
         os.environ.setdefault("SPARK_LOCAL_IP", "127.0.0.1")
-        builder = builder.master(master)
+        builder = builder.master(master).config("spark.driver.memory", LOCAL_MEMORY)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return configure(builder.getOrCreate())

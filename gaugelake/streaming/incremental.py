@@ -30,8 +30,8 @@ def stream_raw(spark: SparkSession, root: str, multiline: bool = False,
 
 
 def refined_rows(docs: DataFrame) -> DataFrame:
-    rows = coverage.flatten_coverage(docs.drop("station_id", "year"))
-    return coverage.add_lineage(coverage.widen_params(rows, SILVER_CODES))
+    return coverage.add_lineage(
+        coverage.flatten_wide(docs.drop("station_id", "year"), SILVER_CODES))
 
 
 def insert_new(batch: DataFrame, path: str, layout: list[str] = tables.MONTHLY) -> None:

@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from documents import A, B, collection, coverage, enveloped, hours, land
@@ -44,6 +45,34 @@ def test_position_without_coordinates(spark):
     assert row["longitude"] is None and row["latitude"] is None
 
 
+def test_wide_rows_equal_widened_maps(spark):
+    docs = parse(spark, enveloped(collection(
+        coverage(A, hours("2024-01-01", 0, 3), {"T": [1, None, 3], "U": [50], "LONG": list(range(9)), "NONE": None}),
+        coverage(B, hours("2024-01-01", 0, 2), {"T": []}), coverage(B, None, {"T": [9]}), coverage(B, [], {"T": [9]}),
+        coverage(None, hours("2024-01-01", 0, 1), {}))))
+    names = ["T", "U", "LONG", "NONE", "ABSENT"]
+    wide = ops.flatten_wide(docs, names).drop("_metadata")
+    mapped = ops.widen_params(ops.flatten_coverage(docs), names).drop("_metadata")
+    assert wide.count() == 6
+    assert wide.exceptAll(mapped.select(wide.columns)).count() == 0
+    assert mapped.select(wide.columns).exceptAll(wide).count() == 0
+    assert {r["LONG"] for r in wide.where(F.col("location_id") == A).collect()} == {0, 1, 2}
+    with pytest.raises(ValueError):
+        ops.flatten_wide(docs, ["_pos"])
+
+
+@pytest.mark.parametrize("flatten", [ops.flatten_coverage, lambda d: ops.flatten_wide(d, ["P0", "P22"])])
+def test_a_year_in_one_document(spark, flatten):
+    times = [f"2024-{m:02d}-{d:02d}T{h:02d}:00:00Z" for m in range(1, 13) for d in range(1, 29) for h in range(24)]
+    values = {f"P{i}": list(range(len(times))) for i in range(23)}
+    rows = flatten(parse(spark, collection(*[coverage(s, times, values) for s in (A, B)])))
+    # of the generator's input, the times and the values are not passed on to each row
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Generate inline.*, \[\d+, \d+\], false, \[_t", plan)
+    rows.write.format("noop").mode("overwrite").save()
+    assert rows.count() == 2 * len(times)
+
+
 def test_parameter_names_and_clash(spark):
     docs = parse(spark, collection(coverage(A, [], {"T": [], "FF": []})), collection(coverage(B, None, {"U": []})))
     assert ops.parameter_names(docs) == ["FF", "T", "U"]
