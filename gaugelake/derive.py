@@ -190,7 +190,7 @@ def catalog_documents(station_rows: DataFrame) -> DataFrame:
 LOAD_SQL = """
 SELECT lower(replace(c_name, '#', '_')) AS station_key,
  c_name AS station_name, c_mktsegment,
- year(o_orderdate) AS year,
+ CAST(year(o_orderdate) AS INT) AS year,
  o_orderdate AS start,
  o_orderdate + (o_orderkey % 40 * 24 + 23) * INTERVAL '1' HOUR AS "end",
  TIMESTAMP '2020-01-01 00:00:00' + o_orderkey % 100000000 * INTERVAL '1' SECOND AS loaded_at,

@@ -187,7 +187,7 @@ cost AS (SELECT batch_id, stations, {_PLAN_MONTHS} AS months_per_request, reques
 
 def _monthly(group: str, extra: str, join: str) -> str:
     return f"""{_SILVER_STATIONS}
-SELECT {group}, year(timestamp) AS year, month(timestamp) AS month, {extra}
+SELECT {group}, CAST(year(timestamp) AS INTEGER) AS year, CAST(month(timestamp) AS INTEGER) AS month, {extra}
  count(*) AS hours, {_mean('temperature_celsius', 2)} AS avg_temp,
  min(temperature_celsius) AS min_temp, max(temperature_celsius) AS max_temp,
  {_total('rainfall_mm', 1)} AS total_rainfall_mm,
@@ -196,26 +196,26 @@ FROM silver s LEFT JOIN stations r ON s.station_id = r.id {join}"""
 
 
 def _partition_summary(table: str, station: str, temperature: str) -> str:
-    return f"""SELECT {station} AS station_id, year(timestamp) AS year, month(timestamp) AS month,
+    return f"""SELECT {station} AS station_id, CAST(year(timestamp) AS INTEGER) AS year, CAST(month(timestamp) AS INTEGER) AS month,
  count(*) AS n_rows, min(timestamp) AS first_t, max(timestamp) AS last_t,
  {_total(temperature, 1)} AS total_temp FROM {table} GROUP BY 1, 2, 3"""
 
 
 def _raw() -> dict[str, str]:
-    per_year = "location_id AS station_id, year(timestamp) AS year"
+    per_year = "location_id AS station_id, CAST(year(timestamp) AS INTEGER) AS year"
     bad = f"location_id = '{q.STATION}' OR year(timestamp) = 1998"
     return {
         "read_raw_coverage": f"""{_OBS} SELECT {per_year}, count(*) AS n_times,
  'CoverageCollection' AS type, '{INGESTED_AT}' AS ingestion_timestamp, '{SOURCE_API}' AS source_api
 FROM obs GROUP BY 1, 2""",
         "split_coverages": f"""{_OBS} SELECT {per_year}, count(*) AS n_times,
- 1 AS coverages_per_document, 'PointSeries' AS domain_type, 'mm' AS rain_unit
+ CAST(1 AS BIGINT) AS coverages_per_document, 'PointSeries' AS domain_type, 'mm' AS rain_unit
 FROM obs GROUP BY 1, 2""",
         "land_raw": f"""{_OBS}, stations AS ({STATION_SQL})
 SELECT {per_year}, location_id AS metadata_station_id, name AS station_name,
  '{COLLECTION}' AS api_collection, 'multi_station_batch' AS ingestion_method, count(*) AS n_times
 FROM obs LEFT JOIN stations ON location_id = id GROUP BY 1, 2, 3, 4""",
-        "atomic_replace": f"""{_SILVER}, changed AS (SELECT station_id, year(timestamp) AS year,
+        "atomic_replace": f"""{_SILVER}, changed AS (SELECT station_id, CAST(year(timestamp) AS INTEGER) AS year,
  CASE WHEN year(timestamp) = 1997 THEN temperature_celsius + 100 ELSE temperature_celsius END AS t
  FROM silver) SELECT station_id, year, count(*) AS hours, {_total('t', 1)} AS total_temp
 FROM changed GROUP BY 1, 2""",
@@ -292,8 +292,8 @@ def _analysis() -> dict[str, str]:
  min(timestamp) AS start_date, max(timestamp) AS end_date, {avg_temp}, {temp_range},
  {_mean('humidity_percent', 1)} AS avg_humidity, {_total('rainfall_mm', 1)} AS total_rainfall_mm
 FROM silver GROUP BY 1""",
-        "monthly_averages": f"""{_SILVER} SELECT station_id, year(timestamp) AS year,
- month(timestamp) AS month, count(*) AS hours, {avg_temp},
+        "monthly_averages": f"""{_SILVER} SELECT station_id, CAST(year(timestamp) AS INTEGER) AS year,
+ CAST(month(timestamp) AS INTEGER) AS month, count(*) AS hours, {avg_temp},
  {_mean('humidity_percent', 1)} AS avg_humidity, {_total('rainfall_mm', 1)} AS rainfall_mm
 FROM silver GROUP BY 1, 2, 3 ORDER BY 1, 2, 3 LIMIT 12""",
         "month_station_combinations": f"""{_SILVER} SELECT
@@ -391,7 +391,7 @@ SELECT {entry_columns} FROM old UNION ALL SELECT {entry_columns} FROM fresh
 WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.station_key = fresh.station_key AND old.year = fresh.year)""",
         "skip_loaded": f"""{_LOADS_STATIONS}, plan AS (
  {_calendar_plan(*q.RANGE, 12, 'year')})
-SELECT station_key, start, "end", year(start) AS year FROM plan WHERE NOT EXISTS (
+SELECT station_key, start, "end", CAST(year(start) AS INTEGER) AS year FROM plan WHERE NOT EXISTS (
  SELECT 1 FROM loads WHERE loads.station_key = plan.station_key AND loads.year = year(plan.start)
  AND o_orderstatus = 'F')""",
         "missing_years": f"""{_LOADS_STATIONS}

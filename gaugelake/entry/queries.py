@@ -237,7 +237,7 @@ def isolate_bad_files(w: Workspace) -> DataFrame:
 
     path = w.written("with_broken", write)
     docs = raw.read_raw_coverage(w.spark, path, keep_corrupt=True, glob="*.txt")
-    good, outcome = raw.isolate_bad_files(docs)
+    good, _, outcome = raw.isolate_bad_files(docs)
     loaded = good.groupBy("station_id", "year").agg(F.sum(_times()).alias("n_times"))
     return outcome.groupBy("station_id", "year").agg(
         (F.sum("bad_documents") > 0).alias("quarantined"),

@@ -86,14 +86,15 @@ def _located(each: DataFrame, docs: DataFrame, rows: Column) -> DataFrame:
         F.get(F.col("coverage.domain.axes.y.values"), F.lit(0)).alias("latitude"),
         F.col(f"coverage.`{LOCATION}`").alias("location_id"),
         F.inline(rows),
-    ).withColumn("timestamp", F.to_timestamp("_t"))
+    ).withColumn("timestamp", F.try_to_timestamp("_t"))
 
 
 def flatten_coverage(docs: DataFrame) -> DataFrame:
     """One row per coverage and time, with all parameter values in a ``params`` map.
 
     The first x and y are the position. A range array shorter than the time axis gives null for
-    the times it does not reach, and a coverage without times gives no rows.
+    the times it does not reach, and a coverage without times gives no rows. A time that does not
+    parse is null; ``isolate_bad_files`` finds the documents that hold one.
     """
     rows = F.transform("coverage.domain.axes.t.values", lambda t, i: F.struct(
         t.alias("_t"), i.alias("_pos"),

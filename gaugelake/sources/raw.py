@@ -71,7 +71,7 @@ def with_metadata(split: DataFrame, stations: DataFrame | None, ingested_at: str
 def first_year(data: str = "data") -> Column:
     """Year of the first time of a document, which names its directory."""
     first = F.get(F.col(f"{data}.coverages")[0]["domain"]["axes"]["t"]["values"], F.lit(0))
-    return F.year(F.to_timestamp(first))
+    return F.year(F.try_to_timestamp(first))
 
 
 def land_raw(enveloped: DataFrame, root: str, replace: bool = True) -> None:
@@ -86,25 +86,27 @@ def land_raw(enveloped: DataFrame, root: str, replace: bool = True) -> None:
         placed.write.mode("append").partitionBy(*RAW_PARTITIONS).json(root)
 
 
-def parse_failures(docs: DataFrame) -> DataFrame:
-    """Documents that did not parse, for the quarantine."""
-    return docs.where(F.col(CORRUPT_COLUMN).isNotNull()).select(
-        "station_id", "year", "_source_file", CORRUPT_COLUMN)
+def isolate_bad_files(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(readable documents, quarantine, outcome per file): a bad document does not stop the others.
 
-
-def isolate_bad_files(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readable documents, outcome per file): a bad document does not stop the others.
-
-    A document that parses but holds no coverages counts as empty.
+    A document is bad if its JSON or one of its times does not parse. One that parses but holds no
+    coverages counts as empty.
     """
-    bad = F.col(CORRUPT_COLUMN).isNotNull()
-    filled = payload(docs)["coverages"].isNotNull()
+    members = payload(docs)["coverages"]
+    bad_time = F.exists(members, lambda c: F.exists(
+        c["domain"]["axes"]["t"]["values"],
+        lambda t: t.isNotNull() & F.try_to_timestamp(t).isNull()))
+    bad = F.col(CORRUPT_COLUMN).isNotNull() | F.coalesce(bad_time, F.lit(False))
+    filled = members.isNotNull()
     ok, empty = F.count_if(~bad & filled), F.count_if(~bad & ~filled)
     outcome = docs.groupBy("station_id", "year", "_source_file").agg(
         ok.alias("ok_documents"), empty.alias("empty_documents"),
         # by difference: Spark refuses a scan that needs the corrupt text but no other column
         (F.count("*") - ok - empty).alias("bad_documents"))
-    return docs.where(~bad).drop(CORRUPT_COLUMN), outcome
+    quarantine = docs.where(bad).select(
+        "station_id", "year", "_source_file",
+        F.coalesce(CORRUPT_COLUMN, F.to_json(payload(docs))).alias("document"))
+    return docs.where(~bad).drop(CORRUPT_COLUMN), quarantine, outcome
 
 
 def file_totals(outcome: DataFrame) -> DataFrame:

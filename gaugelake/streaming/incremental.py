@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,11 @@ def refined_rows(docs: DataFrame) -> DataFrame:
         coverage.flatten_wide(docs.drop("station_id", "year"), SILVER_CODES))
 
 
+def _within(column: str, low: Column, high: Column) -> Column:
+    """Inside a range, or without a value: a row without a time has its place, too."""
+    return F.col(column).isNull() | F.coalesce(F.col(column).between(low, high), F.lit(False))
+
+
 def insert_new(batch: DataFrame, path: str, layout: list[str] = tables.MONTHLY) -> None:
     """Append the silver rows whose (station, time) the table does not hold yet.
 
@@ -44,16 +49,15 @@ def insert_new(batch: DataFrame, path: str, layout: list[str] = tables.MONTHLY)
     spark = batch.sparkSession
     batch = batch.persist()
     try:
-        span = batch.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-        if span is None or span["lo"] is None:
-            return
         new = batch
         if exists(spark, path):
+            span = batch.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
             known = tables.scan_silver(spark, path, layout).where(
-                F.col("year").between(span["lo"].year, span["hi"].year)
-                & F.col("timestamp").between(F.lit(span["lo"]), F.lit(span["hi"]))
-            ).select(*silver.KEY)
-            new = batch.join(known, silver.KEY, "left_anti")
+                _within("year", F.year(F.lit(span["lo"])), F.year(F.lit(span["hi"])))
+                & _within("timestamp", F.lit(span["lo"]), F.lit(span["hi"]))
+            ).select(*[F.col(k).alias(f"_{k}") for k in silver.KEY])
+            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in silver.KEY]
+            new = batch.join(known, same, "left_anti")
         placed = with_partition_columns(new).drop(
             *[c for c in ("year", "month") if c not in layout])
         rebalanced(placed, layout, ["timestamp"]).write.mode("append").partitionBy(*layout).parquet(path)

@@ -183,12 +183,14 @@ def test_bad_files_are_isolated(spark, tmp_path):
     land(root, A, 2024, "bad.json", good[:-5])
     land(root, A, 2024, "mixed.json", good + "\n" + good[:30] + "\n")
     land(root, A, 2024, "empty.json", json.dumps({"type": "Other"}))
+    land(root, A, 2024, "time.json", json.dumps(collection(coverage(A, ["yesterday"], {"T": [1]}))))
     docs = raw.read_raw_coverage(spark, root, keep_corrupt=True)
-    readable, outcome = raw.isolate_bad_files(docs)
+    readable, quarantine, outcome = raw.isolate_bad_files(docs)
     assert ops.flatten_coverage(readable).count() == 2
+    assert sorted(r["document"][:20] for r in quarantine.collect()) == sorted(
+        [good[:20], good[:20], '{"type":"CoverageCollection"'[:20]])
     got = {r["_source_file"].rsplit("/", 1)[1]: (r["ok_documents"], r["bad_documents"], r["empty_documents"])
            for r in outcome.collect()}
     assert got == {"good.json": (1, 0, 0), "bad.json": (0, 1, 0), "mixed.json": (1, 1, 0),
-                   "empty.json": (0, 0, 1)}
-    assert raw.file_totals(outcome).first().asDict() == {"ok_files": 1, "files": 4}
-    assert raw.parse_failures(docs.cache()).count() == 2
+                   "empty.json": (0, 0, 1), "time.json": (0, 1, 0)}
+    assert raw.file_totals(outcome).first().asDict() == {"ok_files": 1, "files": 5}

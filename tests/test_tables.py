@@ -179,9 +179,11 @@ def test_incremental_equals_full_recomputation(spark, tmp_path):
 
 def test_repeating_a_batch_adds_nothing(spark, tmp_path):
     path = str(tmp_path / "silver")
-    batch = hourly(spark, 24, station=A)
+    untimed = silver.to_silver(refined(spark, [{"timestamp": None, "location_id": A}]), ["seq"])
+    batch = hourly(spark, 24, station=A).unionByName(untimed)
     incremental.insert_new(batch.limit(10), path)
     incremental.insert_new(batch, path)
     incremental.insert_new(batch, path)
     incremental.insert_new(batch.limit(0), path)
-    assert tables.scan_silver(spark, path).count() == 24
+    incremental.insert_new(untimed, path)
+    assert tables.scan_silver(spark, path).count() == 25
