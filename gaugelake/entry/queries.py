@@ -27,7 +27,7 @@ from gaugelake.schema import (
     REGISTRY_DOCUMENT,
     SILVER,
 )
-from gaugelake.sources import files, logs, raw, registry, tables
+from gaugelake.sources import files, manifests, raw, registry, tables
 from gaugelake.streaming import incremental
 
 STATION = "0-20000-0-06204"
@@ -82,21 +82,22 @@ def _times(data: str = "data"):
 
 @_register
 def read_raw_coverage(w: Workspace) -> DataFrame:
-    return w.raw.groupBy("station_id", "year").agg(
-        F.sum(_times()).alias("n_times"),
-        F.min("data.type").alias("type"),
-        F.min("_metadata.ingestion_timestamp").alias("ingestion_timestamp"),
-        F.min("_metadata.source_api").alias("source_api"))
+    return w.raw.groupBy(
+        "station_id", "year", F.col("data.type").alias("type"),
+        F.col("_metadata.ingestion_timestamp").alias("ingestion_timestamp"),
+        F.col("_metadata.source_api").alias("source_api"),
+    ).agg(F.sum(_times()).alias("n_times"))
 
 
 @_register
 def split_coverages(w: Workspace) -> DataFrame:
     split = coverage.split_coverages(derive.responses(w.observations))
-    return split.groupBy("station_id", raw.first_year().alias("year")).agg(
-        F.sum(_times()).alias("n_times"),
-        F.max(F.size("data.coverages")).cast("bigint").alias("coverages_per_document"),
-        F.max("data.domainType").alias("domain_type"),
-        F.max(F.variant_get("data.parameters", "$.RH.unit", "string")).alias("rain_unit"))
+    return split.groupBy(
+        "station_id", raw.first_year().alias("year"),
+        F.size("data.coverages").cast("bigint").alias("coverages_per_document"),
+        F.col("data.domainType").alias("domain_type"),
+        F.variant_get("data.parameters", "$.RH.unit", "string").alias("rain_unit"),
+    ).agg(F.sum(_times()).alias("n_times"))
 
 
 @_register
@@ -551,7 +552,7 @@ def plan_cost_totals(w: Workspace) -> DataFrame:
 @_register
 def ingest_event_summary(w: Workspace) -> DataFrame:
     path = w.written("events", lambda p: derive.event_lines(w.loads).write.mode("overwrite").text(p))
-    return manifest.ingest_event_summary(logs.read_events(w.spark, path))
+    return manifest.ingest_event_summary(manifests.read_events(w.spark, path))
 
 
 @_register

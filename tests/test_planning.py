@@ -138,6 +138,25 @@ def test_mark_loaded_inserts_only_what_is_absent(spark):
     assert {tuple(r) for r in manifest.mark_loaded(once, new).collect()} == expected
 
 
+def test_recording_landed_files(spark, tmp_path):
+    from documents import A, B, collection, coverage, hours, land
+
+    from gaugelake.sources import manifests
+    root, path = str(tmp_path / "raw"), str(tmp_path / "manifest")
+    for station, year in ((A, 2023), (A, 2024), (B.replace("-", "_"), 2024)):
+        land(root, station, year, "data.json", collection(coverage(A, hours("2024-01-01", 0, 20), {"T": list(range(20))})) )
+    stations = spark.createDataFrame([("a", A), ("b", B)], "station_key string, id string")
+    landed = manifests.landed_years(spark, root, stations)
+    assert sorted((r["station_key"], r["year"]) for r in landed.collect()) == [("a", 2023), ("a", 2024), ("b", 2024)]
+    manifests.record_loaded(landed.where("year = 2023"), path)
+    first = manifests.read_manifest_table(spark, path).first()
+    assert first["file_path"].endswith(f"station_id={A}/year=2023") and first["loaded_at"].endswith("Z")
+    manifests.record_loaded(landed.withColumn("loaded_at", F.lit("later")), path)
+    manifests.record_loaded(landed, path)
+    table = manifests.read_manifest_table(spark, path)
+    assert table.count() == 3 and table.where("year = 2023").first()["loaded_at"] == first["loaded_at"]
+
+
 def test_missing_skipped_and_summary(spark, stations):
     table = spark.createDataFrame([("a", 2000, "t", "p", 1.1), ("a", 2002, "t", "p", 2.25), ("c", 2001, "t", None, None)], ENTRY)
     missing = manifest.missing_years(stations, table, 2000, 2002)
@@ -176,7 +195,7 @@ def test_ranges(spark, stations):
 
 
 def test_events(spark, tmp_path):
-    from gaugelake.sources import logs
+    from gaugelake.sources import manifests
     lines = [
         '{"event_type":"year_loaded","station_key":"a","year":2000,"file_size_mb":1.25,"duration_seconds":2.0}',
         '{"event_type":"year_loaded","station_key":"a","year":2001,"file_size_mb":1.5,"duration_seconds":3.0}',
@@ -185,7 +204,7 @@ def test_events(spark, tmp_path):
         '{"event_type":"pipeline_complete","total_stations":2,"successful_stations":1,"failed_stations":1,"total_years_loaded":2,"total_years_skipped":1,"duration_seconds":7.5,"success":false}',
         '{"message":"free text"}', "not json"]
     (tmp_path / "log.json").write_text("\n".join(lines))
-    events = logs.read_events(spark, str(tmp_path))
+    events = manifests.read_events(spark, str(tmp_path))
     got = {(r["is_total"], r["station_key"]): r for r in manifest.ingest_event_summary(events).collect()}
     assert set(got) == {(False, "a"), (False, "b"), (True, None)}
     a, b, total = got[False, "a"], got[False, "b"], got[True, None]
