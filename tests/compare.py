@@ -17,7 +17,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+        path = Path(sf_dir) / f"{name}.parquet"
+        files = f"{path}/*.parquet" if path.is_dir() else path
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{files}'")
     return con
 
 
