@@ -349,10 +349,11 @@ ORDER BY wind_speed_ms DESC, timestamp, station_id LIMIT 10""",
         "coverage_span": f"""{_SILVER} SELECT station_id, count(*) AS hours,
  min(timestamp) AS first_hour, max(timestamp) AS last_hour FROM silver GROUP BY 1""",
         "hour_slice": f"""{_SILVER} SELECT {_SILVER_COLUMNS} FROM silver WHERE station_id = '{q.STATION}'
- AND timestamp >= TIMESTAMP '{q.DAY}' AND timestamp < TIMESTAMP '{q.NEXT_DAY}'""",
+ AND timestamp >= TIMESTAMP '{q.DAY}' AND timestamp < TIMESTAMP '{q.DAY}' + INTERVAL 1 DAY""",
         "recent_window": f"""{_SILVER} SELECT timestamp, temperature_celsius, rainfall_mm, humidity_percent
 FROM silver WHERE station_id = '{q.OTHER_STATION}'
- AND timestamp >= TIMESTAMP '{q.WEEK_START}' AND timestamp < TIMESTAMP '{q.WEEK_END}'""",
+ AND timestamp >= TIMESTAMP '{q.UNTIL}' - INTERVAL {q.DAYS} DAY
+ AND timestamp < TIMESTAMP '{q.UNTIL}' + INTERVAL 1 DAY""",
         "temps_since": f"""{_SILVER_STATIONS} SELECT name AS station_name, {avg_temp},
  min(temperature_celsius) AS min_temp, max(temperature_celsius) AS max_temp
 FROM silver JOIN stations ON station_id = id WHERE timestamp >= TIMESTAMP '{q.SINCE}' GROUP BY 1""",
@@ -439,6 +440,16 @@ UNION ALL SELECT 'hour', station_key, s, s + INTERVAL 3599 SECOND FROM (
 SELECT false AS is_total, station_key, {summary} GROUP BY station_key
 UNION ALL SELECT true, NULL, {summary}""",
         "detect_gaps": f"{_HOURS} SELECT * FROM gaps",
+        "detect_gaps_in_range": f"""{_SILVER}, marks AS (
+ SELECT station_id, timestamp FROM silver
+  WHERE timestamp >= TIMESTAMP '{q.SINCE}' AND timestamp < TIMESTAMP '{q.NOW}'
+ UNION ALL SELECT DISTINCT station_id, TIMESTAMP '{q.SINCE}' - INTERVAL 1 HOUR FROM silver
+ UNION ALL SELECT DISTINCT station_id, TIMESTAMP '{q.NOW}' FROM silver),
+hours AS (SELECT station_id, timestamp,
+  lag(timestamp) OVER (PARTITION BY station_id ORDER BY timestamp) AS before FROM marks)
+SELECT station_id, before + INTERVAL 1 HOUR AS gap_start, timestamp - INTERVAL 1 HOUR AS gap_end,
+  date_diff('hour', before, timestamp) - 1 AS missing_hours
+FROM hours WHERE date_diff('hour', before, timestamp) > 1""",
         "chunk_status": f"""{_LOADS_STATIONS}, plan AS ({_calendar_plan(*q.RANGE, 1, 'month')}),
 months AS (SELECT station_key, strftime(start, '%Y-%m') AS month FROM plan),
 done AS (SELECT station_key, strftime(start, '%Y-%m') AS month, CAST(sum(records) AS BIGINT) AS records

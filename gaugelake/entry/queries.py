@@ -33,8 +33,8 @@ from gaugelake.streaming import incremental
 STATION = "0-20000-0-06204"
 OTHER_STATION = "0-20000-0-06207"
 SEASON_YEAR = 1998
-DAY, NEXT_DAY = "1998-03-14", "1998-03-15"
-WEEK_START, WEEK_END = "2000-06-23", "2000-06-30"
+DAY = "1998-03-14"
+UNTIL, DAYS = "2000-06-30", 7
 SINCE = "2000-10-01"
 FIRST_YEAR, LAST_YEAR = 1995, 2001
 RANGE = ("1995-01-01 00:00:00", "2001-12-31 23:59:59")
@@ -412,12 +412,12 @@ def coverage_span(w: Workspace) -> DataFrame:
 
 @_register
 def hour_slice(w: Workspace) -> DataFrame:
-    return queries.hour_slice(w.silver, STATION, DAY, NEXT_DAY).select(*MAPPED_COLUMNS, *QUALITY)
+    return queries.hour_slice(w.silver, STATION, DAY).select(*MAPPED_COLUMNS, *QUALITY)
 
 
 @_register
 def recent_window(w: Workspace) -> DataFrame:
-    return queries.recent_window(w.silver, OTHER_STATION, WEEK_START, WEEK_END)
+    return queries.recent_window(w.silver, OTHER_STATION, UNTIL, DAYS)
 
 
 @_register
@@ -560,6 +560,11 @@ def detect_gaps(w: Workspace) -> DataFrame:
     return gaps.detect_gaps(w.silver)
 
 
+@_register
+def detect_gaps_in_range(w: Workspace) -> DataFrame:
+    return gaps.detect_gaps(w.silver, start=SINCE, end=NOW)
+
+
 @_register
 def chunk_status(w: Workspace) -> DataFrame:
     month = F.date_format("start", "yyyy-MM").alias("month")

@@ -15,14 +15,30 @@ def _hours(table: DataFrame) -> DataFrame:
         "station_id", calendar.hour_number(F.col("timestamp")).alias("hour")).distinct()
 
 
-def detect_gaps(table: DataFrame, min_hours: int = 1) -> DataFrame:
+def _hours_of_range(table: DataFrame, start: str, end: str) -> DataFrame:
+    """The observed hours of a range, and for every station of the table the hour before and after."""
+    first, after = (calendar.hour_number(F.lit(t).cast("timestamp")) for t in (start, end))
+    bounds = table.select("station_id").distinct().select(
+        "station_id", F.explode(F.array(first - 1, after)).alias("hour"))
+    inside = table.where(calendar.in_range("timestamp", start, end))
+    if "year" in table.columns:
+        inside = inside.where(F.col("year").between(int(start[:4]), int(end[:4])))
+    return _hours(inside).unionByName(bounds)
+
+
+def detect_gaps(table: DataFrame, min_hours: int = 1, start: str | None = None,
+                end: str | None = None) -> DataFrame:
     """Ranges of at least ``min_hours`` missing hours between two observed ones.
 
+    With both ``start`` and ``end`` (not included), the hours missing at either end of that range
+    count as well, and nothing outside of it does.
+
     Repeated hours disappear before any shuffle. The remaining ones are compared with their
     neighbours within blocks of about a year, so a station is spread over many tasks; the two ends
     of each block are then compared from block to block. Both steps share one scan and shuffle.
     """
-    hours = _hours(table).withColumn(
+    observed = _hours(table) if start is None or end is None else _hours_of_range(table, start, end)
+    hours = observed.withColumn(
         "block", F.call_function("div", F.col("hour"), F.lit(_BLOCK)))
     inside = Window.partitionBy("station_id", "block").orderBy("hour")
     placed = hours.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime, timedelta, timezone
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -311,14 +313,19 @@ def _on_days(table: DataFrame, start: str, end: str) -> DataFrame:
     return rows
 
 
-def hour_slice(table: DataFrame, station_id: str, day: str, next_day: str) -> DataFrame:
-    """All columns of one station on one day."""
-    return _on_days(table.where(F.col("station_id") == station_id), day, next_day)
+def hour_slice(table: DataFrame, station_id: str, day: str, hour: int | None = None) -> DataFrame:
+    """All columns of one station on one day, or in one hour of it."""
+    start = datetime.fromisoformat(day) + timedelta(hours=hour or 0)
+    end = start + (timedelta(days=1) if hour is None else timedelta(hours=1))
+    return _on_days(table.where(F.col("station_id") == station_id), str(start), str(end))
 
 
-def recent_window(silver: DataFrame, station_id: str, start: str, end: str) -> DataFrame:
-    """The last days of one station up to ``end``, in order."""
-    rows = _on_days(silver.where(F.col("station_id") == station_id), start, end)
+def recent_window(silver: DataFrame, station_id: str, until: str | None = None,
+                  days: int = 7) -> DataFrame:
+    """One station from ``days`` days before a date up to that date (today if none), in order."""
+    last = date.fromisoformat(until) if until else datetime.now(timezone.utc).date()
+    start, end = last - timedelta(days=days), last + timedelta(days=1)
+    rows = _on_days(silver.where(F.col("station_id") == station_id), str(start), str(end))
     return rows.select("timestamp", TEMP, RAIN, HUMIDITY).orderBy("timestamp")
 
 

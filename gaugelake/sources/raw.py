@@ -70,7 +70,8 @@ def with_metadata(split: DataFrame, stations: DataFrame | None, ingested_at: str
 
 def first_year(data: str = "data") -> Column:
     """Year of the first time of a document, which names its directory."""
-    first = F.get(F.col(f"{data}.coverages")[0]["domain"]["axes"]["t"]["values"], F.lit(0))
+    domain = F.coalesce(F.get(F.col(f"{data}.coverages"), F.lit(0))["domain"], F.col(f"{data}.domain"))
+    first = F.get(domain["axes"]["t"]["values"], F.lit(0))
     return F.year(F.try_to_timestamp(first))
 
 

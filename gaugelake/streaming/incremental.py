@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 from gaugelake.functions.calendar import with_partition_columns
 from gaugelake.operators import coverage, silver
 from gaugelake.plans.jobs import REFINED_ORDER, SILVER_CODES
-from gaugelake.schema import RAW_DOCUMENT
+from gaugelake.schema import CORRUPT_COLUMN, RAW_DOCUMENT
 from gaugelake.session import configure
-from gaugelake.sources import tables
+from gaugelake.sources import raw, tables
 from gaugelake.sources.files import atomic_replace, exists, rebalanced
 
 
@@ -22,8 +22,13 @@ def stream_raw(spark: SparkSession, root: str, multiline: bool = False,
         *RAW_DOCUMENT.fields,
         T.StructField("station_id", T.StringType()),
         T.StructField("year", T.IntegerType()),
+        T.StructField(CORRUPT_COLUMN, T.StringType()),
     ])
-    reader = spark.readStream.schema(schema).option("multiLine", multiline)
+    reader = (
+        spark.readStream.schema(schema).option("multiLine", multiline)
+        .option("pathGlobFilter", "*.json")
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+    )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(root).withColumn("_source_file", F.input_file_name())
@@ -51,10 +56,10 @@ def insert_new(batch: DataFrame, path: str, layout: list[str] = tables.MONTHLY)
     try:
         new = batch
         if exists(spark, path):
-            span = batch.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+            span = batch.agg(F.unix_micros(F.min("timestamp")), F.unix_micros(F.max("timestamp"))).first()
+            low, high = (F.timestamp_micros(F.lit(micros).cast("bigint")) for micros in span)
             known = tables.scan_silver(spark, path, layout).where(
-                _within("year", F.year(F.lit(span["lo"])), F.year(F.lit(span["hi"])))
-                & _within("timestamp", F.lit(span["lo"]), F.lit(span["hi"]))
+                _within("year", F.year(low), F.year(high)) & _within("timestamp", low, high)
             ).select(*[F.col(k).alias(f"_{k}") for k in silver.KEY])
             same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in silver.KEY]
             new = batch.join(known, same, "left_anti")
@@ -68,16 +73,21 @@ def insert_new(batch: DataFrame, path: str, layout: list[str] = tables.MONTHLY)
 def incremental_load(spark: SparkSession, raw_root: str, silver_path: str, checkpoint: str,
                      sentinel_first: bool = False, layout: list[str] = tables.MONTHLY,
                      multiline: bool = False, max_files: int | None = None,
-                     order_by: list[str] = REFINED_ORDER) -> None:
+                     order_by: list[str] = REFINED_ORDER, quarantine: str | None = None) -> None:
     """Process the raw files that came since the last call, then stop.
 
-    ``order_by`` decides between copies of an hour within one run. The checkpoint remembers the files seen. A file that repeats hours already loaded, such as
-    one that looks back over the last two days, changes nothing for them.
+    ``order_by`` decides between copies of an hour within one run. The checkpoint remembers the
+    files seen. A file that repeats hours already loaded, such as
+    one that looks back over the last two days, changes nothing for them. Documents that do not
+    parse are left out, and written to ``quarantine`` if it is given, a directory per batch.
     """
     configure(spark)
 
-    def load(docs: DataFrame, _batch_id: int) -> None:
-        insert_new(silver.to_silver(refined_rows(docs), order_by, sentinel_first),
+    def load(docs: DataFrame, batch_id: int) -> None:
+        good, bad, _ = raw.isolate_bad_files(docs)
+        if quarantine is not None:
+            bad.write.mode("overwrite").json(f"{quarantine}/batch={batch_id}")
+        insert_new(silver.to_silver(refined_rows(good), order_by, sentinel_first),
                    silver_path, layout)
 
     query = (

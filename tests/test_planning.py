@@ -235,6 +235,15 @@ def test_gaps_against_brute_force(spark):
     assert gaps.detect_gaps(table, min_hours=24).count() == sum(g[3] >= 24 for g in got)
 
 
+def test_gaps_of_a_range_include_its_ends(spark):
+    rows = [("x", datetime(2024, 1, 2)), ("x", datetime(2024, 1, 3)), ("x", datetime(2024, 6, 1)), ("y", datetime(2020, 1, 1))]
+    table = spark.createDataFrame(rows, "station_id string, timestamp timestamp")
+    got = {(r["station_id"], r["gap_start"], r["gap_end"])
+           for r in gaps.detect_gaps(table, start="2024-01-01", end="2024-01-04").collect()}
+    assert got == {("x", datetime(2024, 1, 1), datetime(2024, 1, 1, 23)), ("x", datetime(2024, 1, 2, 1), datetime(2024, 1, 2, 23)),
+                   ("x", datetime(2024, 1, 3, 1), datetime(2024, 1, 3, 23)), ("y", datetime(2024, 1, 1), datetime(2024, 1, 3, 23))}
+
+
 def test_no_gaps(spark):
     one = spark.createDataFrame([("x", datetime(2024, 1, 1))], "station_id string, timestamp timestamp")
     assert gaps.detect_gaps(one).count() == 0

@@ -209,11 +209,13 @@ def test_null_profile(silver, frame):
 
 
 def test_windows_of_time(silver, spark):
-    day = queries.hour_slice(silver, "empty", "2024-01-01", "2024-01-02")
+    day = queries.hour_slice(silver, "empty", "2024-01-01")
     assert day.count() == 3
-    recent = queries.recent_window(silver, "hot", "2024-02-01", "2024-02-08").collect()
+    assert queries.hour_slice(silver, "empty", "2024-01-01", 1).count() == 1
+    recent = queries.recent_window(silver, "hot", "2024-02-08").collect()
     times = [r["timestamp"] for r in recent]
-    assert times == sorted(times) and times[0] >= datetime(2024, 2, 1) and times[-1] < datetime(2024, 2, 8)
+    assert times == sorted(times) and times[0] >= datetime(2024, 2, 1) and datetime(2024, 2, 8) <= times[-1] < datetime(2024, 2, 9)
+    assert queries.recent_window(silver, "hot").count() == 0
     stations = spark.createDataFrame([("hot", "Twin", "N"), ("b", "Twin", "S"), ("c", "C", "S")],
                                      "id string, name string, region string")
     since = queries.temps_since(silver, stations, "2024-06-01")
