@@ -41,7 +41,7 @@ def refined_rows(docs: DataFrame) -> DataFrame:
 
 def _within(column: str, low: Column, high: Column) -> Column:
     """Inside a range, or without a value: a row without a time has its place, too."""
-    return F.col(column).isNull() | F.coalesce(F.col(column).between(low, high), F.lit(False))
+    return F.col(column).isNull() | F.col(column).between(low, high)
 
 
 def insert_new(batch: DataFrame, path: str, layout: list[str] = tables.MONTHLY) -> None:
@@ -77,9 +77,9 @@ def incremental_load(spark: SparkSession, raw_root: str, silver_path: str, check
     """Process the raw files that came since the last call, then stop.
 
     ``order_by`` decides between copies of an hour within one run. The checkpoint remembers the
-    files seen. A file that repeats hours already loaded, such as
-    one that looks back over the last two days, changes nothing for them. Documents that do not
-    parse are left out, and written to ``quarantine`` if it is given, a directory per batch.
+    files seen. A file that repeats hours already loaded, such as one that looks back over the last
+    two days, changes nothing for them. Documents that do not parse are left out, and written to
+    ``quarantine`` if it is given, a directory per batch.
     """
     configure(spark)
 
