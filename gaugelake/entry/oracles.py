@@ -259,6 +259,9 @@ def _cleaning() -> dict[str, str]:
         "flag_outliers": f"""{_MAPPED} SELECT {_LINE_KEY}, {_ANY_OUTLIER} AS as_read,
  ({" OR ".join(_outlier(c, True) for c in THRESHOLDS)}) AS trace_first FROM mapped""",
         "quality_flags": f"{_MAPPED} SELECT {_LINE_KEY}, {_FLAGS} AS quality_flags FROM mapped",
+        "outlier_flags": f"""{_MAPPED} SELECT {_LINE_KEY}, concat_ws(',', {", ".join(
+            f"CASE WHEN {_outlier(c)} THEN '{c}' END" for c in THRESHOLDS)}) AS outlier_flags
+FROM mapped""",
         "quality_score": f"{_MAPPED} SELECT {_LINE_KEY}, {_SCORE} AS quality_score FROM mapped",
         "rain_sentinel": f"""{_MAPPED} SELECT {_LINE_KEY},
  CASE WHEN rainfall_mm = -1 THEN 0 ELSE rainfall_mm END AS rainfall_mm FROM mapped""",

@@ -280,6 +280,11 @@ def quality_flags(w: Workspace) -> DataFrame:
     return silver.quality_flags(w.mapped).select(*LINE_KEY, "quality_flags")
 
 
+@_register
+def outlier_flags(w: Workspace) -> DataFrame:
+    return silver.outlier_flags(w.mapped).select(*LINE_KEY, "outlier_flags")
+
+
 @_register
 def quality_score(w: Workspace) -> DataFrame:
     return silver.quality_score(w.mapped).select(*LINE_KEY, "quality_score")

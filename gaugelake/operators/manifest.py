@@ -50,7 +50,8 @@ def skip_loaded(plan: DataFrame, manifest: DataFrame, force: bool = False) -> Da
 
 def missing_years(stations: DataFrame, manifest: DataFrame, start: int, end: int) -> DataFrame:
     """Years of start..end without an entry, per station."""
-    wanted = stations.select(
+    # a sequence counts downwards where its end lies before its start
+    wanted = stations.where(F.lit(start <= end)).select(
         "station_key", F.explode(F.sequence(F.lit(start), F.lit(end))).alias("year"))
     return wanted.join(manifest.select(*KEY), KEY, "left_anti")
 
@@ -62,14 +63,14 @@ def _megabytes() -> Column:
 def manifest_summary(manifest: DataFrame) -> DataFrame:
     """Per station: number, size, range and list of loaded years.
 
-    The list is short: the manifest holds a year of a station once.
+    The list is short, as it holds a year once.
     """
     return manifest.groupBy("station_key").agg(
         F.count("*").alias("total_years"),
         _megabytes().alias("total_size_mb"),
         F.min("year").alias("start_year"),
         F.max("year").alias("end_year"),
-        F.array_sort(F.collect_list("year")).alias("years_loaded"),
+        F.array_sort(F.collect_set("year")).alias("years_loaded"),
     )
 
 

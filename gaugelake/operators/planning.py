@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,8 @@ def backfill_plan(stations: DataFrame, start: str, end: str, granularity: str =
     """
     if n < 1:
         raise ValueError("n must be at least 1")
+    if datetime.fromisoformat(start) > datetime.fromisoformat(end):
+        raise ValueError("the range ends before it starts")
     first, last = F.date_trunc("day", _timestamp(start)), _timestamp(end)
     periods = {
         "year": lambda: _calendar_periods(first, last, 12, "year"),

@@ -38,7 +38,8 @@ def map_silver_schema(refined: DataFrame, keep: list[str] | None = None) -> Data
     out = []
     for code, name in SILVER_MAPPING.items():
         target = SILVER[name].dataType
-        column = _as(F.col(f"`{code}`"), present[code], target) if code in present else F.lit(None).cast(target)
+        column = (_as(F.col(f"`{code}`"), present[code], target) if code in present
+                  else F.lit(None).cast(target))
         out.append(column.alias(name))
     return refined.select(*out, *[F.col(f"`{c}`") for c in keep or []])
 
@@ -65,6 +66,11 @@ def quality_flags(df: DataFrame, sentinel_first: bool = False) -> DataFrame:
     return df.withColumn("quality_flags", quality.flag_text(sentinel_first))
 
 
+def outlier_flags(df: DataFrame, sentinel_first: bool = False) -> DataFrame:
+    """The flags as an array of column names."""
+    return df.withColumn("outlier_flags", quality.flag_array(sentinel_first))
+
+
 def quality_score(df: DataFrame, sentinel_first: bool = False,
                   missing_columns: list[str] = MAPPED_COLUMNS) -> DataFrame:
     return df.withColumn("quality_score", quality.score(sentinel_first, missing_columns))

@@ -53,8 +53,10 @@ def test_years_hours_and_presets(stations):
     assert years == [(datetime(y, 1, 1), datetime(y, 12, 31, 23, 59, 59)) for y in (2024, 2025)]
     day = periods(planning.backfill_plan(stations, "2024-02-29", "2024-02-29 23:59:59", "hour"))
     assert len(day) == 24 and day[5] == (datetime(2024, 2, 29, 5), datetime(2024, 2, 29, 5, 59, 59))
-    with pytest.raises(ValueError):
-        planning.backfill_plan(stations, "2024-01-01", "2024-01-02", "week")
+    for arguments in (("2024-01-01", "2024-01-02", "week"), ("2024-01-02", "2024-01-01", "year"),
+                      ("2024-01-01", "2024-01-02", "months", 0)):
+        with pytest.raises(ValueError):
+            planning.backfill_plan(stations, *arguments)
 
 
 def test_thirty_day_chunks(stations):
@@ -128,6 +130,16 @@ def test_normalize_old_new_and_mixed_documents(spark):
                    ("mixed", 2002): empty, ("mixed", 2003): ("t", None, 1.25)}
 
 
+def test_manifest_documents_from_files(spark, tmp_path):
+    from gaugelake.sources import manifests
+    (tmp_path / "a.json").write_text("""{"station_key": "a", "station_name": "A",
+      "years_loaded": [2001, {"year": 2002, "size_mb": 3.5, "file_path": "p"}], "summary": {"total_years": 2}}""")
+    docs = manifests.read_manifests(spark, str(tmp_path))
+    got = {(r["station_key"], r["year"], r["size_mb"], r["file_path"])
+           for r in manifest.normalize_manifest(docs).collect()}
+    assert got == {("a", 2001, None, None), ("a", 2002, 3.5, "p")}
+
+
 def test_mark_loaded_inserts_only_what_is_absent(spark):
     old = spark.createDataFrame([("a", 2000, "t0", "p0", 1.0)], ENTRY)
     new = spark.createDataFrame([("a", 2000, "t9", "p9", 9.0), ("a", 2001, "t2", "p2", 2.0),
@@ -161,6 +173,7 @@ def test_missing_skipped_and_summary(spark, stations):
     table = spark.createDataFrame([("a", 2000, "t", "p", 1.1), ("a", 2002, "t", "p", 2.25), ("c", 2001, "t", None, None)], ENTRY)
     missing = manifest.missing_years(stations, table, 2000, 2002)
     assert sorted(map(tuple, missing.collect())) == [("a", 2001), ("b", 2000), ("b", 2001), ("b", 2002)]
+    assert manifest.missing_years(stations, table, 2002, 2000).count() == 0
     plan = stations.select("station_key", F.lit(2000).alias("year"))
     assert [r["station_key"] for r in manifest.skip_loaded(plan, table).collect()] == ["b"]
     assert manifest.skip_loaded(plan, table, force=True).count() == 2

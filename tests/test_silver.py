@@ -5,7 +5,6 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from gaugelake.functions import quality
 from gaugelake.operators import silver
 from gaugelake.schema import MAPPED_COLUMNS, SILVER, SILVER_DECLARED, SILVER_MAPPING
 
@@ -81,7 +80,7 @@ def test_score_of_every_combination(spark):
 
 def test_flag_array(spark):
     df = silver.map_silver_schema(refined(spark, [{"T": 99.0, "DD": -1.0}, {}]), keep=["seq"])
-    got = [r[0] for r in df.orderBy("seq").select(quality.flag_array()).collect()]
+    got = [r["outlier_flags"] for r in silver.outlier_flags(df).orderBy("seq").collect()]
     assert got == [["temperature_celsius", "wind_direction_degrees"], []]
 
 
