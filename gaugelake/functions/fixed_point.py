@@ -3,7 +3,8 @@
 Adding doubles gives other last digits whenever tasks finish in another order, and a mean that
 falls on a rounding tie then prints differently from run to run. Measurements carry at most three
 decimals, so they are added as whole thousandths, and the result is rounded half away from zero
-with integer division. Under ANSI mode a sum beyond the bigint range raises an error.
+with integer division. A group that holds any value with more decimals, or beyond a thousand
+billion, is added as doubles instead. Under ANSI mode a sum beyond the bigint range is an error.
 
 Arguments are SQL expressions, mostly column names.
 """
@@ -15,45 +16,84 @@ from pyspark.sql import functions as F
 
 SCALE = 3
 UNITS = 10 ** SCALE
+_LARGEST = "1e12D"
+_TOLERANCE = "1e-4D"  # of a thousandth: far above the error of a double, far below a fourth decimal
 
 
-def units(value: str) -> str:
-    """The value in whole thousandths."""
-    return f"CAST(rint(({value}) * {UNITS}D) AS BIGINT)"
+def _whole(value: str) -> str:
+    """Whether the value is a whole number of thousandths; null for null."""
+    v = f"({value})"
+    return (f"(abs{v} < {_LARGEST} AND"
+            f" abs({v} * {UNITS}D - rint({v} * {UNITS}D)) < {_TOLERANCE})")
 
 
-def _quotient(numerator: str, denominator: str, digits: int) -> Column:
+def _units(value: str) -> str:
+    """The value in whole thousandths, 0 for one that is not."""
+    return f"CASE WHEN {_whole(value)} THEN CAST(rint(({value}) * {UNITS}D) AS BIGINT) ELSE 0 END"
+
+
+def _quotient(numerator: str, denominator: str, digits: int) -> str:
     """numerator / denominator of whole numbers, in steps of 10 ** -digits."""
     sign = f"CASE WHEN {numerator} < 0 THEN -1 ELSE 1 END"
     # by way of the remainder, as twice the numerator could leave the bigint range
     carry = f"CASE WHEN abs({numerator}) % {denominator} * 2 >= {denominator} THEN 1 ELSE 0 END"
-    return F.expr(
-        f"CASE WHEN {denominator} > 0 THEN"
-        f" {sign} * (abs({numerator}) div {denominator} + {carry}) / {10 ** digits}D END")
+    return (f"CASE WHEN {denominator} > 0 THEN"
+            f" {sign} * (abs({numerator}) div {denominator} + {carry}) / {10 ** digits}D END")
+
+
+def _aggregates(value: str) -> dict[str, str]:
+    return {
+        "units": f"sum({_units(value)})",
+        "plain": f"sum({value})",
+        "whole": f"bool_and({_whole(value)})",
+        "count": f"count({value})",
+    }
+
+
+def _stored(name: str, merged: bool) -> dict[str, str]:
+    columns = {k: f"{name}_{k}" for k in ("units", "plain", "whole", "count")}
+    if not merged:
+        return columns
+    return {k: (f"bool_and({c})" if k == "whole" else f"sum({c})") for k, c in columns.items()}
 
 
-def mean_of_units(total: str, count: str, digits: int) -> Column:
-    """Mean from partial results: a sum of thousandths and a number of values."""
+def _mean(parts: dict[str, str], digits: int) -> Column:
     if not 0 <= digits <= SCALE:
         raise ValueError(f"digits must lie in 0..{SCALE}")
-    return _quotient(f"({total})", f"(({count}) * {10 ** (SCALE - digits)})", digits)
+    exact = _quotient(parts["units"], f"({parts['count']} * {10 ** (SCALE - digits)})", digits)
+    plain = f"round(try_divide({parts['plain']}, {parts['count']}), {digits})"
+    return F.expr(f"CASE WHEN {parts['whole']} THEN {exact} ELSE {plain} END")
 
 
-def sum_of_units(total: str, digits: int = SCALE) -> Column:
-    """A sum of thousandths as a double with the given number of digits."""
-    return mean_of_units(total, "1", digits)
+def _total(parts: dict[str, str], digits: int) -> Column:
+    return _mean({**parts, "count": "1"}, digits)
 
 
 def mean(value: str, digits: int) -> Column:
     """Aggregate: rounded mean of the non-null values, null if there are none."""
-    return mean_of_units(f"sum({units(value)})", f"count({value})", digits)
+    return _mean(_aggregates(value), digits)
 
 
 def total(value: str, digits: int = SCALE) -> Column:
     """Aggregate: rounded sum of the non-null values, null if there are none."""
-    return sum_of_units(f"sum({units(value)})", digits)
+    return _total(_aggregates(value), digits)
+
+
+def partial(value: str, name: str) -> list[Column]:
+    """Aggregates: the parts of a mean or sum, for groups that are merged later."""
+    return [F.expr(f"{sql} AS {name}_{part}") for part, sql in _aggregates(value).items()]
+
+
+def partial_mean(name: str, digits: int, merged: bool = False) -> Column:
+    """Mean from the parts called ``name`` of one group, or of several that are merged."""
+    return _mean(_stored(name, merged), digits)
+
+
+def partial_total(name: str, digits: int = SCALE, merged: bool = False) -> Column:
+    """Sum from the parts called ``name``."""
+    return _total(_stored(name, merged), digits)
 
 
 def percent(part: str, whole: str, digits: int = 1) -> Column:
     """100 * part / whole of two counts."""
-    return _quotient(f"(({part}) * {100 * 10 ** digits})", f"({whole})", digits)
+    return F.expr(_quotient(f"(({part}) * {100 * 10 ** digits})", f"({whole})", digits))

@@ -31,13 +31,11 @@ def _monthly_parts(silver: DataFrame) -> DataFrame:
         "station_id", F.year("timestamp").alias("year"), F.month("timestamp").alias("month"),
     ).agg(
         F.count("*").alias("hours"),
-        F.expr(f"sum({fixed_point.units(TEMP)}) AS _temp"),
-        F.count(TEMP).alias("_temp_n"),
         F.min(TEMP).alias("min_temp"),
         F.max(TEMP).alias("max_temp"),
-        F.expr(f"sum({fixed_point.units(RAIN)}) AS _rain"),
-        F.expr(f"sum({fixed_point.units(HUMIDITY)}) AS _humidity"),
-        F.count(HUMIDITY).alias("_humidity_n"),
+        *fixed_point.partial(TEMP, "_temp"),
+        *fixed_point.partial(RAIN, "_rain"),
+        *fixed_point.partial(HUMIDITY, "_humidity"),
     )
 
 
@@ -54,10 +52,10 @@ def monthly_comparison(silver: DataFrame, stations: DataFrame) -> DataFrame:
     """
     return _with_region(_monthly_parts(silver), stations).select(
         "region", "station_id", "station_name", "year", "month", "hours",
-        fixed_point.mean_of_units("_temp", "_temp_n", 2).alias("avg_temp"),
+        fixed_point.partial_mean("_temp", 2).alias("avg_temp"),
         "min_temp", "max_temp",
-        fixed_point.sum_of_units("_rain", 1).alias("total_rainfall_mm"),
-        fixed_point.mean_of_units("_humidity", "_humidity_n", 1).alias("avg_humidity"),
+        fixed_point.partial_total("_rain", 1).alias("total_rainfall_mm"),
+        fixed_point.partial_mean("_humidity", 1).alias("avg_humidity"),
     )
 
 
@@ -66,11 +64,11 @@ def monthly_by_region(silver: DataFrame, stations: DataFrame) -> DataFrame:
     return _with_region(_monthly_parts(silver), stations).groupBy("region", "year", "month").agg(
         F.count("*").alias("stations"),
         F.sum("hours").alias("hours"),
-        fixed_point.mean_of_units("sum(_temp)", "sum(_temp_n)", 2).alias("avg_temp"),
+        fixed_point.partial_mean("_temp", 2, merged=True).alias("avg_temp"),
         F.min("min_temp").alias("min_temp"),
         F.max("max_temp").alias("max_temp"),
-        fixed_point.sum_of_units("sum(_rain)", 1).alias("total_rainfall_mm"),
-        fixed_point.mean_of_units("sum(_humidity)", "sum(_humidity_n)", 1).alias("avg_humidity"),
+        fixed_point.partial_total("_rain", 1, merged=True).alias("total_rainfall_mm"),
+        fixed_point.partial_mean("_humidity", 1, merged=True).alias("avg_humidity"),
     )
 
 

@@ -77,11 +77,11 @@ def manifest_summary(manifest: DataFrame) -> DataFrame:
 def manifest_totals(manifest: DataFrame) -> DataFrame:
     """Stations, years and size over all stations."""
     per_station = manifest.groupBy("station_key").agg(
-        F.count("*").alias("_years"), F.expr(f"sum({fixed_point.units('size_mb')}) AS _size"))
+        F.count("*").alias("_years"), *fixed_point.partial("size_mb", "_size"))
     return per_station.agg(
         F.count("*").alias("stations"),
         F.coalesce(F.sum("_years"), F.lit(0)).alias("total_years"),
-        F.coalesce(fixed_point.sum_of_units("sum(_size)", 2), F.lit(0.0)).alias("total_size_mb"),
+        F.coalesce(fixed_point.partial_total("_size", 2, merged=True), F.lit(0.0)).alias("total_size_mb"),
     )
 
 
@@ -161,15 +161,13 @@ def ingest_event_summary(events: DataFrame) -> DataFrame:
     def measured(kind: str, column: str) -> Column:
         return F.coalesce(fixed_point.total(of(kind, column), 2), F.lit(0.0))
 
-    loaded = "count_if(event_type = 'year_loaded')"
-    seconds = f"sum({fixed_point.units(of('year_loaded', 'duration_seconds'))})"
     return (
         events.where(F.col("event_type").isin("year_loaded", "station_complete"))
         .rollup("station_key").agg(
             F.grouping("station_key").alias("_total"),
-            F.expr(loaded).alias("loaded_years"),
+            F.expr("count_if(event_type = 'year_loaded')").alias("loaded_years"),
             measured("year_loaded", "file_size_mb").alias("loaded_mb"),
-            fixed_point.mean_of_units(seconds, loaded, 2).alias("seconds_per_year"),
+            fixed_point.mean(of("year_loaded", "duration_seconds"), 2).alias("seconds_per_year"),
             added("station_complete", "completed_years").alias("completed_years"),
             added("station_complete", "skipped_years").alias("skipped_years"),
             added("station_complete", "failed_years").alias("failed_years"),

@@ -182,7 +182,7 @@ def temperature_distribution(silver: DataFrame, method: str = "nearest",
         Window.unboundedPreceding, Window.currentRow)
     ranked = _per_value(silver, TEMP).select(
         "station_id", TEMP, present.alias("_rows"),
-        F.expr(f"CAST({fixed_point.units(TEMP)} AS DECIMAL(38, 0))").alias("_u"),
+        F.expr(f"CAST(rint({TEMP} * {fixed_point.UNITS}D) AS DECIMAL(38, 0))").alias("_u"),
     ).select(
         "*",
         F.sum("_rows").over(upto).alias("_last"),  # rank of the last row with this value
@@ -339,8 +339,7 @@ def temps_since(silver: DataFrame, stations: DataFrame, since: str) -> DataFrame
     if "year" in silver.columns:
         rows = rows.where(F.col("year") >= int(since[:4]))
     per_station = rows.groupBy("station_id").agg(
-        F.expr(f"sum({fixed_point.units(TEMP)}) AS _sum"),
-        F.count(TEMP).alias("_n"),
+        *fixed_point.partial(TEMP, "_temp"),
         F.min(TEMP).alias("_min"),
         F.max(TEMP).alias("_max"),
     )
@@ -348,7 +347,7 @@ def temps_since(silver: DataFrame, stations: DataFrame, since: str) -> DataFrame
         stations.select(F.col("id").alias("station_id"), F.col("name").alias("station_name")),
         "station_id")
     return named.groupBy("station_name").agg(
-        fixed_point.mean_of_units("sum(_sum)", "sum(_n)", 2).alias("avg_temp"),
+        fixed_point.partial_mean("_temp", 2, merged=True).alias("avg_temp"),
         F.min("_min").alias("min_temp"),
         F.max("_max").alias("max_temp"),
     )

@@ -79,6 +79,19 @@ def test_fixed_point_rounds_ties_away_from_zero(spark):
     assert (got[3]["m"], got[3]["t"], got[3]["p"]) == (None, None, 0.0)
 
 
+def test_values_with_more_decimals_are_added_as_doubles(spark):
+    rows = [(1, i / 7) for i in range(1000)] + [(2, 0.1)] * 10 + [(3, 1e18)] * 3 + [(4, None), (4, 0.0004)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    got = {r["k"]: r for r in df.groupBy("k").agg(
+        fixed_point.mean("v", 2).alias("m"), fixed_point.total("v", 1).alias("t")).collect()}
+    assert (got[1]["m"], got[1]["t"]) == (round(499.5 / 7, 2), round(499500 / 7, 1))
+    assert (got[2]["m"], got[2]["t"]) == (0.1, 1.0)
+    assert (got[3]["m"], got[4]["m"]) == (1e18, 0.0)
+    parts = df.groupBy("k").agg(*fixed_point.partial("v", "p"))
+    assert parts.agg(fixed_point.partial_total("p", 1, merged=True)).first()[0] == pytest.approx(3e18)
+    assert parts.where("k = 2").agg(fixed_point.partial_mean("p", 2, merged=True)).first()[0] == 0.1
+
+
 def test_fixed_point_does_not_depend_on_partitions(spark):
     df = spark.range(10_000).select((F.col("id") % 7 / 10).alias("v"))
     totals = {df.repartition(n).agg(fixed_point.total("v", 3)).first()[0] for n in (1, 3, 8)}
