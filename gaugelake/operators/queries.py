@@ -62,30 +62,30 @@ def month_station_combinations(silver: DataFrame) -> DataFrame:
 def _per_value(silver: DataFrame, column: str) -> DataFrame:
     """Rows and first time per (station, value).
 
-    Measurements have a fixed resolution, so a station has at most some thousand values however
-    many rows it has: what follows sorts this, never the observations.
+    Measurements have a fixed resolution, so this is small however many rows a station has.
     """
     return silver.groupBy("station_id", column).agg(
         F.count("*").alias("_rows"), F.min("timestamp").alias("_first"))
 
 
 def hottest_coldest(silver: DataFrame) -> DataFrame:
-    """The hottest and the coldest hour of each station, the earliest if there are several."""
-    by_value = _per_value(silver, TEMP)
-    station = Window.partitionBy("station_id")
-    ranked = by_value.select(
-        "station_id", F.col("_first").alias("timestamp"), TEMP,
-        F.row_number().over(station.orderBy(F.col(TEMP).desc_nulls_last())).alias("hot"),
-        F.row_number().over(station.orderBy(F.col(TEMP).asc_nulls_last())).alias("cold"),
-    )
-    labels = F.array_compact(F.array(
-        F.when(F.col("hot") == 1, F.lit("HOTTEST")), F.when(F.col("cold") == 1, F.lit("COLDEST"))))
-    return (
-        ranked.where((F.col("hot") == 1) | (F.col("cold") == 1))
-        .select("station_id", F.explode(labels).alias("extreme_type"), "timestamp",
-                F.round(TEMP, 1).alias("temp_celsius"))
-        .orderBy(F.col("station_id"), F.col("extreme_type").desc())
-    )
+    """The hottest and the coldest hour of each station, the earliest if there are several.
+
+    A station without any temperature gives its earliest hour.
+    """
+    # structs compare field by field, a null before any value
+    hot = F.max(F.struct(F.col(TEMP).alias("t"), (-F.unix_micros("_first")).alias("order"),
+                         F.col("_first").alias("at")))
+    cold = F.min(F.struct(F.col(TEMP).isNull().alias("none"), F.col(TEMP).alias("t"),
+                          F.col("_first").alias("at")))
+    extremes = _per_value(silver, TEMP).groupBy("station_id").agg(
+        hot.alias("hot"), cold.alias("cold"))
+    both = F.array(*[
+        F.struct(F.lit(label).alias("extreme_type"), F.col(f"{name}.at").alias("timestamp"),
+                 F.round(f"{name}.t", 1).alias("temp_celsius"))
+        for label, name in (("HOTTEST", "hot"), ("COLDEST", "cold"))])
+    return extremes.select("station_id", F.inline(both)).orderBy(
+        F.col("station_id"), F.col("extreme_type").desc())
 
 
 def rainfall_comparison(silver: DataFrame) -> DataFrame:
@@ -175,19 +175,28 @@ def temperature_distribution(silver: DataFrame, method: str = "nearest",
     if method not in ("nearest", "linear"):
         raise ValueError(f"unknown quantile method: {method}")
 
-    # everything below reads the counts per value: one scan, and exact whole-number moments
+    # from here on all reads the counts per value: one scan, and exact whole-number moments. The
+    # values are ranked within whole degrees, and the degrees among each other, so that no task
+    # sorts all values of a station. A missing temperature has no rows here, only its station.
     present = F.when(F.col(TEMP).isNotNull(), F.col("_rows")).otherwise(F.lit(0))
-    station = Window.partitionBy("station_id")
-    upto = station.orderBy(F.col(TEMP).asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    ranked = _per_value(silver, TEMP).select(
-        "station_id", TEMP, present.alias("_rows"),
+    values = _per_value(silver, TEMP).select(
+        # keys without nulls: the join would filter nulls on one side, and scan the table twice
+        F.coalesce("station_id", F.lit("")).alias("station_id"),
+        F.coalesce(F.floor(TEMP), F.lit(0)).alias("_degree"), TEMP,
+        present.alias("_rows"),
         F.expr(f"CAST(rint({TEMP} * {fixed_point.UNITS}D) AS DECIMAL(38, 0))").alias("_u"),
-    ).select(
-        "*",
-        F.sum("_rows").over(upto).alias("_last"),  # rank of the last row with this value
-        F.sum("_rows").over(station).alias("_n"),
     )
+    station = Window.partitionBy("station_id")
+    degrees = values.groupBy("station_id", "_degree").agg(F.sum("_rows").alias("_in")).select(
+        "station_id", "_degree",
+        (F.sum("_in").over(station.orderBy("_degree")) - F.col("_in")).alias("_before"),
+        F.sum("_in").over(station).alias("_n"),
+    )
+    within = Window.partitionBy("station_id", "_degree").orderBy(F.col(TEMP).asc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = values.withColumn("_upto", F.sum("_rows").over(within)).join(
+        degrees, ["station_id", "_degree"],
+    ).withColumn("_last", F.col("_before") + F.col("_upto"))  # rank of the last row with this value
 
     def value_at(rank: Column) -> Column:
         inside = (rank > F.col("_last") - F.col("_rows")) & (rank <= F.col("_last"))
@@ -210,6 +219,7 @@ def temperature_distribution(silver: DataFrame, method: str = "nearest",
         ranked.groupBy("station_id").agg(
             *[F.round(quantile(q), digits).alias(name) for name, q in QUARTILES.items()],
             F.round(std, digits).alias("std_temp"))
+        .withColumn("station_id", F.nullif("station_id", F.lit("")))
         .orderBy("station_id")
     )
 

@@ -1,4 +1,5 @@
 import json
+import random
 import re
 
 import pytest
@@ -61,6 +62,32 @@ def test_wide_rows_equal_widened_maps(spark):
         ops.flatten_wide(docs, ["_pos"])
 
 
+def test_random_documents_against_plain_loops(spark):
+    rng = random.Random(11)
+    documents, expected = [], []
+    for _ in range(40):
+        members = []
+        for _ in range(rng.randrange(4)):
+            times = rng.choice([None, [], hours("2024-05-01", rng.randrange(10), rng.randrange(1, 9))])
+            ranges = {p: [rng.choice([None, round(rng.uniform(-60, 60), 1)]) for _ in range(rng.randrange(10))]
+                      for p in rng.sample(["T", "U", "FF", "X1"], rng.randrange(5))}
+            station = rng.choice([A, B, None])
+            members.append(coverage(station, times, ranges, x=rng.choice([1.5, 2.5])))
+            for i, t in enumerate(times or []):
+                row = {p: v[i] for p, v in ranges.items() if i < len(v)}
+                expected.append((t, station, members[-1]["domain"]["axes"]["x"]["values"][0],
+                                 *(row.get(p) for p in ("T", "U", "FF", "X1"))))
+        data = collection(*members)
+        documents.append(rng.choice([data, enveloped(data)]))
+    docs = parse(spark, *documents)
+    names = ops.parameter_names(docs)
+    assert names == ["FF", "T", "U", "X1"]
+    for rows in (ops.flatten_wide(docs, names), ops.widen_params(ops.flatten_coverage(docs), names)):
+        got = rows.select(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'"), "location_id", "longitude",
+                          "T", "U", "FF", "X1").collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
+
+
 @pytest.mark.parametrize("flatten", [ops.flatten_coverage, lambda d: ops.flatten_wide(d, ["P0", "P22"])])
 def test_a_year_in_one_document(spark, flatten):
     times = [f"2024-{m:02d}-{d:02d}T{h:02d}:00:00Z" for m in range(1, 13) for d in range(1, 29) for h in range(24)]

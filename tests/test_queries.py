@@ -132,9 +132,18 @@ def test_distribution_against_ranks(silver, frame):
         queries.temperature_distribution(silver, "other")
 
 
-def test_distribution_sorts_values_not_rows(silver):
-    plan = queries.temperature_distribution(silver)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("Window") < plan.index("Aggregate [station_id", plan.index("Window"))
+def test_distribution_of_many_values_in_few_degrees(spark):
+    rng = np.random.default_rng(1)
+    values = {None: np.array([1.0, 2.0]), "x": rng.normal(0, 0.4, 400).round(4), "y": np.array([-0.0, 0.0, 5e9]), "z": np.array([1.5])}
+    rows = [{"station_id": s, "timestamp": START + timedelta(hours=i), "temperature_celsius": float(v)}
+            for s, part in values.items() for i, v in enumerate(part)]
+    got = by_station(queries.temperature_distribution(table(spark, rows), digits=4))
+    for s, part in values.items():
+        part = np.sort(part)
+        for name, q in queries.QUARTILES.items():
+            assert got[s][name] == part[int(np.floor(q * (len(part) - 1) + 0.5))]
+    assert got["x"]["std_temp"] == pytest.approx(values["x"].std(ddof=1), abs=1e-4)
+    assert got["z"]["std_temp"] is None
 
 
 def test_hottest_and_coldest(silver, frame):
