@@ -1,6 +1,7 @@
 """The jobs from the command line, for ``spark-submit`` or ``python -m gaugelake``.
 
     refine      --raw DIR --refined DIR  [--registry FILE --station KEY] [--year Y]
+                [--parameters T,U,RH]  (saves the pass that looks for the parameter names)
     clean       --refined DIR --silver DIR  [--registry FILE --station KEY] [--year Y]
     incremental --raw DIR --silver DIR --checkpoint DIR
     report      --silver DIR --year Y
@@ -29,9 +30,10 @@ def _station_id(spark: SparkSession, args: argparse.Namespace) -> str | None:
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="gaugelake")
     parser.add_argument("job", choices=["refine", "clean", "incremental", "report"])
-    for name in ("raw", "refined", "silver", "checkpoint", "registry", "station"):
+    for name in ("raw", "refined", "silver", "checkpoint", "registry", "station", "quarantine"):
         parser.add_argument(f"--{name}")
     parser.add_argument("--year", type=int)
+    parser.add_argument("--parameters", type=lambda text: text.split(","))
     parser.add_argument("--yearly", action="store_true", help="directories by year, not by month")
     parser.add_argument("--multiline", action="store_true", help="one pretty-printed document per file")
     args = parser.parse_args(argv)
@@ -45,14 +47,14 @@ def main(argv: list[str] | None = None) -> None:
     layout = tables.YEARLY if args.yearly else tables.MONTHLY
     if args.job == "refine":
         names = jobs.refine(spark, args.raw, args.refined, _station_id(spark, args), args.year,
-                            args.multiline, layout=layout)
+                            args.multiline, args.parameters, layout, args.quarantine)
         print("parameters:", ", ".join(names))
     elif args.job == "clean":
         jobs.clean(spark, args.refined, args.silver, station_id=_station_id(spark, args),
                    year=args.year, layout=layout)
     elif args.job == "incremental":
         incremental_load(spark, args.raw, args.silver, args.checkpoint, layout=layout,
-                         multiline=args.multiline)
+                         multiline=args.multiline, quarantine=args.quarantine)
     else:
         silver = tables.scan_silver(spark, args.silver, layout)
         for name, result in jobs.report(silver, args.year).items():
