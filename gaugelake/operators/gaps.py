@@ -11,7 +11,7 @@ _BLOCK = 8784  # hours, about a year
 
 
 def _hours(table: DataFrame) -> DataFrame:
-    return table.select(
+    return table.where(F.col("timestamp").isNotNull()).select(
         "station_id", calendar.hour_number(F.col("timestamp")).alias("hour")).distinct()
 
 

@@ -302,7 +302,7 @@ def windiest_hours(silver: DataFrame, limit: int = 10) -> DataFrame:
     return (
         silver.where(F.col(WIND).isNotNull())
         .select("station_id", "timestamp", WIND, "wind_gust_ms", "wind_direction_degrees")
-        .orderBy(F.col(WIND).desc(), "timestamp", "station_id")
+        .orderBy(F.col(WIND).desc(), F.col("timestamp").asc_nulls_last(), "station_id")
         .limit(limit)
     )
 

@@ -258,7 +258,7 @@ def test_gaps_of_a_range_include_its_ends(spark):
 
 
 def test_no_gaps(spark):
-    one = spark.createDataFrame([("x", datetime(2024, 1, 1))], "station_id string, timestamp timestamp")
+    one = spark.createDataFrame([("x", datetime(2024, 1, 1)), ("x", None)], "station_id string, timestamp timestamp")
     assert gaps.detect_gaps(one).count() == 0
     assert gaps.completeness(one).first()["completeness_pct"] == 100.0
 
