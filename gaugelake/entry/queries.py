@@ -33,7 +33,7 @@ from gaugelake.streaming import incremental
 STATION = "0-20000-0-06204"
 OTHER_STATION = "0-20000-0-06207"
 SEASON_YEAR = 1998
-DAY = "1998-03-14"
+DAY = "2000-09-15"
 UNTIL, DAYS = "2000-06-30", 7
 SINCE = "2000-10-01"
 FIRST_YEAR, LAST_YEAR = 1995, 2001
