@@ -100,25 +100,24 @@ def _coverage(rows: Column) -> Column:
     ], COVERAGE)
 
 
-def responses(obs: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def responses(obs: DataFrame) -> DataFrame:
     """Observations packed into multi-station coverage collections, column ``data``.
 
     Neighbouring rows of the input go together, so a document has at most some thousand values
-    whatever the distribution of stations and times. ``keys`` stay outside the document.
+    whatever the distribution of stations and times.
     """
-    keys = keys or []
     chunk = F.call_function("div", F.monotonically_increasing_id(), F.lit(_CHUNK_ROWS))
     fields = ["timestamp", "longitude", "latitude", *PARAMETERS]
     each = (
         obs.withColumn("_chunk", chunk).withColumn("_year", F.year("timestamp"))
-        .groupBy("_chunk", "_year", "location_id", *keys)
+        .groupBy("_chunk", "_year", "location_id")
         .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_rows"))
-        .select("_chunk", "_year", "location_id", *keys, _coverage(F.col("_rows")).alias("c"))
+        .select("_chunk", "_year", _coverage(F.col("_rows")).alias("c"))
     )
     labels = F.parse_json(F.lit('{"T":{"unit":"C"},"RH":{"unit":"mm"},"FF":{"unit":"m/s"}}'))
     system = F.parse_json(F.lit('[{"coordinates":["x","y"]}]'))
-    return each.groupBy("_chunk", "_year", *keys).agg(F.collect_list("c").alias("c")).select(
-        *keys, _packed([
+    return each.groupBy("_chunk", "_year").agg(F.collect_list("c").alias("c")).select(
+        _packed([
             ("type", F.lit("CoverageCollection")),
             ("domainType", F.lit("PointSeries")),
             ("coverages", F.col("c")),
