@@ -74,19 +74,13 @@ def split_coverages(docs: DataFrame, requested: list[str] | None = None) -> Data
     )
 
 
-def _located(each: DataFrame, docs: DataFrame, rows: Column) -> DataFrame:
-    """The generated rows of each coverage beside its position and origin.
-
-    The rows are put together within the coverage before it is exploded: beside each exploded row
-    Spark would otherwise copy all values of its coverage.
-    """
-    return each.select(
-        *_carried(docs), "_coverage",
+def _place() -> list[Column]:
+    """Position and station of a coverage."""
+    return [
         F.get(F.col("coverage.domain.axes.x.values"), F.lit(0)).alias("longitude"),
         F.get(F.col("coverage.domain.axes.y.values"), F.lit(0)).alias("latitude"),
         F.col(f"coverage.`{LOCATION}`").alias("location_id"),
-        F.inline(rows),
-    ).withColumn("timestamp", F.try_to_timestamp("_t"))
+    ]
 
 
 def flatten_coverage(docs: DataFrame) -> DataFrame:
@@ -95,32 +89,44 @@ def flatten_coverage(docs: DataFrame) -> DataFrame:
     The first x and y are the position. A range array shorter than the time axis gives null for
     the times it does not reach, and a coverage without times gives no rows. A time that does not
     parse is null; ``isolate_bad_files`` finds the documents that hold one.
+
+    The rows are put together within the coverage before it is exploded: beside each exploded row
+    Spark would otherwise copy all values of its coverage.
     """
     rows = F.transform("coverage.domain.axes.t.values", lambda t, i: F.struct(
-        t.alias("_t"), i.alias("_pos"),
+        F.try_to_timestamp(t).alias("timestamp"), i.alias("_pos"),
         F.transform_values("coverage.ranges", lambda _, r: F.get(r["values"], i)).alias("params")))
-    return _located(coverages(docs), docs, rows).select(*ROW_KEYS, "params", *ORIGIN, *_carried(docs))
+    return coverages(docs).select(
+        *_carried(docs), "_coverage", *_place(), F.inline(rows),
+    ).select(*ROW_KEYS, "params", *ORIGIN, *_carried(docs))
+
+
+_BLOCK = 64  # times
 
 
 def flatten_wide(docs: DataFrame, names: list[str]) -> DataFrame:
     """``flatten_coverage`` with one column per parameter instead of the map.
 
-    For known names, this never builds the maps.
+    For known names, this never builds the maps: each value is taken from the array of its
+    parameter. The arrays are cut into short blocks first, so that little is copied beside a row
+    even where Spark does not generate code for the step.
     """
     _check_names(names, [*ROW_KEYS, *ORIGIN, *_carried(docs)])
-    times = F.col("coverage.domain.axes.t.values")
-    n = F.size(times)
-
-    def values(name: str) -> Column:
-        found = F.try_element_at("coverage.ranges", F.lit(name))["values"]
-        # zipping fills up short arrays, and takes the length of the longest
-        return F.coalesce(F.slice(found, F.lit(1), n), F.array().cast("array<double>")).alias(name)
-
-    each = coverages(docs).where(n > 0)
-    axis = F.sequence(F.lit(0), n - 1)
-    rows = F.arrays_zip(times.alias("_t"), axis.alias("_pos"), *[values(name) for name in names])
-    return _located(each, docs, rows).select(
-        *ROW_KEYS, *ORIGIN, *_carried(docs), *[F.col(f"`{name}`") for name in names])
+    keys = [*_carried(docs), "_coverage", "longitude", "latitude", "location_id"]
+    arrays = [f"_v{i}" for i in range(len(names))]
+    whole = coverages(docs).select(
+        *_carried(docs), "_coverage", *_place(), F.col("coverage.domain.axes.t.values").alias("_t"),
+        *[F.try_element_at("coverage.ranges", F.lit(name))["values"].alias(a)
+          for name, a in zip(names, arrays, strict=True)],
+    ).where(F.size("_t") > 0)
+    starts = F.sequence(F.lit(0), F.size("_t") - 1, F.lit(_BLOCK))
+    blocks = whole.select("*", F.explode(starts).alias("_from")).select(
+        *keys, "_from",
+        *[F.slice(a, F.col("_from") + 1, F.lit(_BLOCK)).alias(a) for a in ("_t", *arrays)])
+    return blocks.select("*", F.posexplode("_t").alias("_i", "_time")).select(
+        F.try_to_timestamp("_time").alias("timestamp"), "longitude", "latitude", "location_id",
+        "_coverage", (F.col("_from") + F.col("_i")).alias("_pos"), *_carried(docs),
+        *[F.get(F.col(a), F.col("_i")).alias(name) for name, a in zip(names, arrays, strict=True)])
 
 
 def _check_names(names: list[str], taken: list[str]) -> None:

@@ -1,6 +1,5 @@
 import json
 import random
-import re
 
 import pytest
 from documents import A, B, collection, coverage, enveloped, hours, land
@@ -88,16 +87,25 @@ def test_random_documents_against_plain_loops(spark):
         assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
 
 
-@pytest.mark.parametrize("flatten", [ops.flatten_coverage, lambda d: ops.flatten_wide(d, ["P0", "P22"])])
-def test_a_year_in_one_document(spark, flatten):
+@pytest.mark.parametrize("codegen", ["true", "false"])
+@pytest.mark.parametrize("flatten", [
+    ops.flatten_coverage, lambda d: ops.flatten_wide(d, [f"P{i}" for i in range(23)])])
+def test_a_year_in_one_document(spark, flatten, codegen):
     times = [f"2024-{m:02d}-{d:02d}T{h:02d}:00:00Z" for m in range(1, 13) for d in range(1, 29) for h in range(24)]
     values = {f"P{i}": list(range(len(times))) for i in range(23)}
-    rows = flatten(parse(spark, collection(*[coverage(s, times, values) for s in (A, B)])))
-    # of the generator's input, the times and the values are not passed on to each row
-    plan = rows._jdf.queryExecution().optimizedPlan().toString()
-    assert re.search(r"Generate inline.*, \[\d+, \d+\], false, \[_t", plan)
-    rows.write.format("noop").mode("overwrite").save()
-    assert rows.count() == 2 * len(times)
+    saved = spark.conf.get("spark.sql.codegen.wholeStage")
+    try:
+        spark.conf.set("spark.sql.codegen.wholeStage", codegen)
+        rows = flatten(parse(spark, collection(*[coverage(s, times, values) for s in (A, B)])))
+        rows.write.format("noop").mode("overwrite").save()
+        assert rows.count() == 2 * len(times)
+        # every time has its place
+        spread = rows.groupBy("location_id").agg(F.countDistinct("_pos"), F.min("_pos"), F.max("_pos"))
+        assert {tuple(r)[1:] for r in spread.collect()} == {(len(times), 0, len(times) - 1)}
+        if "P22" in rows.columns:
+            assert rows.where("P22 != _pos OR P22 IS NULL").count() == 0
+    finally:
+        spark.conf.set("spark.sql.codegen.wholeStage", saved)
 
 
 def test_parameter_names_and_clash(spark):
