@@ -38,16 +38,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gaugelake.llm.shared import Scratch, distinct_texts_first, documents
+from gaugelake.llm.shared import Scratch, distinct_texts_first, documents, text_batches
 from gaugelake.llm.shingles import shingle_sets
 from gaugelake.session import ensure_checkpoint_dir
 
 PARITY_WORDS = 4  # 64 bits each
-BATCH_CHARS = 4_000_000
 
 SIGNATURE = [f"s{i}" for i in range(PARITY_WORDS)]
 
@@ -71,19 +69,6 @@ def _extra(n: F.Column, percent: int, reach: int) -> F.Column:
     return F.least(overlap, 1 + F.floor((n - overlap) * reach / 100)).cast("int")
 
 
-def _text_batches(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Slices whose texts have about BATCH_CHARS bytes together."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    lo, total = 0, 0
-    for i, size in enumerate(sizes.tolist()):
-        total += size
-        if total >= BATCH_CHARS:
-            yield batch.slice(lo, i + 1 - lo)
-            lo, total = i + 1, 0
-    if lo < batch.num_rows:
-        yield batch.slice(lo)
-
-
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     offsets = np.zeros(len(arrays) + 1, np.int32)
     np.cumsum([len(a) for a in arrays], out=offsets[1:])
@@ -102,7 +87,7 @@ def _reaches(docs: DataFrame, words: int, percent: int, reach: int) -> DataFrame
     """doc_id, set size, digest of the set, parity bits and the n-grams of the reach, in the order of their hashes."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _text_batches(whole, "text"):
+            for batch in text_batches(whole, "text"):
                 texts, index = distinct_texts_first(batch.column("text").to_pylist())
                 made = shingle_sets(texts, words)
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in made]
@@ -124,7 +109,7 @@ def _reaches(docs: DataFrame, words: int, percent: int, reach: int) -> DataFrame
 def _whole_sets(docs: DataFrame, words: int) -> DataFrame:
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _text_batches(whole, "text"):
+            for batch in text_batches(whole, "text"):
                 made = shingle_sets(batch.column("text").to_pylist(), words)
                 yield pa.RecordBatch.from_arrays([batch.column("id"), _lists(made)], ["id", "tokens"])
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugelake.llm.ngram_join import op1_ngram_jaccard_join
+from gaugelake.llm.packing import op9_vector_packing
+from gaugelake.llm.token_files import op6_bit_packed_tokens
 from gaugelake.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +25,8 @@ def on_workers(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {query.__name__: on_workers(query) for query in (
     op1_ngram_jaccard_join,
+    op6_bit_packed_tokens,
+    op9_vector_packing,
 )}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +15,7 @@ from gaugelake.session import shared_dir
 WHITE = r"[\x20\x09-\x0D]+"  # fixed: what separates words
 WORD = r"[^\x20\x09-\x0D]+"  # fixed: a word
 
+BATCH_BYTES = 4_000_000  # of text worked on at once in a task
 MAX_RANGES = 4096  # bound of what the driver holds of an ordered key
 
 
@@ -102,3 +106,16 @@ def distinct_texts_first(texts: list) -> tuple[list, list[int]]:
     places: dict = {}
     index = [places.setdefault(t, len(places)) for t in texts]
     return list(places), index
+
+
+def text_batches(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have about BATCH_BYTES together; a longer text is alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    lo, total = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        total += size
+        if total >= BATCH_BYTES:
+            yield batch.slice(lo, i + 1 - lo)
+            lo, total = i + 1, 0
+    if lo < batch.num_rows:
+        yield batch.slice(lo)
