@@ -16,7 +16,9 @@ import numpy as np
 MOST = 500_000
 
 # white space besides the space and the line feed, as any of the libraries sees it
-_OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+_OTHER_SPACE = re.compile("[" + "".join(map(chr, [
+    0x09, 0x0B, 0x0C, 0x0D, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
+    0x202F, 0x205F, 0x3000])) + "]")
 
 
 class _Pieces(dict):

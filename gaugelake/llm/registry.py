@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gaugelake.llm.fingerprints import op2_iblt_fingerprints
+from gaugelake.llm.host_quality import OP8_SQL, op8_host_quality
+from gaugelake.llm.mixing import op5_cube_sampling
 from gaugelake.llm.ngram_join import op1_ngram_jaccard_join
 from gaugelake.llm.packing import op9_vector_packing
 from gaugelake.llm.token_files import op6_bit_packed_tokens
@@ -25,8 +28,11 @@ def on_workers(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {query.__name__: on_workers(query) for query in (
     op1_ngram_jaccard_join,
+    op2_iblt_fingerprints,
+    op5_cube_sampling,
     op6_bit_packed_tokens,
+    op8_host_quality,
     op9_vector_packing,
 )}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_host_quality": OP8_SQL}
