@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gaugelake.llm.fingerprints import op2_iblt_fingerprints
 from gaugelake.llm.host_quality import OP8_SQL, op8_host_quality
+from gaugelake.llm.language import op10_byte_cnn_language
+from gaugelake.llm.licenses import op4_licence_sentences
 from gaugelake.llm.mixing import op5_cube_sampling
 from gaugelake.llm.ngram_join import op1_ngram_jaccard_join
 from gaugelake.llm.packing import op9_vector_packing
+from gaugelake.llm.private_data import op3_semi_crf_private_data
+from gaugelake.llm.secrets import op7_layered_secret_scan
 from gaugelake.llm.token_files import op6_bit_packed_tokens
 from gaugelake.session import ship_package
 
@@ -29,10 +33,14 @@ def on_workers(query: Query) -> Query:
 QUERIES: dict[str, Query] = {query.__name__: on_workers(query) for query in (
     op1_ngram_jaccard_join,
     op2_iblt_fingerprints,
+    op3_semi_crf_private_data,
+    op4_licence_sentences,
     op5_cube_sampling,
     op6_bit_packed_tokens,
+    op7_layered_secret_scan,
     op8_host_quality,
     op9_vector_packing,
+    op10_byte_cnn_language,
 )}
 
 ORACLE_SQL: dict[str, str] = {"op8_host_quality": OP8_SQL}
