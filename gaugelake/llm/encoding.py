@@ -2,7 +2,8 @@
 
 Both tokenizers cut a text at every white space before they merge, so the pieces between are encoded on
 their own; the ids of a piece are kept and a text becomes a series of look-ups. The result equals that of
-the tokenizer on the whole text. The memory of a worker is bounded: beyond MOST pieces it is emptied.
+the tokenizer on the whole text. Letters with signs behind them are looked up apart. The memory of a worker is bounded:
+at most two times MOST pieces are kept.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from itertools import chain
 
 import numpy as np
 
-MOST = 500_000
+MOST = 350_000
 
 # white space besides the space and the line feed, as any of the libraries sees it
 _OTHER_SPACE = re.compile("[" + "".join(map(chr, [
@@ -21,44 +22,77 @@ _OTHER_SPACE = re.compile("[" + "".join(map(chr, [
     0x202F, 0x205F, 0x3000])) + "]")
 
 
+# letters, then ASCII signs but for the apostrophe: every tokenizer here cuts between the two
+_LETTERS_SIGNS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if printable, else from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_ALPHABET = _byte_alphabet()
+
+
 class _Pieces(dict):
-    """Ids of pieces, encoded at their first use."""
+    """Ids of pieces, encoded at their first use; ``space`` if a space goes before each.
+
+    Beyond MOST pieces those not used since the last time are dropped.
+    """
 
-    def __init__(self, tokenizer, before: str, letters_before: str):
+    def __init__(self, tokenizer, space: bool, lower: bool):
         super().__init__()
         self.tokenizer, self.model = tokenizer, tokenizer.model
-        self.before, self.letters_before = before, letters_before
+        self.before, self.lower = " " if space else "", lower
+        self.signs: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
+
+    def trim(self) -> None:
+        if len(self) > MOST:
+            self.older = dict(self)
+            self.clear()
+        if len(self.signs) > MOST:
+            self.signs.clear()
 
     def __missing__(self, piece: str) -> tuple:
-        if piece.isascii() and piece.isalpha():  # no normalisation or cut can change it
-            ids = tuple(t.id for t in self.model.tokenize(self.letters_before + self.plain(piece)))
-        else:
-            ids = tuple(self.tokenizer.encode(self.before + piece, add_special_tokens=False).ids)
+        ids = self.older.pop(piece, None)
+        if ids is None:
+            ids = self._letters(piece) if piece.isalpha() else self._mixed(piece)
         self[piece] = ids
         return ids
 
-    @staticmethod
-    def plain(piece: str) -> str:
-        return piece
+    def _whole(self, text: str) -> tuple:
+        return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _letters(self, piece: str) -> tuple:
+        try:
+            piece.encode("latin-1")
+        except UnicodeEncodeError:
+            return self._whole(self.before + piece)
+        # one word, which normalisation leaves as it is (in Latin 1): only merges are left to do
+        plain = (self.before + (piece.lower() if self.lower else piece)).encode().decode("latin-1")
+        return tuple(t.id for t in self.model.tokenize(plain.translate(_ALPHABET)))
 
-class _LowerPieces(_Pieces):
-    @staticmethod
-    def plain(piece: str) -> str:
-        return piece.lower()
+    def _mixed(self, piece: str) -> tuple:
+        cut = _LETTERS_SIGNS.fullmatch(piece)
+        if not cut:
+            return self._whole(self.before + piece)
+        letters, signs = cut.groups()
+        if signs not in self.signs:
+            self.signs[signs] = self._whole(signs)
+        return self[letters] + self.signs[signs]
 
 
 class WordEncoder:
     """For tokenizers that lower-case and drop white space."""
 
     def __init__(self, tokenizer):
-        self.pieces = _LowerPieces(tokenizer, "", "")
-        self.pieces[""] = ()
+        self.pieces = _Pieces(tokenizer, space=False, lower=True)
 
     def encode(self, text: str) -> np.ndarray:
-        if len(self.pieces) > MOST:
-            self.pieces.clear()
-            self.pieces[""] = ()
+        self.pieces.trim()
         words = text.replace("\n", " ").split(" ")
         return np.fromiter(chain.from_iterable(map(self.pieces.__getitem__, words)), np.uint32)
 
@@ -71,10 +105,9 @@ class ByteEncoder:
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
-        self.first = _Pieces(tokenizer, "", "")
-        self.rest = _Pieces(tokenizer, " ", "Ġ")  # the space in the byte alphabet
+        self.first = _Pieces(tokenizer, space=False, lower=False)
+        self.rest = _Pieces(tokenizer, space=True, lower=False)
         self.line_feed = tuple(tokenizer.encode("\n", add_special_tokens=False).ids)
-        self.first[""] = ()
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
@@ -82,10 +115,8 @@ class ByteEncoder:
         if (text[0] == " " or text[-1] == " " or "  " in text or "\n\n" in text or " \n" in text
                 or "\n " in text or _OTHER_SPACE.search(text)):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        for pieces in (self.first, self.rest):
-            if len(pieces) > MOST:
-                pieces.clear()
-                self.first[""] = ()
+        self.first.trim()
+        self.rest.trim()
         parts = []
         for line in text.split("\n"):
             words = line.split(" ")
