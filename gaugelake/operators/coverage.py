@@ -12,7 +12,6 @@ LOCATION = "eumetnet:locationId"
 ROW_KEYS = ["timestamp", "longitude", "latitude", "location_id"]
 ORIGIN = ["_coverage", "_pos"]
 _CARRIED = ["_source_file", "_metadata", "station_id", "year"]
-MAX_WIDE_COLUMNS = 4096
 
 
 def payload(docs: DataFrame) -> Column:
@@ -141,10 +140,7 @@ def parameter_names(docs: DataFrame) -> list[str]:
     Only the distinct names reach the driver; there are a few dozen whatever the data size.
     """
     names = coverages(docs).select(F.explode(F.map_keys("coverage.ranges")).alias("n")).distinct()
-    found = sorted(r["n"] for r in names.limit(MAX_WIDE_COLUMNS + 1).collect())
-    if len(found) > MAX_WIDE_COLUMNS:
-        raise ValueError("too many parameters for one column each; keep the params map")
-    return found
+    return sorted(r["n"] for r in names.collect())
 
 
 def widen_params(rows: DataFrame, names: list[str]) -> DataFrame:
@@ -171,7 +167,7 @@ def profile_coverages(docs: DataFrame, sample_size: int = 5) -> DataFrame:
     head = F.transform_values(
         "coverage.ranges",
         lambda _, r: F.slice(
-            F.filter(F.slice(r["values"], 1, 100), lambda v: v.isNotNull()), 1, sample_size),
+            F.filter(r["values"], lambda v: v.isNotNull()), 1, sample_size),
     )
     each = coverages(docs, bare=True)
     return each.select(

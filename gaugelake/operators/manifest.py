@@ -30,9 +30,9 @@ def normalize_manifest(docs: DataFrame) -> DataFrame:
 
 
 def first_entries(entries: DataFrame) -> DataFrame:
-    """One row per (station, year): the entry loaded first."""
+    """One row per (station, year): the entry loaded first; one without a time counts as the last."""
     rest = [c for c in entries.columns if c not in KEY and c != "loaded_at"]
-    first = F.min(F.struct("loaded_at", *rest)).alias("_e")
+    first = F.min(F.struct(F.col("loaded_at").isNull().alias("_untimed"), "loaded_at", *rest)).alias("_e")
     return entries.groupBy(*KEY).agg(first).select(
         *KEY, *[F.col(f"_e.{c}").alias(c) for c in entries.columns if c not in KEY])
 

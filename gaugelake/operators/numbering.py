@@ -27,7 +27,7 @@ def with_position(df: DataFrame, keys: list[str], name: str = "position") -> Dat
     within = Window.partitionBy("_range").orderBy(*keys)
     return (
         ranges.withColumn("_row", F.row_number().over(within))
-        .join(F.broadcast(starts), "_range")
+        .join(starts, "_range")
         .withColumn(name, F.col("_start") + F.col("_row") - 1)
         .drop("_range", "_start", "_row")
     )

@@ -340,7 +340,7 @@ def recent_window(silver: DataFrame, station_id: str, until: str | None = None,
 
 
 def temps_since(silver: DataFrame, stations: DataFrame, since: str) -> DataFrame:
-    """Temperatures since a date per station name.
+    """Temperatures since a date per station name; a station that the registry lacks goes by its id.
 
     The observations are summed up per station before the registry names them, so the join sees
     one row per station.
@@ -355,7 +355,7 @@ def temps_since(silver: DataFrame, stations: DataFrame, since: str) -> DataFrame
     )
     named = per_station.join(
         stations.select(F.col("id").alias("station_id"), F.col("name").alias("station_name")),
-        "station_id")
+        "station_id", "left").withColumn("station_name", F.coalesce("station_name", "station_id"))
     return named.groupBy("station_name").agg(
         fixed_point.partial_mean("_temp", 2, merged=True).alias("avg_temp"),
         F.min("_min").alias("min_temp"),

@@ -37,13 +37,16 @@ def group_members(registry: DataFrame) -> DataFrame:
         "group", F.explode("m").alias("station_key"))
 
 
-def station_group(stations: DataFrame, members: DataFrame, names: str) -> DataFrame:
-    """Stations of a group, or of a comma-separated list of keys; an unknown name gives none."""
-    wanted = [n.strip() for n in names.split(",")]
-    if len(wanted) > 1:
-        return stations.where(F.col("station_key").isin(wanted))
-    in_group = members.where(F.col("group") == wanted[0]).select("station_key")
-    return stations.join(in_group, "station_key", "left_semi")
+def station_group(stations: DataFrame, members: DataFrame, names: str | list[str]) -> DataFrame:
+    """Stations of a group, or of a list of keys (comma-separated, or as such); an unknown name gives none.
+
+    A single name is that of a group or, as in a list of one, the key of a station.
+    """
+    wanted = [n.strip() for n in (names.split(",") if isinstance(names, str) else names)]
+    listed = stations.where(F.col("station_key").isin(wanted)).select("station_key")
+    if len(wanted) == 1:
+        listed = listed.union(members.where(F.col("group") == wanted[0]).select("station_key"))
+    return stations.join(listed, "station_key", "left_semi")
 
 
 def station_catalog(documents: DataFrame) -> DataFrame:
