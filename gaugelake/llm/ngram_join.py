@@ -233,9 +233,22 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, reach: int = 100)
 
 
 def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, reach: int = 25) -> DataFrame:
-    """The documents whose id is the smallest of its component; equal rows of one id stay one row each."""
-    kept = near_duplicates(docs, words, percent, reach).filter("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """The documents whose id is the smallest of its component; of rows with equal ids one stays.
+
+    Rows without an id can't be compared and stay. Only the ids that go, and those that occur more than once, are
+    joined, so the texts that stay are not shuffled where these are few.
+    """
+    scratch = Scratch(docs.sparkSession, "one-of-each")
+    goes = scratch.save(near_duplicates(docs, words, percent, reach)
+                        .filter("doc_id <> component_id").select("doc_id"), "goes")
+    repeated = scratch.save(docs.filter("doc_id is not null").groupBy("doc_id").count()
+                            .filter("count > 1").select("doc_id"), "repeated")
+    stays = docs.join(goes, "doc_id", "left_anti").select(*docs.columns)
+    single = stays.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+    if repeated.isEmpty():
+        return single
+    return single.unionByName(
+        stays.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
