@@ -28,10 +28,14 @@ MOST_PARTS = 10
 # fixed values: sentences of public licence texts and notices
 SENTENCES = {
     "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-                 "associated documentation files (the \"Software\"), to deal in the Software without restriction",
+                 "associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+                 "including without limitation the rights to use, copy, modify, merge, publish, distribute, "
+                 "sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is "
+                 "furnished to do so, subject to the following conditions",
     "mit-notice": "The above copyright notice and this permission notice shall be included in all copies or "
                   "substantial portions of the Software.",
-    "as-is": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED",
+    "as-is": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+             "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
     "mit-name": "Released under the MIT License.",
     "mit-licensed": "Licensed under the MIT License.",
     "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted "

@@ -143,8 +143,8 @@ def test_secrets_of_odd_tables(docs, with_repeats, empty):
 
 
 def test_licences():
-    mit = (licenses.SENTENCES["mit-grant"] + ", subject to the following:\n\n" + licenses.SENTENCES["mit-notice"]
-           + "\n\n" + licenses.SENTENCES["as-is"] + ".")
+    mit = (licenses.SENTENCES["mit-grant"] + ":\n\n" + licenses.SENTENCES["mit-notice"]
+           + "\n\n" + licenses.SENTENCES["as-is"])
     assert [m[0] for m in licenses.licences(f"Intro.\n{mit}\nMore.")] == ["MIT"]
     text = "Some words. All rights reserved.\nReleased under the\tMIT License."
     assert [(n, text[a:b]) for n, a, b in licenses.licences(text)] == [
