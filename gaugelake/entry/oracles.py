@@ -146,11 +146,17 @@ gaps AS (SELECT station_id, before + INTERVAL 1 HOUR AS gap_start,
   date_diff('hour', before, timestamp) - 1 AS missing_hours
   FROM hours WHERE date_diff('hour', before, timestamp) > 1)"""
 
-_COMPLETE = f"""complete AS (SELECT station_key FROM (
-  SELECT DISTINCT station_key, unnest(generate_series(greatest(year(start), {q.FIRST_YEAR}),
-    least(year("end"), {q.LAST_YEAR}))) AS y
-  FROM ranges) GROUP BY station_key HAVING count(*) = {q.LAST_YEAR - q.FIRST_YEAR + 1})"""
-_RANGES = "ranges AS (SELECT * FROM loads WHERE o_orderstatus IN ('F', 'O'))"
+# an hour is missing if it is the first one, or the one after a range, and lies in no range
+_COMPLETE = f"""marked AS (SELECT DISTINCT station_key FROM loads
+  WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'),
+points AS (SELECT DISTINCT station_key, TIMESTAMP '{q.FIRST_YEAR}-01-01 00:00:00' AS p FROM ranges
+  UNION SELECT station_key, "end" + INTERVAL 1 HOUR FROM ranges
+  WHERE year("end" + INTERVAL 1 HOUR) BETWEEN {q.FIRST_YEAR} AND {q.LAST_YEAR}),
+missing AS (SELECT station_key FROM points WHERE NOT EXISTS (SELECT 1 FROM ranges
+  WHERE ranges.station_key = points.station_key AND ranges.start <= p AND ranges."end" >= p)),
+complete AS (SELECT station_key FROM marked UNION SELECT station_key FROM ranges
+  WHERE station_key NOT IN (SELECT station_key FROM missing))"""
+_RANGES = "ranges AS (SELECT * FROM loads)"
 _YEARS = f"generate_series({q.FIRST_YEAR}, {q.LAST_YEAR})"
 
 
@@ -364,7 +370,7 @@ FROM silver JOIN stations ON station_id = id WHERE timestamp >= TIMESTAMP '{q.SI
 
 
 def _manifests() -> dict[str, str]:
-    first, both, rest = "'F'", "'F', 'O'", "'O', 'P'"
+    first, both, rest, every = "'F'", "'F', 'O'", "'O', 'P'", "'F', 'O', 'P'"
     station_columns = ("station_key, id, name, latitude, longitude, elevation_m, region, province,"
                        " type, active, priority, load_from, description")
     entry_columns = "station_key, station_name, year, loaded_at, file_path, size_mb"
@@ -385,7 +391,7 @@ def _manifests() -> dict[str, str]:
         "active_stations": f"{_STATIONS} SELECT station_key, id, name, active FROM stations WHERE active",
         "station_group": f"""{_STATIONS} SELECT station_key, id, type, region FROM stations
 WHERE type = 'machinery'""",
-        "normalize_manifest": f"""{_LOADS}, {_entries(both, 'entries')}
+        "normalize_manifest": f"""{_LOADS}, {_entries(every, 'entries')}
 SELECT station_key, 'id of ' || station_key AS station_id, station_name, year,
  CASE WHEN {old_form} THEN NULL ELSE loaded_at END AS loaded_at,
  CASE WHEN {old_form} THEN NULL ELSE file_path END AS file_path,
@@ -401,10 +407,10 @@ SELECT station_key, start, "end", CAST(year(start) AS INTEGER) AS year FROM plan
         "missing_years": f"""{_LOADS_STATIONS}
 SELECT station_key, CAST(unnest({_YEARS}) AS INTEGER) AS year FROM stations
 EXCEPT SELECT station_key, year FROM loads WHERE o_orderstatus IN ({both})""",
-        "manifest_summary": f"""{_LOADS}, {_entries(both, 'entries')}
+        "manifest_summary": f"""{_LOADS}, {_entries(every, 'entries')}
 SELECT station_key, count(*) AS total_years, {cents}, min(year) AS start_year, max(year) AS end_year,
  string_agg(CAST(year AS VARCHAR), ',' ORDER BY year) AS years_loaded FROM entries GROUP BY 1""",
-        "manifest_totals": f"""{_LOADS}, {_entries(both, 'entries')}
+        "manifest_totals": f"""{_LOADS}, {_entries(every, 'entries')}
 SELECT count(DISTINCT station_key) AS stations, count(*) AS total_years, {cents} FROM entries""",
         "track_ranges": f"""{_LOADS}, {_RANGES} SELECT station_key, count(*) AS loaded_ranges,
  CAST(sum(records) AS BIGINT) AS total_records,

@@ -464,10 +464,13 @@ def station_group(w: Workspace) -> DataFrame:
     ).select("station_key", "id", "type", "region")
 
 
+STATUSES = ["F", "O", "P"]
+
+
 @_register
 def normalize_manifest(w: Workspace) -> DataFrame:
     return manifest.normalize_manifest(
-        _parsed(derive.manifest_documents(w.loads, ["F", "O"]), MANIFEST_DOCUMENT))
+        _parsed(derive.manifest_documents(w.loads, STATUSES), MANIFEST_DOCUMENT))
 
 
 @_register
@@ -493,12 +496,18 @@ def missing_years(w: Workspace) -> DataFrame:
 
 @_register
 def manifest_summary(w: Workspace) -> DataFrame:
-    return manifest.manifest_summary(derive.year_manifest(w.loads, ["F", "O"]))
+    return manifest.manifest_summary(derive.year_manifest(w.loads, STATUSES))
 
 
 @_register
 def manifest_totals(w: Workspace) -> DataFrame:
-    return manifest.manifest_totals(derive.year_manifest(w.loads, ["F", "O"]))
+    return manifest.manifest_totals(derive.year_manifest(w.loads, STATUSES))
+
+
+def _marked(w: Workspace) -> DataFrame:
+    """Stations marked as complete: those with an urgent load that ended well."""
+    return w.loads.where("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'").select(
+        "station_key").distinct()
 
 
 RANGE_COLUMNS = ["station_key", "start", "end", "loaded_at", "records", "layers"]
@@ -512,23 +521,25 @@ def _ranges(w: Workspace, statuses: list[str]) -> DataFrame:
 
 @_register
 def track_ranges(w: Workspace) -> DataFrame:
-    return manifest.track_ranges(manifest.append_range(_ranges(w, ["F"]), _ranges(w, ["O"])))
+    return manifest.track_ranges(manifest.append_range(_ranges(w, ["F"]), _ranges(w, ["O", "P"])))
 
 
 @_register
 def range_totals(w: Workspace) -> DataFrame:
-    return manifest.range_totals(_ranges(w, ["F", "O"]))
+    return manifest.range_totals(_ranges(w, STATUSES))
 
 
 @_register
 def range_status(w: Workspace) -> DataFrame:
-    return manifest.range_status(w.stations, _ranges(w, ["F", "O"]), FIRST_YEAR, LAST_YEAR)
+    return manifest.range_status(w.stations, _ranges(w, STATUSES), FIRST_YEAR, LAST_YEAR,
+        _marked(w))
 
 
 @_register
 def stations_needing_load(w: Workspace) -> DataFrame:
     members = registry.group_members(_registry(w)).where("`group` = 'machinery'")
-    return manifest.stations_needing_load(members, _ranges(w, ["F", "O"]), FIRST_YEAR, LAST_YEAR)
+    return manifest.stations_needing_load(members, _ranges(w, STATUSES), FIRST_YEAR, LAST_YEAR,
+        _marked(w))
 
 
 @_register

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugelake.functions import fixed_point
@@ -109,22 +109,44 @@ def range_totals(ranges: DataFrame) -> DataFrame:
     )
 
 
-def complete_stations(ranges: DataFrame, start: int, end: int) -> DataFrame:
-    """Stations whose loaded ranges touch every year of start..end."""
-    years = F.sequence(F.greatest(F.year("start"), F.lit(start)), F.least(F.year("end"), F.lit(end)))
-    inside = (F.year("end") >= start) & (F.year("start") <= end) & (F.col("end") >= F.col("start"))
-    touched = ranges.where(inside).select("station_key", F.explode(years).alias("year")).distinct()
-    return (
-        touched.groupBy("station_key").count().where(F.col("count") == end - start + 1)
-        .select("station_key")
+def complete_stations(ranges: DataFrame, start: int, end: int,
+                      marked: DataFrame | None = None) -> DataFrame:
+    """Stations whose loaded ranges together hold every hour of the years start..end, and those
+    in ``marked`` (station_key), which are complete by an explicit mark.
+
+    A range without a start or an end, or that ends before it starts, holds no hour. Ranges that
+    start in the same hour are merged before the shuffle, so a station has a row per hour at most.
+    """
+    first, last = F.lit(f"{start}-01-01 00:00:00"), F.lit(f"{end}-12-31 23:00:00")
+    first, last = first.cast("timestamp"), last.cast("timestamp")
+    hour = F.expr("INTERVAL 1 HOUR")
+    up = F.date_trunc("hour", F.col("start") + F.expr("INTERVAL '59:59.999999' MINUTE TO SECOND"))
+    merged = (
+        ranges.where(F.col("start").isNotNull())
+        .select("station_key", F.greatest(up, first).alias("_from"),
+                      F.date_trunc("hour", "end").alias("_to"))
+        .where((F.col("_to") >= F.col("_from")) & (F.col("_from") <= last))
+        .groupBy("station_key", "_from").agg(F.max("_to").alias("_to"))
+    )
+    before = (Window.partitionBy("station_key").orderBy("_from")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    reached = F.coalesce(F.max("_to").over(before), first - hour)
+    covered = (
+        merged.withColumn("_hole", F.col("_from") > reached + hour)
+        .groupBy("station_key").agg(F.bool_or("_hole").alias("_hole"), F.max("_to").alias("_to"))
+        .where(~F.col("_hole") & (F.col("_to") >= last)).select("station_key")
     )
+    if marked is None:
+        return covered
+    return covered.unionByName(marked.select("station_key")).distinct()
 
 
-def range_status(stations: DataFrame, ranges: DataFrame, start: int, end: int) -> DataFrame:
+def range_status(stations: DataFrame, ranges: DataFrame, start: int, end: int,
+                 marked: DataFrame | None = None) -> DataFrame:
     """Every registered station: status, records, number of ranges, complete or not."""
     loaded = ranges.groupBy("station_key").agg(
         F.count("*").alias("_ranges"), F.sum("records").alias("_records"))
-    complete = complete_stations(ranges, start, end).withColumn("_complete", F.lit(True))
+    complete = complete_stations(ranges, start, end, marked).withColumn("_complete", F.lit(True))
     joined = (
         stations.select("station_key", F.col("name").alias("station_name"))
         .join(loaded, "station_key", "left").join(complete, "station_key", "left")
@@ -140,10 +162,11 @@ def range_status(stations: DataFrame, ranges: DataFrame, start: int, end: int) -
     )
 
 
-def stations_needing_load(members: DataFrame, ranges: DataFrame, start: int, end: int) -> DataFrame:
+def stations_needing_load(members: DataFrame, ranges: DataFrame, start: int, end: int,
+                          marked: DataFrame | None = None) -> DataFrame:
     """Group members without a complete history."""
     return members.select("station_key").join(
-        complete_stations(ranges, start, end), "station_key", "left_anti")
+        complete_stations(ranges, start, end, marked), "station_key", "left_anti")
 
 
 def ingest_event_summary(events: DataFrame) -> DataFrame:

@@ -200,11 +200,42 @@ def test_ranges(spark, stations):
     assert (row["loaded_ranges"], row["total_records"], row["next_update_from"]) == (2, 15, datetime(2000, 3, 31, 23))
     assert manifest.range_totals(ranges).first().asDict() == {
         "total_records_loaded": 15, "total_stations_active": 1}
-    status = {x["station_key"]: x for x in manifest.range_status(stations, ranges, 2000, 2001).collect()}
+    rest = spark.createDataFrame([r("a", (2001, 7, 1), (2001, 12, 31, 23), 4, 5)], schema)
+    whole = ranges.unionByName(rest)
+    status = {x["station_key"]: x for x in manifest.range_status(stations, whole, 2000, 2001).collect()}
     assert (status["a"]["status"], status["a"]["historical_complete"]) == ("complete", True)
     assert (status["b"]["status"], status["b"]["total_records"], status["b"]["n_ranges"]) == ("unknown", 0, 0)
-    assert manifest.range_status(stations, ranges, 2000, 2002).where("station_key = 'a'").first()["status"] == "in_progress"
-    assert [x["station_key"] for x in manifest.stations_needing_load(stations, ranges, 2000, 2001).collect()] == ["b"]
+    assert manifest.range_status(stations, whole, 2000, 2002).where("station_key = 'a'").first()["status"] == "in_progress"
+    # touching a year is not holding it
+    assert manifest.range_status(stations, ranges, 2000, 2001).where("station_key = 'a'").first()["status"] == "in_progress"
+    assert [x["station_key"] for x in manifest.stations_needing_load(stations, whole, 2000, 2001).collect()] == ["b"]
+
+
+def test_complete_stations(spark):
+    schema = "station_key string, start timestamp, end timestamp"
+    ranges = spark.createDataFrame([
+        ("new year", datetime(2000, 12, 31, 22), datetime(2001, 1, 1, 1)),
+        ("hole", datetime(2000, 1, 1), datetime(2000, 5, 31, 22)),
+        ("hole", datetime(2000, 6, 1), datetime(2001, 12, 31, 23)),
+        ("covered hole", datetime(2000, 5, 1), datetime(2000, 7, 1)),
+        ("covered hole", datetime(2000, 1, 1), datetime(2000, 5, 31, 22)),
+        ("covered hole", datetime(2000, 6, 1), datetime(2001, 12, 31, 23)),
+        ("covered hole", datetime(2000, 6, 1), datetime(2000, 6, 2)),
+        ("nested", datetime(1999, 1, 1), datetime(2003, 1, 1)),
+        ("nested", datetime(2000, 2, 1), datetime(2000, 3, 1)),
+        ("late", datetime(2000, 1, 1, 0, 30), datetime(2002, 1, 1)),
+        ("no end", datetime(2000, 1, 1), None), ("no start", None, datetime(2002, 1, 1)),
+        ("backwards", datetime(2002, 1, 1), datetime(2000, 1, 1)),
+    ], schema)
+
+    def names(df):
+        return sorted(x["station_key"] for x in df.collect())
+
+    assert names(manifest.complete_stations(ranges, 2000, 2001)) == ["covered hole", "nested"]
+    marked = spark.createDataFrame([("hole",), ("nested",), ("unseen",)], "station_key string")
+    assert names(manifest.complete_stations(ranges, 2000, 2001, marked)) == [
+        "covered hole", "hole", "nested", "unseen"]
+    assert names(manifest.complete_stations(ranges.limit(0), 2000, 2001)) == []
 
 
 def test_events(spark, tmp_path):
