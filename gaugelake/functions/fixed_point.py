@@ -1,10 +1,11 @@
 """Sums, means and percentages that do not depend on the order of the rows.
 
 Adding doubles gives other last digits whenever tasks finish in another order, and a mean that
-falls on a rounding tie then prints differently from run to run. Measurements carry at most three
-decimals, so they are added as whole thousandths, and the result is rounded half away from zero
-with integer division. A group that holds any value with more decimals, or beyond a thousand
-billion, is added as doubles instead. Under ANSI mode a sum beyond the bigint range is an error.
+falls on a rounding tie then prints differently from run to run. Every value is therefore added as
+a DECIMAL of nine decimals, up to 1e19, and rounded half away from zero: one sum and one count,
+with the same arithmetic for all groups. A tenth decimal of a value is rounded, and a mean within
+5e-10 of a tie counts as the tie. Under ANSI mode a value or sum out of range is an error, never a
+wrong number.
 
 Arguments are SQL expressions, mostly column names.
 """
@@ -14,22 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCALE = 3
-UNITS = 10 ** SCALE
-_LARGEST = "1e12D"
-_TOLERANCE = "1e-4D"  # of a thousandth: far above the error of a double, far below a fourth decimal
-
-
-def _whole(value: str) -> str:
-    """Whether the value is a whole number of thousandths; null for null."""
-    v = f"({value})"
-    return (f"(abs{v} < {_LARGEST} AND"
-            f" abs({v} * {UNITS}D - rint({v} * {UNITS}D)) < {_TOLERANCE})")
-
-
-def _units(value: str) -> str:
-    """The value in whole thousandths, 0 for one that is not."""
-    return f"CASE WHEN {_whole(value)} THEN CAST(rint(({value}) * {UNITS}D) AS BIGINT) ELSE 0 END"
+DECIMALS = 9
+_VALUE = f"DECIMAL(28, {DECIMALS})"  # its sum is a DECIMAL(38, 9)
 
 
 def _quotient(numerator: str, denominator: str, digits: int) -> str:
@@ -42,31 +29,22 @@ def _quotient(numerator: str, denominator: str, digits: int) -> str:
 
 
 def _aggregates(value: str) -> dict[str, str]:
-    return {
-        "units": f"sum({_units(value)})",
-        "plain": f"sum({value})",
-        "whole": f"bool_and({_whole(value)})",
-        "count": f"count({value})",
-    }
+    return {"sum": f"sum(CAST({value} AS {_VALUE}))", "count": f"count({value})"}
 
 
 def _stored(name: str, merged: bool) -> dict[str, str]:
-    columns = {k: f"{name}_{k}" for k in ("units", "plain", "whole", "count")}
-    if not merged:
-        return columns
-    return {k: (f"bool_and({c})" if k == "whole" else f"sum({c})") for k, c in columns.items()}
+    columns = {part: f"{name}_{part}" for part in ("sum", "count")}
+    return {part: f"sum({c})" for part, c in columns.items()} if merged else columns
 
 
 def _mean(parts: dict[str, str], digits: int) -> Column:
-    if not 0 <= digits <= SCALE:
-        raise ValueError(f"digits must lie in 0..{SCALE}")
-    exact = _quotient(parts["units"], f"({parts['count']} * {10 ** (SCALE - digits)})", digits)
-    plain = f"round(try_divide({parts['plain']}, {parts['count']}), {digits})"
-    return F.expr(f"CASE WHEN {parts['whole']} THEN {exact} ELSE {plain} END")
+    if not 0 <= digits <= DECIMALS:
+        raise ValueError(f"digits must lie in 0..{DECIMALS}")
+    return F.expr(f"CAST(round(try_divide({parts['sum']}, {parts['count']}), {digits}) AS DOUBLE)")
 
 
 def _total(parts: dict[str, str], digits: int) -> Column:
-    return _mean({**parts, "count": "1"}, digits)
+    return F.expr(f"CAST(round({parts['sum']}, {digits}) AS DOUBLE)")
 
 
 def mean(value: str, digits: int) -> Column:
@@ -74,7 +52,7 @@ def mean(value: str, digits: int) -> Column:
     return _mean(_aggregates(value), digits)
 
 
-def total(value: str, digits: int = SCALE) -> Column:
+def total(value: str, digits: int = DECIMALS) -> Column:
     """Aggregate: rounded sum of the non-null values, null if there are none."""
     return _total(_aggregates(value), digits)
 
@@ -89,7 +67,7 @@ def partial_mean(name: str, digits: int, merged: bool = False) -> Column:
     return _mean(_stored(name, merged), digits)
 
 
-def partial_total(name: str, digits: int = SCALE, merged: bool = False) -> Column:
+def partial_total(name: str, digits: int = DECIMALS, merged: bool = False) -> Column:
     """Sum from the parts called ``name``."""
     return _total(_stored(name, merged), digits)
 

@@ -73,16 +73,14 @@ def hottest_coldest(silver: DataFrame) -> DataFrame:
 
     A station without any temperature gives its earliest hour.
     """
-    # structs compare field by field, a null before any value
-    hot = F.max(F.struct(F.col(TEMP).alias("t"), (-F.unix_micros("_first")).alias("order"),
-                         F.col("_first").alias("at")))
-    cold = F.min(F.struct(F.col(TEMP).isNull().alias("none"), F.col(TEMP).alias("t"),
-                          F.col("_first").alias("at")))
+    # one row per value, so the value itself decides; without any value the earliest hour counts
+    earliest = F.min("_first")
     extremes = _per_value(silver, TEMP).groupBy("station_id").agg(
-        hot.alias("hot"), cold.alias("cold"))
+        F.max(TEMP).alias("hot"), F.coalesce(F.max_by("_first", TEMP), earliest).alias("hot_at"),
+        F.min(TEMP).alias("cold"), F.coalesce(F.min_by("_first", TEMP), earliest).alias("cold_at"))
     both = F.array(*[
-        F.struct(F.lit(label).alias("extreme_type"), F.col(f"{name}.at").alias("timestamp"),
-                 F.round(f"{name}.t", 1).alias("temp_celsius"))
+        F.struct(F.lit(label).alias("extreme_type"), F.col(f"{name}_at").alias("timestamp"),
+                 F.round(name, 1).alias("temp_celsius"))
         for label, name in (("HOTTEST", "hot"), ("COLDEST", "cold"))])
     return extremes.select("station_id", F.inline(both)).orderBy(
         F.col("station_id"), F.col("extreme_type").desc())
@@ -157,19 +155,22 @@ def station_stats(silver: DataFrame) -> DataFrame:
     )
 
 
+DEVIATION_UNITS = 10 ** 6  # the standard deviation adds whole millionths of a degree
 QUARTILES = {"q25_temp": 0.25, "median_temp": 0.5, "q75_temp": 0.75}
 
 
-def temperature_distribution(silver: DataFrame, method: str = "nearest",
-                             digits: int = 2) -> DataFrame:
+def temperature_distribution(silver: DataFrame, method: str = "nearest", digits: int = 2,
+                             accuracy: int = 10_000) -> DataFrame:
     """Quartiles and sample standard deviation of the temperature per station.
 
     ``nearest`` takes the value whose rank is nearest to q * (n - 1), ``linear`` interpolates
-    between the two neighbouring values; both are exact. ``approx`` is ``percentile_approx``.
+    between the two neighbouring values; both are exact. ``approx`` is ``percentile_approx``, whose
+    ranks are wrong by at most 1 / ``accuracy`` of the rows. The deviation is exact for temperatures
+    of up to six decimals; further ones are rounded.
     """
     if method == "approx":
         return silver.groupBy("station_id").agg(
-            *[F.round(F.percentile_approx(TEMP, q, 10_000), digits).alias(name)
+            *[F.round(F.percentile_approx(TEMP, q, accuracy), digits).alias(name)
               for name, q in QUARTILES.items()],
             F.round(F.stddev_samp(TEMP), digits).alias("std_temp")).orderBy("station_id")
     if method not in ("nearest", "linear"):
@@ -184,7 +185,7 @@ def temperature_distribution(silver: DataFrame, method: str = "nearest",
         F.coalesce("station_id", F.lit("")).alias("station_id"),
         F.coalesce(F.floor(TEMP), F.lit(0)).alias("_degree"), TEMP,
         present.alias("_rows"),
-        F.expr(f"CAST(rint({TEMP} * {fixed_point.UNITS}D) AS DECIMAL(38, 0))").alias("_u"),
+        F.expr(f"CAST(rint({TEMP} * {DEVIATION_UNITS}D) AS DECIMAL(38, 0))").alias("_u"),
     )
     station = Window.partitionBy("station_id")
     degrees = values.groupBy("station_id", "_degree").agg(F.sum("_rows").alias("_in")).select(
@@ -214,7 +215,7 @@ def temperature_distribution(silver: DataFrame, method: str = "nearest",
     s1 = F.sum(F.col("_u") * F.col("_rows"))
     s2 = F.sum(F.col("_u") * F.col("_u") * F.col("_rows"))
     variance = (n * s2 - s1 * s1).cast("double") / (n * (n - 1)).cast("double")
-    std = F.when(F.max("_n") > 1, F.sqrt(variance) / F.lit(float(fixed_point.UNITS)))
+    std = F.when(F.max("_n") > 1, F.sqrt(variance) / F.lit(float(DEVIATION_UNITS)))
     return (
         ranked.groupBy("station_id").agg(
             *[F.round(quantile(q), digits).alias(name) for name, q in QUARTILES.items()],

@@ -79,17 +79,21 @@ def test_fixed_point_rounds_ties_away_from_zero(spark):
     assert (got[3]["m"], got[3]["t"], got[3]["p"]) == (None, None, 0.0)
 
 
-def test_values_with_more_decimals_are_added_as_doubles(spark):
-    rows = [(1, i / 7) for i in range(1000)] + [(2, 0.1)] * 10 + [(3, 1e18)] * 3 + [(4, None), (4, 0.0004)]
+def test_sums_of_many_decimals_and_large_values_are_exact(spark):
+    rows = ([(1, 1e13), (1, 0.0004), (1, -1e13)] + [(2, 0.1)] * 10 + [(3, 1e18)] * 3
+            + [(4, None), (4, 0.0004)] + [(5, i / 7) for i in range(1000)])
     df = spark.createDataFrame(rows, "k int, v double")
     got = {r["k"]: r for r in df.groupBy("k").agg(
-        fixed_point.mean("v", 2).alias("m"), fixed_point.total("v", 1).alias("t")).collect()}
-    assert (got[1]["m"], got[1]["t"]) == (round(499.5 / 7, 2), round(499500 / 7, 1))
+        fixed_point.mean("v", 2).alias("m"), fixed_point.total("v", 4).alias("t")).collect()}
+    assert (got[1]["m"], got[1]["t"]) == (0.0, 0.0004)
     assert (got[2]["m"], got[2]["t"]) == (0.1, 1.0)
-    assert (got[3]["m"], got[4]["m"]) == (1e18, 0.0)
+    assert (got[3]["m"], got[3]["t"], got[4]["t"]) == (1e18, 3e18, 0.0004)
+    assert (got[5]["m"], got[5]["t"]) == (round(499.5 / 7, 2), round(499500 / 7, 4))
     parts = df.groupBy("k").agg(*fixed_point.partial("v", "p"))
-    assert parts.agg(fixed_point.partial_total("p", 1, merged=True)).first()[0] == pytest.approx(3e18)
+    assert parts.where("k < 3").agg(fixed_point.partial_total("p", 4, merged=True)).first()[0] == 1.0004
     assert parts.where("k = 2").agg(fixed_point.partial_mean("p", 2, merged=True)).first()[0] == 0.1
+    whole = df.where("k = 1 or k = 5")
+    assert len({whole.repartition(n).agg(fixed_point.total("v")).first()[0] for n in (1, 3, 8)}) == 1
 
 
 def test_fixed_point_does_not_depend_on_partitions(spark):
@@ -146,6 +150,13 @@ def test_distribution_of_many_values_in_few_degrees(spark):
     assert got["z"]["std_temp"] is None
 
 
+def test_deviation_of_more_than_three_decimals(spark):
+    rows = [{"station_id": "a", "timestamp": START + timedelta(hours=i), "temperature_celsius": v}
+            for i, v in enumerate((1.00004, 2.00004, 3.00008))]
+    got = by_station(queries.temperature_distribution(table(spark, rows), digits=6))
+    assert got["a"]["std_temp"] == 1.00002
+
+
 def test_hottest_and_coldest(silver, frame):
     got = {(r["station_id"], r["extreme_type"]): r for r in queries.hottest_coldest(silver).collect()}
     assert len(got) == 8
