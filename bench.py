@@ -51,7 +51,7 @@ def main() -> None:
     refined, cleaned = f"{workspace.root}/bench_refined", f"{workspace.root}/bench_silver"
     names = derive.PARAMETERS
     actions = {
-        "raw_to_refined": lambda: jobs.refine(spark, raw, refined, names=names, layout=by_year),
+        "raw_to_refined": lambda: jobs.refine(spark, raw, refined, multiline=False, names=names, layout=by_year),
         "refined_to_silver": lambda: jobs.clean(spark, refined, cleaned, names, layout=by_year),
         "flatten_documents": lambda: compute(coverage.flatten_wide(workspace.raw, names)),
     }

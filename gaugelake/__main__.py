@@ -35,7 +35,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--year", type=int)
     parser.add_argument("--parameters", type=lambda text: text.split(","))
     parser.add_argument("--yearly", action="store_true", help="directories by year, not by month")
-    parser.add_argument("--multiline", action="store_true", help="one pretty-printed document per file")
+    parser.add_argument("--multiline", action="store_true", default=None,
+                        help="one pretty-printed document per file; both forms are told apart otherwise")
     args = parser.parse_args(argv)
     needed = {"refine": ("raw", "refined"), "clean": ("refined", "silver"),
               "incremental": ("raw", "silver", "checkpoint"), "report": ("silver", "year")}

@@ -85,7 +85,8 @@ class Workspace:
 
     @cached_property
     def refined_path(self) -> str:
-        return self.written("refined", lambda p: jobs.refine(self.spark, self.raw_root, p))
+        return self.written("refined", lambda p: jobs.refine(
+            self.spark, self.raw_root, p, multiline=False))
 
     @cached_property
     def refined(self) -> DataFrame:

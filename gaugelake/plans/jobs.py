@@ -17,28 +17,36 @@ SILVER_CODES = [c for c in SILVER_MAPPING
 
 
 def refine(spark: SparkSession, raw_root: str, refined_path: str, station_id: str | None = None,
-           year: int | None = None, multiline: bool = False,
+           year: int | None = None, multiline: bool | None = None,
            names: list[str] | None = None, layout: list[str] = tables.MONTHLY,
            quarantine: str | None = None) -> list[str]:
     """Raw documents -> refined table; gives the parameter names that became columns.
 
-    Without ``names`` the vocabulary is read from the documents first. Documents that do not parse
-    are left out, and written to ``quarantine`` if it is given.
+    Files of a document per line and pretty-printed ones are told apart by reading them once more,
+    unless ``multiline`` says which they are. Without ``names`` the vocabulary is read from the
+    documents first. Documents that do not parse are written to ``quarantine``; if it is not given
+    they are an error, raised after the others are written.
     """
     configure(spark)
-    docs = raw.read_raw_coverage(spark, raw_root, station_id, multiline=multiline, keep_corrupt=True)
+    if multiline is None:
+        docs = raw.read_either_form(spark, raw_root, station_id)
+    else:
+        docs = raw.read_raw_coverage(spark, raw_root, station_id, multiline=multiline, keep_corrupt=True)
     if year is not None:
         # a document lies under the year it starts in and may run on into later ones; a partition
         # is replaced as a whole, so every document that could reach this year is read
         docs = docs.where(F.col("year") <= year)
-    docs, bad, _ = raw.isolate_bad_files(docs)
-    if quarantine is not None:
-        bad.write.mode("overwrite").json(quarantine)
-    names = names or coverage.parameter_names(docs)
-    rows = coverage.flatten_wide(docs, names).drop("station_id", "year")
+    names = names or coverage.parameter_names(raw.isolate_bad_files(docs)[0])
+    docs, counts = raw.counted(docs)
+    good, bad, _ = raw.isolate_bad_files(docs)
+    rows = coverage.flatten_wide(good, names).drop("station_id", "year")
     if year is not None:
         rows = rows.where(F.year("timestamp") == year)
     tables.write_refined(coverage.add_lineage(rows), refined_path, layout)
+    if quarantine is None:
+        raw.refuse_losses(counts)
+    else:
+        bad.write.mode("overwrite").json(quarantine)
     return names
 
 

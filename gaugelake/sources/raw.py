@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,12 +26,14 @@ def canonical_id(station: Column) -> Column:
 
 def read_raw_coverage(spark: SparkSession, root: str, station_id: str | None = None,
                       year: int | None = None, multiline: bool = False,
-                      keep_corrupt: bool = False, glob: str = "*.json") -> DataFrame:
+                      keep_corrupt: bool = False, glob: str = "*.json",
+                      paths: list[str] | None = None) -> DataFrame:
     """Documents under ``root/station_id=/year=``, of one station and year if given.
 
     Both document forms are accepted, and both spellings of the directory. ``multiline`` is for
     files that hold one pretty-printed document each; a file of documents line by line is split
-    over tasks. ``keep_corrupt`` keeps what does not parse as text in ``_corrupt_record``.
+    over tasks. ``keep_corrupt`` keeps what does not parse as text in ``_corrupt_record``. ``paths``
+    names the files under ``root`` to read, all of them if not given.
     """
     fields = [*RAW_DOCUMENT.fields, *_DIRECTORIES]
     if keep_corrupt:
@@ -39,7 +43,7 @@ def read_raw_coverage(spark: SparkSession, root: str, station_id: str | None = N
         .option("multiLine", multiline).option("pathGlobFilter", glob)
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     )
-    docs = reader.json(root)
+    docs = reader.json(root) if paths is None else reader.option("basePath", root).json(paths)
     if station_id is not None:
         docs = docs.where(F.col("station_id").isin(station_id, station_id.replace("-", "_")))
     if year is not None:
@@ -48,6 +52,38 @@ def read_raw_coverage(spark: SparkSession, root: str, station_id: str | None = N
         "station_id", canonical_id(F.col("station_id")))
 
 
+def reread_pretty_printed(docs: DataFrame, root: str, glob: str = "*.json") -> DataFrame:
+    """``docs``, read line by line with ``keep_corrupt``, with pretty-printed files read as a whole.
+
+    A file counts as pretty-printed if lines of it do not parse and none holds a coverage. Its path
+    goes through the driver, whose list of files to read has it already.
+    """
+    filled = F.col(CORRUPT_COLUMN).isNull() & payload(docs)["coverages"].isNotNull()
+    files = docs.groupBy("_source_file").agg(
+        F.count_if(filled).alias("filled"),
+        F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("corrupt"),
+    ).where("filled = 0 and corrupt > 0").select("_source_file")
+    paths = [unquote(row[0]) for row in files.collect()]
+    if not paths:
+        return docs
+    spark = docs.sparkSession
+    whole = read_raw_coverage(spark, root, multiline=True, keep_corrupt=True, glob=glob, paths=paths)
+    names = spark.createDataFrame([(path,) for path in paths], "path string")
+    lines = docs.withColumn("_path", F.url_decode(F.replace("_source_file", F.lit("+"), F.lit("%2B"))))
+    lines = lines.join(names, F.col("_path") == F.col("path"), "left_anti").drop("_path")
+    return lines.unionByName(whole)
+
+
+def read_either_form(spark: SparkSession, root: str, station_id: str | None = None,
+                     glob: str = "*.json") -> DataFrame:
+    """Documents with what does not parse, from files of a document per line and pretty-printed ones.
+
+    Telling them apart reads the documents once more; ``read_raw_coverage`` reads one form.
+    """
+    docs = read_raw_coverage(spark, root, station_id, keep_corrupt=True, glob=glob)
+    return reread_pretty_printed(docs, root, glob)
+
+
 def with_metadata(split: DataFrame, stations: DataFrame | None, ingested_at: str, source_api: str,
                   collection: str, requested: int) -> DataFrame:
     """Wrap each single-station document in an envelope that says where it came from."""
@@ -87,6 +123,28 @@ def land_raw(enveloped: DataFrame, root: str, replace: bool = True) -> None:
         placed.write.mode("append").partitionBy(*RAW_PARTITIONS).json(root)
 
 
+def _bad(docs: DataFrame) -> Column:
+    """Whether the JSON or one of the times of a document does not parse."""
+    bad_time = F.exists(payload(docs)["coverages"], lambda c: F.exists(
+        c["domain"]["axes"]["t"]["values"],
+        lambda t: t.isNotNull() & F.try_to_timestamp(t).isNull()))
+    return F.col(CORRUPT_COLUMN).isNotNull() | F.coalesce(bad_time, F.lit(False))
+
+
+def counted(docs: DataFrame) -> tuple[DataFrame, Observation]:
+    """The documents, counted on their way through the next job that reads them."""
+    counts = Observation("documents")
+    return docs.observe(counts, F.count_if(_bad(docs)).alias("bad"), F.count("*").alias("all")), counts
+
+
+def refuse_losses(counts: Observation) -> None:
+    """An error if a document was bad, to be called after the job."""
+    found = counts.get
+    if found["bad"]:
+        raise ValueError(f"{found['bad']} of {found['all']} documents do not parse; the others are written."
+                         " Name a quarantine folder to go on without them")
+
+
 def isolate_bad_files(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(readable documents, quarantine, outcome per file): a bad document does not stop the others.
 
@@ -94,10 +152,7 @@ def isolate_bad_files(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
     coverages counts as empty.
     """
     members = payload(docs)["coverages"]
-    bad_time = F.exists(members, lambda c: F.exists(
-        c["domain"]["axes"]["t"]["values"],
-        lambda t: t.isNotNull() & F.try_to_timestamp(t).isNull()))
-    bad = F.col(CORRUPT_COLUMN).isNotNull() | F.coalesce(bad_time, F.lit(False))
+    bad = _bad(docs)
     filled = members.isNotNull()
     ok, empty = F.count_if(~bad & filled), F.count_if(~bad & ~filled)
     outcome = docs.groupBy("station_id", "year", "_source_file").agg(

@@ -72,26 +72,32 @@ def insert_new(batch: DataFrame, path: str, layout: list[str] = tables.MONTHLY)
 
 def incremental_load(spark: SparkSession, raw_root: str, silver_path: str, checkpoint: str,
                      sentinel_first: bool = False, layout: list[str] = tables.MONTHLY,
-                     multiline: bool = False, max_files: int | None = None,
+                     multiline: bool | None = None, max_files: int | None = None,
                      order_by: list[str] = REFINED_ORDER, quarantine: str | None = None) -> None:
     """Process the raw files that came since the last call, then stop.
 
     ``order_by`` decides between copies of an hour within one run. The checkpoint remembers the
     files seen. A file that repeats hours already loaded, such as one that looks back over the last
-    two days, changes nothing for them. Documents that do not parse are left out, and written to
-    ``quarantine`` if it is given, a directory per batch.
+    two days, changes nothing for them. Both forms of files are read, unless ``multiline`` says which one
+    they have. Documents that do not parse are written to ``quarantine``, a directory per batch; if it
+    is not given they are an error, and the next call takes the files of that batch again.
     """
     configure(spark)
 
     def load(docs: DataFrame, batch_id: int) -> None:
+        if multiline is None:
+            docs = raw.reread_pretty_printed(docs, raw_root)
+        docs, counts = raw.counted(docs)
         good, bad, _ = raw.isolate_bad_files(docs)
         if quarantine is not None:
             bad.write.mode("overwrite").json(f"{quarantine}/batch={batch_id}")
         insert_new(silver.to_silver(refined_rows(good), order_by, sentinel_first),
                    silver_path, layout)
+        if quarantine is None:
+            raw.refuse_losses(counts)
 
     query = (
-        stream_raw(spark, raw_root, multiline, max_files)
+        stream_raw(spark, raw_root, bool(multiline), max_files)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()

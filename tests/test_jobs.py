@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from documents import A, B, collection, coverage, enveloped, hours, land
 
@@ -5,6 +7,7 @@ from gaugelake.__main__ import main
 from gaugelake.plans import jobs
 from gaugelake.plans.views import register_views
 from gaugelake.sources import tables
+from gaugelake.streaming.incremental import incremental_load
 
 
 @pytest.fixture(scope="module")
@@ -60,3 +63,27 @@ def test_report_runs_in_full(spark, folders):
     results = {name: df.collect() for name, df in jobs.report(silver, 2024).items()}
     assert len(results) == 16 and all(results.values())
     silver.unpersist()
+
+
+def test_both_forms_of_files_and_no_document_lost(spark, tmp_path):
+    root = tmp_path / "raw + more"
+    day = {A: "2024-01-01", B: "2024-01-02"}
+    docs = {s: enveloped(collection(coverage(s, hours(d, 0, 3), {"T": [1, 2, 3]})), s) for s, d in day.items()}
+    land(root, A, 2024, "pretty.json", docs[A])
+    land(root, B, 2024, "line.json", docs[B], indent=None)
+    refined = str(tmp_path / "refined")
+    assert jobs.refine(spark, str(root), refined) == ["T"]
+    assert tables.scan_refined(spark, refined, ["T"]).count() == 6
+    incremental_load(spark, str(root), str(tmp_path / "silver"), str(tmp_path / "ck"))
+    assert tables.scan_silver(spark, str(tmp_path / "silver")).count() == 6
+
+    land(root, B, 2024, "broken.json", json.dumps(docs[B])[:-5])
+    with pytest.raises(ValueError, match="1 of 3 documents"):
+        jobs.refine(spark, str(root), refined)
+    with pytest.raises(Exception, match="1 of 1 documents"):
+        incremental_load(spark, str(root), str(tmp_path / "silver"), str(tmp_path / "ck"))
+    bad = str(tmp_path / "bad")
+    jobs.refine(spark, str(root), refined, quarantine=bad)
+    incremental_load(spark, str(root), str(tmp_path / "silver"), str(tmp_path / "ck"), quarantine=bad + "2")
+    assert spark.read.json(bad).count() == 1 and spark.read.json(bad + "2").count() == 1
+    assert tables.scan_silver(spark, str(tmp_path / "silver")).count() == 6
