@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,6 +24,23 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_end_with_query(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of each query as it ends, rather than when the driver collects garbage.
+
+    For queries that write a table: what follows reads the table and needs no shuffle of theirs.
+    """
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 class Scratch:
     """Tables written to the folder all executors share, so that a lost executor costs no lineage.
 
@@ -36,7 +54,8 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        with shuffles_end_with_query(self.spark):
+            df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

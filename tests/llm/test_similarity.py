@@ -5,8 +5,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from gaugelake.llm import fingerprints, ngram_join
+from gaugelake.llm import fingerprints, ngram_join, shared
 from gaugelake.llm.shingles import shingle_sets
 
 
@@ -115,3 +116,13 @@ def test_fingerprints_of_odd_tables(with_repeats, empty):
 def test_fingerprints_stay_in_the_jvm(docs):
     plan = fingerprints.fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_written_tables_leave_the_settings_and_can_be_made_again(spark):
+    before = dict(spark.sparkContext.getConf().getAll()), spark.conf.get(shared._CLEANUP)
+    counts = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    scratch = shared.Scratch(spark, "twice")
+    first = scratch.save(counts, "first")
+    again = scratch.save(counts, "again")  # its shuffle files are gone by now
+    assert sorted(first.collect()) == sorted(again.collect()) == sorted(counts.collect())
+    assert (dict(spark.sparkContext.getConf().getAll()), spark.conf.get(shared._CLEANUP)) == before
