@@ -5,8 +5,8 @@ are written in other ways (``name [at] host [dot] com``, ``(743) 555-3824``). It
 a cue (a digit, ``@`` or a written-out "at"); no segment without a cue can be an entity, so texts outside of regions are
 decided already. Within a region every segment of up to MOST_TOKENS tokens is a candidate for every kind. Its score is the
 product of the kind's weights with features of the whole segment (digits and their grouping, check digits, signs, words
-before it), and a dynamic program over boundaries and kinds finds the best cut, of at most MOST_ENTITIES
-entities per region. Segments outside of entities are single tokens of score 0.
+before it), and a dynamic program over boundaries and kinds finds the best cut, with as many
+entities as it takes. Segments outside of entities are single tokens of score 0.
 
 The weights are fitted by gradient ascent on the likelihood (forward and backward sums over all cuts) of regions from
 a bounded sample of the documents. Their labels are the base spans; each labelled span is also rewritten in the ways
@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +48,6 @@ PHONE_DIGITS = (9, 15)
 TRAIN_DOCUMENTS = 20_000  # documents sampled by hash
 TRAIN_REGIONS = 750  # regions the driver fits on
 MOST_TOKENS = 14
-MOST_ENTITIES = 6
 AROUND = 4  # tokens of a region on both sides of a cue
 EPOCHS = 40
 MARGIN = 1.0  # an added entity must beat the best cut without it by this much
@@ -210,29 +210,28 @@ class Lattice:
         last = np.array([backward[j] for _, j in self.segments])
         return np.exp(scores + (first + last - forward[n])[:, None])
 
-    def best(self, scores: np.ndarray) -> list[tuple[int, int]]:
-        """(segment, kind) of the best cut of at most MOST_ENTITIES entities, each worth MARGIN or more."""
-        kinds, value = scores.argmax(axis=1), scores.max(axis=1) - MARGIN
-        n = len(self.tokens)
-        top = np.full((n + 1, MOST_ENTITIES + 1), -np.inf)
-        come = np.full((n + 1, MOST_ENTITIES + 1), -1)
-        top[0, 0] = 0
-        for j in range(1, n + 1):
-            top[j] = top[j - 1]
-            for k in self.ending[j]:
-                if value[k] > 0:
-                    got = top[self.segments[k][0], :-1] + value[k]
-                    better = np.flatnonzero(got > top[j, 1:])
-                    top[j, better + 1], come[j, better + 1] = got[better], k
-        out, j, e = [], n, int(top[n].argmax())
-        while j and e:
-            k = come[j, e]
-            if k >= 0 and top[j, e] > top[j - 1, e]:
-                out.append((int(k), int(kinds[k])))
-                j, e = self.segments[k][0], e - 1
-            else:
-                j -= 1
-        return out[::-1]
+
+def best_cut(worth: list[tuple[int, int, int, float]]) -> list[tuple[int, int, int]]:
+    """(first token, token after the last, kind) of the entities of the best cut, of any number.
+
+    ``worth``: those and the value of each segment worth an entity (over 0), in order of its end. A bound on the entities
+    that no cut can exceed never binds, so the program over boundaries need not count them.
+    """
+    ends, top = [0], [0.0]  # the ends at which the best value grows
+    come: list[tuple[int, int, int, int] | None] = [None]
+    for i, j, kind, value in worth:
+        at = bisect_right(ends, i) - 1
+        if top[at] + value > top[-1]:
+            if ends[-1] == j:
+                del ends[-1], top[-1], come[-1]
+            ends.append(j)
+            top.append(top[at] + value)
+            come.append((i, j, kind, at))
+    out, step = [], come[-1]
+    while step:
+        out.append(step[:3])
+        step = come[step[3]]
+    return out[::-1]
 
 
 def rewritten(value: str, kind: int, rng: random.Random) -> str | None:
@@ -323,8 +322,10 @@ def added_spans(text: str, base: list[Span], weights: np.ndarray) -> list[Span]:
         lattice = Lattice(text[lo:hi])
         if not lattice.segments:
             continue
-        for k, kind in lattice.best(lattice.x @ weights.T):
-            i, j = lattice.segments[k]
+        scores = lattice.x @ weights.T
+        value = scores.max(axis=1) - MARGIN
+        worth = [(*lattice.segments[k], int(scores[k].argmax()), float(value[k])) for k in np.flatnonzero(value > 0)]
+        for i, j, kind in best_cut(sorted(worth, key=lambda w: w[1])):
             start, end = lo + lattice.tokens[i][0], lo + lattice.tokens[j - 1][1]
             if not any(a < end and start < b for a, _, b in base):
                 out.append((start, kind, end))

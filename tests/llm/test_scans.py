@@ -86,6 +86,24 @@ def test_marginals_of_cuts():
     assert lattice.expected(scores) == pytest.approx(marginal / total)
 
 
+def test_cut_of_many_entities():
+    """The best cut against all cuts, and one of more entities than a small bound holds."""
+    rng = random.Random(6)
+
+    def most(worth, start):
+        return max([0.0] + [w[3] + most(worth, w[1]) for w in worth if w[0] >= start])
+
+    for _ in range(200):
+        worth = sorted([(i, i + rng.randint(1, 4), rng.randrange(4), rng.random()) for i in
+                        (rng.randrange(8) for _ in range(7))], key=lambda w: w[1])
+        cut = private_data.best_cut(worth)
+        assert all(a[1] <= b[0] for a, b in zip(cut, cut[1:], strict=False))
+        value = {w[:3]: w[3] for w in sorted(worth, key=lambda w: w[3])}
+        assert sum(value[c] for c in cut) == pytest.approx(most(worth, 0))
+    many = [(i, i + 1, 3, 1.0) for i in range(0, 80, 2)]
+    assert private_data.best_cut(many) == [w[:3] for w in many]
+
+
 def test_private_data_of_odd_tables(with_repeats, empty):
     assert private_data.scan(empty, private_data.train(empty)).collect() == []
     assert private_data.scan(with_repeats, private_data.train(with_repeats)).count() == with_repeats.count()
