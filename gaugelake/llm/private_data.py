@@ -2,8 +2,8 @@
 
 The base patterns find plain e-mail addresses, IP addresses, card and phone numbers. The random field adds spans that
 are written in other ways (``name [at] host [dot] com``, ``(743) 555-3824``). It works on regions: runs of tokens around
-a cue (a digit, ``@`` or a written-out "at"); no segment without a cue can be an entity, so texts outside of regions are
-decided already. Within a region every segment of up to MOST_TOKENS tokens is a candidate for every kind. Its score is the
+cues (a digit, ``@`` or an "at" that an address could be written with), as far as a segment with a cue can reach; no segment
+without a cue can be an entity, so texts outside of regions are decided already. Within a region every segment of up to MOST_TOKENS tokens is a candidate for every kind. Its score is the
 product of the kind's weights with features of the whole segment (digits and their grouping, check digits, signs, words
 before it), and a dynamic program over boundaries and kinds finds the best cut, with as many
 entities as it takes. Segments outside of entities are single tokens of score 0.
@@ -24,8 +24,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,8 @@ PHONE_DIGITS = (9, 15)
 TRAIN_DOCUMENTS = 20_000  # documents sampled by hash
 TRAIN_REGIONS = 750  # regions the driver fits on
 MOST_TOKENS = 14
-AROUND = 4  # tokens of a region on both sides of a cue
+AROUND = 4  # words of a training window before its first cue
+BLOCK = 4096  # segments measured at once
 EPOCHS = 40
 MARGIN = 1.0  # an added entity must beat the best cut without it by this much
 SEED = 5
@@ -98,7 +100,9 @@ def base_spans(text: str) -> list[Span]:
 
 TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\S")
 AT, DOT = r"(?:\[at\]|\(at\)|\{at\}| at )", r"(?:\[dot\]|\(dot\)|\{dot\}| dot )"
-CUE = re.compile(r"[0-9@]|(?i:[\[({]at[\])}]|\bat\b)")
+# the bare word "at" is a cue only where an address could be written with it
+CUE = re.compile(rf"[0-9@]|(?i:[\[({{]at[\])}}]|at(?:(?<=[\w.+-] at)|(?<=[\w.+-]  at))(?=  ?[\w-]+ ?(?:\.|{DOT}) ?[\w-]))")
+REACH = re.compile(rf"(\S*)(?:[^\S\n]+\S+){{0,{MOST_TOKENS}}}")
 WRITTEN = re.compile(rf"[\w.+-]+ ?(?:@|{AT}) ?[\w-]+(?: ?(?:\.|{DOT}) ?[\w-]+)+", re.IGNORECASE)
 GOES_ON = re.compile(rf" ?(?:\.|{DOT}) ?\w", re.IGNORECASE)
 QUADS = re.compile(r"[0-9]{1,3}(?:(?:\.|\[\.\]|\(\.\)| ?\[dot\] ?)[0-9]{1,3}){3}")
@@ -137,7 +141,36 @@ def features(text: str, start: int, end: int, word_before: str) -> np.ndarray:
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Code point ranges around cues, in order and apart from each other."""
+    """Code point ranges around cues, in order, apart from each other and each within a line.
+
+    Every cue has MOST_TOKENS words on both sides; ranges that meet are one. So no candidate segment crosses
+    the end of a range, and deciding the ranges is deciding the text.
+    """
+    out: list[tuple[int, int]] = []
+    line_lo = line_hi = word_hi = hi = -1
+    for m in CUE.finditer(text):
+        at = m.start()
+        if at < word_hi:
+            continue
+        if at >= line_hi:
+            line_lo = text.rfind("\n", max(line_hi, 0), at) + 1 or max(line_hi, 0)
+            line_hi = text.find("\n", at)
+            line_hi = len(text) if line_hi < 0 else line_hi
+        base = max(line_lo, hi)
+        words = text[base:at].rsplit(None, MOST_TOKENS)
+        near = REACH.match(text, at)
+        word_hi = near.end(1)
+        if base == hi and len(words) <= MOST_TOKENS:
+            hi = max(hi, near.end())
+            out[-1] = out[-1][0], hi
+        else:
+            lo, hi = base + (len(words[0]) if len(words) > MOST_TOKENS else 0), near.end()
+            out.append((lo, hi))
+    return out
+
+
+def windows(text: str) -> list[tuple[int, int]]:
+    """Short code point ranges that hold the cues, to fit the weights on."""
     if not CUE.search(text):
         return []
     out: list[tuple[int, int]] = []
@@ -158,25 +191,49 @@ def regions(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def tokens_of(text: str, lo: int, hi: int) -> list[tuple[int, int]]:
+    return [(m.start(), m.end()) for m in TOKEN.finditer(text, lo, hi)]
+
+
+def words_before(text: str, tokens: list[tuple[int, int]]) -> list[str]:
+    """The last word before each token."""
+    out, last = [], ""
+    for lo, hi in tokens:
+        out.append(last)
+        if text[lo].isalpha():
+            last = text[lo:hi].lower()
+    return out
+
+
+def candidates(text: str, tokens: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Segments of up to MOST_TOKENS tokens of a line that hold a cue, by their start."""
+    n = len(tokens)
+    held, line = n, n  # the next cue, and the first token of the next line
+    ends = []
+    for i in range(n - 1, -1, -1):
+        if i + 1 < n and "\n" in text[tokens[i][1]:tokens[i + 1][0]]:
+            line = i + 1
+        if CUE.match(text, tokens[i][0]):
+            held = i
+        ends.append((held + 1, min(i + MOST_TOKENS, line)))
+    for i, (least, most) in enumerate(reversed(ends)):
+        for j in range(least, most + 1):
+            yield i, j
+
+
+def measured(text: str, tokens: list[tuple[int, int]], before: list[str], segments: list[tuple[int, int]]) -> np.ndarray:
+    rows = [features(text, tokens[i][0], tokens[j - 1][1], before[i]) for i, j in segments]
+    return np.array(rows).reshape(-1, N_FEATURES)
+
+
 class Lattice:
     """The segments of a region and their features."""
 
     def __init__(self, text: str):
         self.text = text
-        self.tokens = [(m.start(), m.end()) for m in TOKEN.finditer(text)]
-        before, last = [], ""
-        for lo, hi in self.tokens:
-            before.append(last)
-            if text[lo].isalpha():
-                last = text[lo:hi].lower()
-        cue = np.cumsum([0] + [bool(CUE.match(text, lo)) for lo, _ in self.tokens])
-        self.segments, rows = [], []  # (first token, token after the last)
-        for i, (lo, _) in enumerate(self.tokens):
-            for j in range(i + 1, min(i + MOST_TOKENS, len(self.tokens)) + 1):
-                if cue[j] > cue[i] and "\n" not in text[lo:self.tokens[j - 1][1]]:
-                    self.segments.append((i, j))
-                    rows.append(features(text, lo, self.tokens[j - 1][1], before[i]))
-        self.x = np.array(rows).reshape(-1, N_FEATURES)
+        self.tokens = tokens_of(text, 0, len(text))
+        self.segments = list(candidates(text, self.tokens))  # (first token, token after the last)
+        self.x = measured(text, self.tokens, words_before(text, self.tokens), self.segments)
         self.ending: list[list[int]] = [[] for _ in range(len(self.tokens) + 1)]
         for k, (_, j) in enumerate(self.segments):
             self.ending[j].append(k)
@@ -254,7 +311,7 @@ def rewritten(value: str, kind: int, rng: random.Random) -> str | None:
 def examples(text: str, rng: random.Random) -> Iterator[tuple[str, list[Span]]]:
     """Labelled regions of a text, and their rewritten forms."""
     spans = base_spans(text)
-    for lo, hi in regions(text):
+    for lo, hi in windows(text):
         inside = [s for s in spans if s[0] < hi and s[2] > lo]
         if inside:
             lo, hi = min(lo, inside[0][0]), max(hi, max(s[2] for s in inside))
@@ -317,17 +374,17 @@ def train(docs: DataFrame) -> np.ndarray:
 
 
 def added_spans(text: str, base: list[Span], weights: np.ndarray) -> list[Span]:
-    out = []
+    out, starts, reach = [], [a for a, _, _ in base], list(accumulate((b for _, _, b in base), max, initial=0))
     for lo, hi in regions(text):
-        lattice = Lattice(text[lo:hi])
-        if not lattice.segments:
-            continue
-        scores = lattice.x @ weights.T
-        value = scores.max(axis=1) - MARGIN
-        worth = [(*lattice.segments[k], int(scores[k].argmax()), float(value[k])) for k in np.flatnonzero(value > 0)]
+        tokens = tokens_of(text, lo, hi)
+        before, segments, worth = words_before(text, tokens), candidates(text, tokens), []
+        while block := list(islice(segments, BLOCK)):
+            scores = measured(text, tokens, before, block) @ weights.T
+            value = scores.max(axis=1) - MARGIN
+            worth += [(*block[k], int(scores[k].argmax()), float(value[k])) for k in np.flatnonzero(value > 0)]
         for i, j, kind in best_cut(sorted(worth, key=lambda w: w[1])):
-            start, end = lo + lattice.tokens[i][0], lo + lattice.tokens[j - 1][1]
-            if not any(a < end and start < b for a, _, b in base):
+            start, end = tokens[i][0], tokens[j - 1][1]
+            if reach[bisect_left(starts, end)] <= start:
                 out.append((start, kind, end))
     return out
 

@@ -104,6 +104,50 @@ def test_cut_of_many_entities():
     assert private_data.best_cut(many) == [w[:3] for w in many]
 
 
+@pytest.fixture(scope="module")
+def weights(spark):
+    """The field, fitted on plain values between words."""
+    rng = random.Random(7)
+    made = []
+    for i in range(240):
+        words = [rng.choice("we were at home and the two of them came".split()) for _ in range(14)]
+        d = "".join(str(rng.randrange(10)) for _ in range(10))
+        words[7] = ["anna" + d[:2] + "@mail" + d[3] + ".example.com", f"{d[:2]}.{d[2:4]}.{d[4:6]}.{d[6:8]}",
+                    "4111 1111 1111 1111", f"+1 ({d[:3]}) 555-{d[3:7]}"][i % 4]
+        made.append((i, " ".join(words)))
+    return private_data.train(spark.createDataFrame(made, "doc_id long, text string"))
+
+
+def added(text, weights):
+    return [(private_data.KINDS[kind], text[a:b])
+            for a, kind, b in private_data.added_spans(text, private_data.base_spans(text), weights)]
+
+
+def test_private_data_at_any_distance_from_a_cue(weights):
+    for cue in ("Room 12", "We met at noon there", "ask anna@mail.example.com", "we wait at home. Then"):
+        for n in range(11):
+            for kind, value in (("email", "jane [at] example [dot] com"), ("phone", "(743) 555-3824")):
+                text = " ".join([cue, *["word"] * n, "and", value, "now"])
+                assert (kind, value) in added(text, weights), text
+    numbers = [f"743.555.{i:04d}" for i in range(3824, 3864)]
+    assert added(",".join(numbers), weights) == [("phone", n) for n in numbers]
+
+
+def test_regions_hold_every_candidate():
+    rng = random.Random(8)
+    for _ in range(400):
+        text = "".join(rng.choice(["word ", "at ", "12", "a.b ", "@", "\n", " ", "-", "\t", "[at]", "dot ", "longer "])
+                       for _ in range(rng.randint(0, 120)))
+
+        def segments(lo, hi, text=text):
+            tokens = private_data.tokens_of(text, lo, hi)
+            return [(tokens[i][0], tokens[j - 1][1]) for i, j in private_data.candidates(text, tokens)]
+
+        regions = private_data.regions(text)
+        assert all(a[1] <= b[0] for a, b in zip(regions, regions[1:], strict=False))
+        assert sorted(s for r in regions for s in segments(*r)) == sorted(segments(0, len(text)))
+
+
 def test_private_data_of_odd_tables(with_repeats, empty):
     assert private_data.scan(empty, private_data.train(empty)).collect() == []
     assert private_data.scan(with_repeats, private_data.train(with_repeats)).count() == with_repeats.count()
