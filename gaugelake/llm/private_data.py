@@ -3,7 +3,7 @@
 The base patterns find plain e-mail addresses, IP addresses, card and phone numbers. The random field adds spans that
 are written in other ways (``name [at] host [dot] com``, ``(743) 555-3824``). It works on regions: runs of tokens around
 cues (a digit, ``@`` or an "at" that an address could be written with), as far as a segment with a cue can reach; no segment
-without a cue can be an entity, so texts outside of regions are decided already. Within a region every segment of up to MOST_TOKENS tokens is a candidate for every kind. Its score is the
+without a cue can be an entity, so texts outside of regions are decided already. Within a region every segment of up to MOST_TOKENS tokens, and every written address of any length, is a candidate for every kind. Its score is the
 product of the kind's weights with features of the whole segment (digits and their grouping, check digits, signs, words
 before it), and a dynamic program over boundaries and kinds finds the best cut, with as many
 entities as it takes. Segments outside of entities are single tokens of score 0.
@@ -22,6 +22,7 @@ gives no rows; extra columns are ignored. All scans take time in proportion to t
 from __future__ import annotations
 
 import hashlib
+import logging
 import random
 import re
 from bisect import bisect_left, bisect_right
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 
 from gaugelake.llm.shared import documents, text_batches
 
+LOG = logging.getLogger(__name__)
 KINDS = ("email", "ip", "card", "phone")  # fixed, and their order
 # fixed patterns. Where a search could only fail again from within a run, it starts at the start of the run
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -48,7 +50,8 @@ PHONE_DIGITS = (9, 15)
 
 TRAIN_DOCUMENTS = 20_000  # documents sampled by hash
 TRAIN_REGIONS = 750  # regions the driver fits on
-MOST_TOKENS = 14
+MOST_TOKENS = 14  # of a segment; written addresses may be longer
+MOST_LABELS = 127  # fixed: of a domain name
 AROUND = 4  # words of a training window before its first cue
 BLOCK = 4096  # segments measured at once
 EPOCHS = 40
@@ -98,19 +101,26 @@ def base_spans(text: str) -> list[Span]:
     return sorted(spans)
 
 
-TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\S")
+TOKEN = re.compile(r"(?i:[\[({](?:at|dot|\.)[\])}])|[0-9]+|[^\W\d_]+|\S")
 AT, DOT = r"(?:\[at\]|\(at\)|\{at\}| at )", r"(?:\[dot\]|\(dot\)|\{dot\}| dot )"
 # the bare word "at" is a cue only where an address could be written with it
 CUE = re.compile(rf"[0-9@]|(?i:[\[({{]at[\])}}]|at(?:(?<=[\w.+-] at)|(?<=[\w.+-]  at))(?=  ?[\w-]+ ?(?:\.|{DOT}) ?[\w-]))")
 REACH = re.compile(rf"(\S*)(?:[^\S\n]+\S+){{0,{MOST_TOKENS}}}")
 WRITTEN = re.compile(rf"[\w.+-]+ ?(?:@|{AT}) ?[\w-]+(?: ?(?:\.|{DOT}) ?[\w-]+)+", re.IGNORECASE)
+# a whole address, and its part from the sign on; a domain name has 127 labels at most
+LABELS = rf" ?[\w-]++(?: ?(?:\.|{DOT}) ?[\w-]++){{1,{MOST_LABELS - 1}}}"
+LONG = re.compile(rf"(?<![\w.%+-])[.%+-]*+(?P<local>\w[\w.%+-]*+) ?(?:@|{AT}){LABELS}", re.IGNORECASE)
+LABEL = re.compile(rf"(?: ?(?:@|{AT}|\.|{DOT}) ?)[\w-]++", re.IGNORECASE)
+AFTER = re.compile(rf"(?:@|[\[({{]at[\])}}]|at ){LABELS}\S*", re.IGNORECASE)
 GOES_ON = re.compile(rf" ?(?:\.|{DOT}) ?\w", re.IGNORECASE)
+PROSE = re.compile(r" at .*(?:\. | \.)", re.IGNORECASE)  # "at noon. There" has the form too
+BEGUN = re.compile(r"\w[.%+-]?\Z|_\Z")
 QUADS = re.compile(r"[0-9]{1,3}(?:(?:\.|\[\.\]|\(\.\)| ?\[dot\] ?)[0-9]{1,3}){3}")
 GROUPED = re.compile(r"(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3}[ .-]?[0-9]{4}")
 CARD_GROUPS = re.compile(r"[0-9]{4}(?:[ .-]?[0-9]{4}){2,3}(?:[ .-]?[0-9]{1,3})?")
 BEFORE = {"mail": 0, "email": 0, "contact": 0, "ip": 1, "host": 1, "server": 1, "address": 1, "card": 2, "visa": 2,
           "tel": 3, "phone": 3, "call": 3, "fax": 3, "mobile": 3}
-N_FEATURES = 18
+N_FEATURES = 19
 
 
 def features(text: str, start: int, end: int, word_before: str) -> np.ndarray:
@@ -119,12 +129,15 @@ def features(text: str, start: int, end: int, word_before: str) -> np.ndarray:
     digits = re.sub(r"[^0-9]", "", s)
     n, f = len(digits), np.zeros(N_FEATURES)
     f[0] = 1
-    f[1] = bool(WRITTEN.fullmatch(s)) and not GOES_ON.match(text, end)
+    written = (bool(WRITTEN.fullmatch(s)) and not GOES_ON.match(text, end)
+               and not BEGUN.search(text[max(0, start - 2):start]))
+    f[18] = written and bool(PROSE.search(s))
+    f[1] = written and not f[18]
     f[2] = "@" in s
     f[3] = bool(QUADS.fullmatch(s)) and all(int(p) <= MOST_PART for p in re.findall("[0-9]+", s))
     f[4] = bool(CARD_GROUPS.fullmatch(s)) and luhn(digits)
     f[5] = bool(GROUPED.fullmatch(s)) and 9 <= n <= 15
-    f[6] = n == 0 and not f[1]
+    f[6] = n == 0 and not written
     f[7] = 1 <= n <= 6
     f[8] = 7 <= n <= 8
     f[9] = 9 <= n <= 11
@@ -143,7 +156,7 @@ def features(text: str, start: int, end: int, word_before: str) -> np.ndarray:
 def regions(text: str) -> list[tuple[int, int]]:
     """Code point ranges around cues, in order, apart from each other and each within a line.
 
-    Every cue has MOST_TOKENS words on both sides; ranges that meet are one. So no candidate segment crosses
+    Every cue has MOST_TOKENS words on both sides, or more for a long address; ranges that meet are one. So no candidate segment crosses
     the end of a range, and deciding the ranges is deciding the text.
     """
     out: list[tuple[int, int]] = []
@@ -151,6 +164,9 @@ def regions(text: str) -> list[tuple[int, int]]:
     for m in CUE.finditer(text):
         at = m.start()
         if at < word_hi:
+            if not m[0].isdigit() and (whole := AFTER.match(text, at)):
+                hi = max(hi, whole.end())
+                out[-1] = out[-1][0], hi
             continue
         if at >= line_hi:
             line_lo = text.rfind("\n", max(line_hi, 0), at) + 1 or max(line_hi, 0)
@@ -160,11 +176,13 @@ def regions(text: str) -> list[tuple[int, int]]:
         words = text[base:at].rsplit(None, MOST_TOKENS)
         near = REACH.match(text, at)
         word_hi = near.end(1)
+        whole = None if m[0].isdigit() else AFTER.match(text, at)
+        end = max(near.end(), whole.end() if whole else 0)
         if base == hi and len(words) <= MOST_TOKENS:
-            hi = max(hi, near.end())
+            hi = max(hi, end)
             out[-1] = out[-1][0], hi
         else:
-            lo, hi = base + (len(words[0]) if len(words) > MOST_TOKENS else 0), near.end()
+            lo, hi = base + (len(words[0]) if len(words) > MOST_TOKENS else 0), end
             out.append((lo, hi))
     return out
 
@@ -205,9 +223,26 @@ def words_before(text: str, tokens: list[tuple[int, int]]) -> list[str]:
     return out
 
 
+def long_addresses(text: str, tokens: list[tuple[int, int]]) -> dict[int, list[int]]:
+    """Written addresses of over MOST_TOKENS tokens: the ends, after any further label, by their first token."""
+    out: dict[int, list[int]] = {}
+    if not tokens:
+        return out
+    starts, ends = [lo for lo, _ in tokens], [hi for _, hi in tokens]
+    for m in LONG.finditer(text, starts[0], ends[-1]):
+        i, at = bisect_left(starts, m.start("local")), m.end("local")
+        while label := LABEL.match(text, at, m.end()):
+            at = label.end()
+            j = bisect_left(ends, at)
+            if starts[i] == m.start("local") and ends[j] == at and j + 1 - i > MOST_TOKENS:
+                out.setdefault(i, []).append(j + 1)
+    return out
+
+
 def candidates(text: str, tokens: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """Segments of up to MOST_TOKENS tokens of a line that hold a cue, by their start."""
+    """Segments of a line that hold a cue, by their start: those of up to MOST_TOKENS tokens, and longer addresses."""
     n = len(tokens)
+    longer = long_addresses(text, tokens)
     held, line = n, n  # the next cue, and the first token of the next line
     ends = []
     for i in range(n - 1, -1, -1):
@@ -219,6 +254,8 @@ def candidates(text: str, tokens: list[tuple[int, int]]) -> Iterator[tuple[int,
     for i, (least, most) in enumerate(reversed(ends)):
         for j in range(least, most + 1):
             yield i, j
+        for j in longer.get(i, ()):
+            yield i, j
 
 
 def measured(text: str, tokens: list[tuple[int, int]], before: list[str], segments: list[tuple[int, int]]) -> np.ndarray:
@@ -328,12 +365,16 @@ def examples(text: str, rng: random.Random) -> Iterator[tuple[str, list[Span]]]:
 
 def fit(labelled: list[tuple[str, list[Span]]]) -> np.ndarray:
     """Weights by kind and feature, from gradient ascent on the likelihood of the labelled cuts."""
-    lattices = []
+    lattices, dropped = [], 0
     for text, spans in labelled:
         lattice = Lattice(text)
-        gold = lattice.gold(spans) if len(lattice.segments) else None
-        if gold is not None:
+        gold = lattice.gold(spans)
+        if gold is None:
+            dropped += len(spans)
+        elif lattice.segments:
             lattices.append((lattice, gold))
+    if dropped:
+        LOG.warning("%d of %d labelled spans are no segments and not learned from", dropped, sum(len(s) for _, s in labelled))
     weights = np.zeros((len(KINDS), N_FEATURES))
     weights[:, 0] = -4.0
     if not any(gold for _, gold in lattices):

@@ -148,6 +148,20 @@ def test_regions_hold_every_candidate():
         assert sorted(s for r in regions for s in segments(*r)) == sorted(segments(0, len(text)))
 
 
+def test_private_data_of_many_tokens(weights):
+    for value in ("john.smith [at] mail [dot] example [dot] com", "anna12 [at] mail3 [dot] example [dot] com",
+                  "a.b-c_d.e (at) f [dot] " + " [dot] ".join("ghijklmnopqrstuvw") + " [dot] org"):
+        assert ("email", value) in added(f"mail {value} today", weights), value
+
+
+def test_labelled_spans_are_learned_from_or_counted(caplog):
+    for value in ("anna12 [at] mail3 [dot] example [dot] com", "a.b-c_d.e+f@g.h.i.j.k.l.m.example.com"):
+        assert private_data.Lattice(f"to {value} now").gold([(3, 0, 3 + len(value))]) is not None
+    number = "-".join("4" * 16)
+    private_data.fit([(number, [(0, 2, len(number))])])
+    assert "1 of 1 labelled spans" in caplog.text
+
+
 def test_private_data_of_odd_tables(with_repeats, empty):
     assert private_data.scan(empty, private_data.train(empty)).collect() == []
     assert private_data.scan(with_repeats, private_data.train(with_repeats)).count() == with_repeats.count()
