@@ -1,10 +1,11 @@
 """Secret scan with a worklist of decoded layers.
 
 Every text is scanned with the base rules. Parts that look encoded (percent escapes, Unicode and hexadecimal
-escapes, base64, and compressed data within base64) are decoded into a layer, which is scanned in the same way and whose own
+escapes, base64, and compressed data within these) are decoded into a layer, which is scanned in the same way and whose own
 encoded parts go onto the worklist, until nothing new comes up; a layer seen before is not decoded again, so cycles end. A
 secret found in a layer is reported at the span of the outermost encoded part in the text, with its kind. Layers
-are only built from parts that decode to printable text; a decompressed layer is read up to MOST_INFLATED
+of base64 are printable text, of the whole run, of lines joined, or from a delimiter (``/``, ``-``, ``_``) on; bad bytes of
+percent escapes are replaced. A decompressed layer is read up to MOST_INFLATED
 characters per part, against decompression bombs.
 
 Spans are ``kind:start:end`` in code points, end exclusive. Base spans always stay; spans of layers are added.
@@ -40,6 +41,11 @@ LEAST_VALUE, LEAST_ACCESS = 6, 20
 ESCAPE = re.compile(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})|\\U([0-9a-fA-F]{8})")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}")
 PERCENT_ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}")
+DIGITS = re.compile(r"[A-Za-z0-9+/_-]++")
+BLOCK = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)+={0,2}")
+DELIMITER = re.compile(r"[/_-]")
+PLAIN = re.compile(r"[^\x00-\x08\x0b\x0c\x0e-\x1f\x7f\ufffd]{12,}")  # shorter ones hold no secret
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
 RUN = re.compile(r"[!-~]+")
 MOST_INFLATED = 1 << 24
 REPLACEMENT = "[SECRET]"
@@ -67,26 +73,59 @@ def _printable(data: bytes) -> str | None:
     return text if text and all(c.isprintable() or c in "\t\r\n" for c in text) else None
 
 
-def _inflated(data: bytes) -> bytes | None:
-    """What gzip, zlib or raw bytes hold; None if they are none of the first two."""
-    if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0:
+def _inflated(data: bytes) -> Iterator[str]:
+    """The texts of gzip and zlib data that start anywhere in bytes."""
+    at = 0
+    while m := MAGIC.search(data, at):
+        at = m.start() + 1
+        inflate = zlib.decompressobj(47)
         try:
-            return zlib.decompressobj(47).decompress(data, MOST_INFLATED)
+            plain = inflate.decompress(memoryview(data)[m.start():], MOST_INFLATED)
         except zlib.error:
-            return None
-    return None
+            continue
+        if plain:
+            at = max(at, len(data) - len(inflate.unused_data))
+            yield plain.decode("utf-8", "replace")
 
 
-def _base64(part: str) -> str | None:
-    body = part.rstrip("=")
-    if len(body) % 4 == 1:
-        body = body[:-1]
+def _bytes(body: str) -> bytes:
+    """The bytes of base64 digits without line breaks; a last digit that is over is left out."""
+    body = body[:len(body) - (len(body) % 4 == 1)].replace("-", "+").replace("_", "/")
     try:
-        data = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
+        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
     except (binascii.Error, ValueError):
-        return None
-    inflated = _inflated(data)
-    return _printable(data if inflated is None else inflated)
+        return b""
+
+
+def _base64(part: str) -> Iterator[str]:
+    """What a run of base64 digits holds, as a whole or from a delimiter in it."""
+    body = part.rstrip("=")
+    delimiters = [m.end() for m in DELIMITER.finditer(body)]
+    for shift in sorted({0, *(at % 4 for at in delimiters)}):
+        data = _bytes(body[shift:])
+        yield from _inflated(data)
+        plain = _printable(data) if shift == 0 else None
+        if plain is not None:
+            yield plain
+        elif delimiters:
+            yield from (m[0] for m in PLAIN.finditer(data.decode("utf-8", "replace")))
+
+
+def _blocks(text: str) -> Iterator[tuple[int, int, str]]:
+    """Base64 wrapped into lines of one length and a shorter last one: with the last, and without."""
+    for m in BLOCK.finditer(text):
+        lines = list(DIGITS.finditer(text, m.start(), m.end()))
+        first = 0
+        while first + 1 < len(lines):
+            width, last = len(lines[first + 1][0]), first + 1
+            while last + 1 < len(lines) and len(lines[last + 1][0]) == width and not text.startswith("=", lines[last].end()):
+                last += 1
+            ends = [last]
+            if last + 1 < len(lines) and len(lines[last + 1][0]) < width:
+                ends.append(last + 1)
+            for end in ends:
+                yield lines[first].start(), lines[end].end(), "".join(x[0] for x in lines[first:end + 1])
+            first = last
 
 
 def _unescaped(part: str) -> str:
@@ -104,15 +143,21 @@ def _decoded(text: str) -> Iterator[tuple[int, int, str]]:
         for m in RUN.finditer(text):
             part = m[0]
             if percent and "%" in part and PERCENT_ESCAPE.search(part):
-                plain = _printable(unquote_to_bytes(part))
-                if plain is not None:
+                data = unquote_to_bytes(part)
+                for plain in (data.decode("utf-8", "replace"), *_inflated(data)):
                     yield m.start(), m.end(), plain
             if escape and "\\" in part and ESCAPE.search(part):
-                yield m.start(), m.end(), _unescaped(part)
+                plain = _unescaped(part)
+                yield m.start(), m.end(), plain
+                for plain in _inflated(plain.encode("latin-1", "replace")):
+                    yield m.start(), m.end(), plain
     for m in BASE64.finditer(text):
-        plain = _base64(m[0])
-        if plain is not None:
+        for plain in _base64(m[0]):
             yield m.start(), m.end(), plain
+    if "\n" in text:
+        for start, end, body in _blocks(text):
+            for plain in _base64(body):
+                yield start, end, plain
 
 
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:

@@ -207,6 +207,26 @@ def test_layers(how):
     assert secrets.redacted(text) == f"see {secrets.REPLACEMENT} there"
 
 
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+@pytest.mark.parametrize("width", [64, 76])
+def test_wrapped_base64(pack, width):
+    lines = " ".join(f"{hashlib.sha1(b'%d' % i).hexdigest()[:20]} words" for i in range(12))
+    code = base64.b64encode(pack((lines + ' password = "hunter2hunter2" ' + lines).encode())).decode()
+    wrapped = "\n".join(code[i:i + width] for i in range(0, len(code), width))
+    for before, after in (("see:\n", "\nthere"), ("", ""), ("data: ", "\n\nMore words.")):
+        spans = secrets.all_spans(before + wrapped + after)[1]
+        assert any(kind == 0 and a <= len(before) and b >= len(before + wrapped.rstrip("=")) for a, kind, b in spans)
+
+
+def test_encoded_parts_within_runs():
+    code = base64.b64encode(b'password = "hunter2hunter2"').decode()
+    packed = gzip.compress(b"token=abcdefgh12345")
+    for text in (f"https://h/api/v1/{code}", f"/a-b_c/{code}", f"/api/v1/{code.rstrip('=')}/more",
+                 f"/api/v1/{base64.b64encode(packed).decode()}", "https://h/?q=caf%E9&x=token%3Dabcdefgh12345",
+                 "".join(f"%{b:02X}" for b in packed), "".join(f"\\x{b:02x}" for b in packed)):
+        assert any(kind == 0 for _, kind, _ in secrets.all_spans(text)[1]), text
+
+
 def test_clean_text_has_no_secret():
     assert secrets.all_spans("100%25 of internationalisation costs %%% more" * 3) == ([], [])
 
