@@ -5,8 +5,8 @@ escapes, base64, and compressed data within these) are decoded into a layer, whi
 encoded parts go onto the worklist, until nothing new comes up; a layer seen before is not decoded again, so cycles end. A
 secret found in a layer is reported at the span of the outermost encoded part in the text, with its kind. Layers
 of base64 are printable text, of the whole run, of lines joined, or from a delimiter (``/``, ``-``, ``_``) on; bad bytes of
-percent escapes are replaced. A decompressed layer is read up to MOST_INFLATED
-characters per part, against decompression bombs.
+percent escapes are replaced. Compressed data are
+inflated by CHUNK, over all members, and scanned in pieces cut where no match can be open, so a bomb needs little memory.
 
 Spans are ``kind:start:end`` in code points, end exclusive. Base spans always stay; spans of layers are added.
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import hashlib
 import re
 import zlib
@@ -47,7 +48,9 @@ DELIMITER = re.compile(r"[/_-]")
 PLAIN = re.compile(r"[^\x00-\x08\x0b\x0c\x0e-\x1f\x7f\ufffd]{12,}")  # shorter ones hold no secret
 MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
 RUN = re.compile(r"[!-~]+")
-MOST_INFLATED = 1 << 24
+# a line break after what no wrapped base64 ends with; no match of the rules and no escape holds a line break
+CLOSED = re.compile(r"[^A-Za-z0-9+/_=\s-][ \t]*+\r?\n|\n[ \t]*+\r?\n")
+CHUNK = 1 << 22  # bytes inflated at once
 REPLACEMENT = "[SECRET]"
 
 Span = tuple[int, int, int]  # start, place of the kind in KINDS, end
@@ -74,18 +77,48 @@ def _printable(data: bytes) -> str | None:
 
 
 def _inflated(data: bytes) -> Iterator[str]:
-    """The texts of gzip and zlib data that start anywhere in bytes."""
+    """The texts of gzip and zlib data that start anywhere in bytes, in pieces that no match or encoded part crosses."""
     at = 0
     while m := MAGIC.search(data, at):
         at = m.start() + 1
-        inflate = zlib.decompressobj(47)
-        try:
-            plain = inflate.decompress(memoryview(data)[m.start():], MOST_INFLATED)
-        except zlib.error:
-            continue
-        if plain:
-            at = max(at, len(data) - len(inflate.unused_data))
-            yield plain.decode("utf-8", "replace")
+        member, read = memoryview(data)[m.start():], 0
+        decoder = codecs.getincrementaldecoder("utf-8")("replace")
+        held, grown = "", 0
+        while True:
+            inflate, source = zlib.decompressobj(47), member[read:]
+            try:
+                while not inflate.eof:
+                    piece = inflate.decompress(source, CHUNK)
+                    if not piece and not inflate.unconsumed_tail and not inflate.eof:
+                        break  # cut off
+                    source = inflate.unconsumed_tail
+                    held += decoder.decode(piece)
+                    if len(held) - grown >= CHUNK // 4:
+                        cut = _cut(held)
+                        if cut:
+                            yield held[:cut]
+                        held = held[cut:]
+                        grown = len(held)
+            except zlib.error:
+                break
+            if not inflate.eof:
+                read = len(member)
+                break
+            read = len(member) - len(inflate.unused_data)
+            if not MAGIC.match(member, read):
+                break
+        held += decoder.decode(b"", True)
+        if held:
+            yield held
+        at = max(at, m.start() + read)
+
+
+def _cut(text: str) -> int:
+    """The end of the last line or word that can be part of no match with what follows, or 0 if there is none."""
+    at = 0
+    for m in CLOSED.finditer(text, max(0, len(text) - CHUNK // 4)):
+        at = m.end()
+    return at
 
 
 def _bytes(body: str) -> bytes:
@@ -165,15 +198,20 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     base = base_spans(text)
     found = set(base)
     seen: set[bytes] = set()
-    work = [(start, end, plain) for start, end, plain in _decoded(text)]
+    work: list[tuple[tuple[int, int] | None, Iterator[tuple[int, int, str]]]] = [(None, _decoded(text))]
     while work:
-        start, end, layer = work.pop()
+        outer, parts = work[-1]
+        part = next(parts, None)
+        if part is None:
+            work.pop()
+            continue
+        (start, end), layer = outer or part[:2], part[2]
         digest = hashlib.blake2b(layer.encode("utf-8", "surrogatepass") + b"%d:%d" % (start, end), digest_size=16).digest()
         if digest in seen or layer == text[start:end]:
             continue
         seen.add(digest)
         found.update((start, kind, end) for _, kind, _ in base_spans(layer))
-        work.extend((start, end, plain) for _, _, plain in _decoded(layer))
+        work.append(((start, end), _decoded(layer)))
     return base, sorted(found)
 
 

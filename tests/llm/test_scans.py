@@ -227,6 +227,34 @@ def test_encoded_parts_within_runs():
         assert any(kind == 0 for _, kind, _ in secrets.all_spans(text)[1]), text
 
 
+def test_large_and_joined_compressed_parts():
+    line = "a line of the log, é and more of it.\n"
+    secret = "token=abcdefgh12345\n"
+    for data in (gzip.compress((line * 500_000 + secret).encode()),
+                 gzip.compress((secret + "é" * 9_000_000).encode()),
+                 gzip.compress(line.encode()) + gzip.compress(secret.encode()),
+                 gzip.compress((line + secret[:9]).encode()) + gzip.compress((secret[9:] + line).encode())):
+        code = base64.b64encode(data).decode()
+        assert (4, 0, 4 + len(code)) in secrets.all_spans(f"see {code} there")[1]
+
+
+def test_pieces_of_compressed_parts_hold_every_match(monkeypatch):
+    monkeypatch.setattr(secrets, "CHUNK", 64)
+    rng = random.Random(9)
+    inner = base64.b64encode(b"token=abcdefgh12345 " * 12).decode()
+    wrapped = "\n".join(inner[i:i + 64] for i in range(0, len(inner), 64))
+    for _ in range(60):
+        text = "".join(rng.choice(["one line, done.\n", "password = \"hunter2hunter2\"", " é ", "AKIA" + "Z" * 20, "\n",
+                                   wrapped + "\n", "ab" * 20]) for _ in range(30))
+        pieces = list(secrets._inflated(gzip.compress(text.encode())))
+        assert "".join(pieces) == text
+
+        def found(t):
+            return [t[a:b] for a, _, b in secrets.all_spans(t)[1]]
+
+        assert sorted(x for piece in pieces for x in found(piece)) == sorted(found(text))
+
+
 def test_clean_text_has_no_secret():
     assert secrets.all_spans("100%25 of internationalisation costs %%% more" * 3) == ([], [])
 
