@@ -5,8 +5,9 @@ licence rule is an ordered sequence of identifiers; a text has the licence where
 sentences, with at most GAP other sentences in between. Of rules that start at the same place the longest wins, and
 a sentence is part of one match only.
 
-A sentence ends at ``.``, ``!``, ``?``, ``;`` or ``:`` before white space, or at a line end; a known sentence may run over up to
-MOST_PARTS such parts, as notices are wrapped and enumerated in different ways.
+A sentence ends at ``.``, ``!``, ``?``, ``;`` or ``:`` before white space, or at a line end; a known sentence may run over
+any number of such parts, as notices are wrapped and enumerated in different ways. In between, the lines up to a sign that
+ends a sentence, or up to a line without words, count as one sentence.
 
 Defined cases: a null or empty text has no licence; repeated rows are scanned alike; a null doc_id is kept; an empty table
 gives no rows; extra columns are ignored.
@@ -23,7 +24,6 @@ from pyspark.sql import DataFrame, SparkSession
 from gaugelake.llm.shared import documents, text_batches
 
 GAP = 2
-MOST_PARTS = 10
 
 # fixed values: sentences of public licence texts and notices
 SENTENCES = {
@@ -108,24 +108,32 @@ def parts(text: str) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def known_sentences(text: str) -> list[tuple[str, int, int, int]]:
-    """Identifier, number of its first part, start and end of each known sentence; longer ones first to be tried."""
+def known_sentences(text: str) -> list[tuple[str, int, int, int, int]]:
+    """Identifier, number of its first sentence, start, end, number of its last sentence; longer ones first to be tried."""
     if not CUE.search(text.lower()):
         return []
-    cut = [(a, b, normalised(text[a:b])) for a, b in parts(text)]
+    cut, number, open_ = [], 0, False  # parts with words: start, end, words, number of the sentence
+    for a, b in parts(text):
+        words = normalised(text[a:b])
+        if not words or not open_ or text.count("\n", cut[-1][1], a) > 1:
+            number, open_ = number + open_, False
+        if words:
+            cut.append((a, b, words, number))
+            open_ = text[b - 1] not in ".!?;:"
+            number += not open_
     out, i = [], 0
     while i < len(cut):
         found, joined = None, ""
         if cut[i][2].partition(" ")[0] in OPENINGS:
-            for j in range(i, min(i + MOST_PARTS, len(cut))):
+            for j in range(i, len(cut)):
                 joined = f"{joined} {cut[j][2]}".strip()
                 if len(joined) > LONGEST:
                     break
                 if joined in KNOWN:
-                    found = (KNOWN[joined], i, cut[i][0], cut[j][1], j)
+                    found = (KNOWN[joined], cut[i][3], cut[i][0], cut[j][1], cut[j][3], j)
         if found:
-            out.append(found[:4])
-            i = found[4]
+            out.append(found[:5])
+            i = found[5]
         i += 1
     return out
 
@@ -142,7 +150,7 @@ def licences(text: str) -> list[Match]:
             places, k = [], at
             for wanted in sequence:
                 while k < len(held) and (k in used or held[k][0] != wanted) and places \
-                        and held[k][1] - held[places[-1]][1] <= GAP * MOST_PARTS:
+                        and held[k][1] - held[places[-1]][4] <= GAP:
                     k += 1
                 if k >= len(held) or k in used or held[k][0] != wanted:
                     break

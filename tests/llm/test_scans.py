@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import random
 import re
+import textwrap
 
 import pytest
 
@@ -278,6 +279,23 @@ def test_licences():
     assert licenses.licences("The rights of others are reserved for all.") == []
 
 
+@pytest.mark.parametrize("width", [16, 24, 40, 72])
+@pytest.mark.parametrize("sign", ["", " * ", "# ", "// "])
+def test_wrapped_licences(width, sign):
+    """Notices in narrow columns and comment boxes, with lines of a sign alone."""
+    def box(*names):
+        lines = [line for n in names for line in [*textwrap.wrap(
+            licenses.SENTENCES[n] + ":" * n.endswith("grant"), width, break_on_hyphens=False), ""]]
+        return "\n".join(sign + line for line in lines)
+
+    assert [m[0] for m in licenses.licences(box("mit-grant", "mit-notice", "as-is"))] == ["MIT"]
+    bsd = ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")
+    assert [m[0] for m in licenses.licences(box(*bsd))] == ["BSD-3-Clause"]
+    other = "\n".join(["some line of the holders without an end"] * 12)  # one sentence
+    text = f"{box('apache-head')}\n{other}\n\n{box('reserved')}\n{box('apache-use')}"
+    assert {m[0] for m in licenses.licences(text)} == {"Apache-2.0", "Proprietary"}
+
+
 def test_licences_of_odd_tables(with_repeats, empty):
     assert licenses.scan(empty).collect() == []
     assert licenses.scan(with_repeats).count() == with_repeats.count()
