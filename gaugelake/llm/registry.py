@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gaugelake.llm.best_two_fit import op12_best_two_fit
+from gaugelake.llm.fill_in_middle import OP11_SQL, op11_displacement_fill_in_middle
 from gaugelake.llm.fingerprints import op2_iblt_fingerprints
 from gaugelake.llm.host_quality import OP8_SQL, op8_host_quality
 from gaugelake.llm.language import op10_byte_cnn_language
 from gaugelake.llm.licenses import op4_licence_sentences
+from gaugelake.llm.max_sketches import OP13_SQL, op13_max_sketch_search
 from gaugelake.llm.mixing import op5_cube_sampling
 from gaugelake.llm.ngram_join import op1_ngram_jaccard_join
 from gaugelake.llm.packing import op9_vector_packing
@@ -41,6 +44,10 @@ QUERIES: dict[str, Query] = {query.__name__: on_workers(query) for query in (
     op8_host_quality,
     op9_vector_packing,
     op10_byte_cnn_language,
+    op11_displacement_fill_in_middle,
+    op12_best_two_fit,
+    op13_max_sketch_search,
 )}
 
-ORACLE_SQL: dict[str, str] = {"op8_host_quality": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op8_host_quality": OP8_SQL, "op11_displacement_fill_in_middle": OP11_SQL, "op13_max_sketch_search": OP13_SQL}

@@ -36,10 +36,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _chunk_words(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _chunk_words(buf: np.ndarray, between: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of the words of a buffer that begins and ends at word boundaries."""
     up, down = (_UP, _DOWN) if len(buf) <= CHUNK else (_powers(_BASE, len(buf)), _powers(_BASE_INVERSE, len(buf)))
-    word = ~_is_space[buf]
+    word = ~between[buf]
     edges = np.flatnonzero(np.diff(np.concatenate(([False], word, [False])).view(np.int8)))
     starts, ends = edges[0::2], edges[1::2]
     sums = np.zeros(len(buf) + 1, np.uint64)
@@ -47,20 +47,20 @@ def _chunk_words(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of all words of ``data``, chunk by chunk."""
+def hashed_words(data: bytes, between: np.ndarray = _is_space) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of all words of ``data``, chunk by chunk, A-Z lower-cased; ``between`` marks the bytes that part words."""
     buf = np.frombuffer(data, np.uint8)
     starts, hashes, lo = [], [], 0
     while lo < len(buf):
         hi = min(lo + CHUNK, len(buf))
         if hi < len(buf):
-            spaces = np.flatnonzero(_is_space[buf[lo:hi]])
+            spaces = np.flatnonzero(between[buf[lo:hi]])
             if len(spaces):
                 hi = lo + int(spaces[-1]) + 1
             else:  # a word longer than a chunk
-                while hi < len(buf) and not _is_space[buf[hi]]:
+                while hi < len(buf) and not between[buf[hi]]:
                     hi += 1
-        s, h = _chunk_words(buf[lo:hi])
+        s, h = _chunk_words(buf[lo:hi], between)
         starts.append(s + lo)
         hashes.append(h)
         lo = hi
@@ -76,7 +76,7 @@ def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     """
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     ends = np.cumsum([len(r) + 1 for r in raw])
-    starts, hashes = _words(b" ".join(raw))
+    starts, hashes = hashed_words(b" ".join(raw))
     cuts = np.searchsorted(starts, ends)  # words of text i: cuts[i-1]:cuts[i]
     grams = np.zeros(max(0, len(hashes) - words + 1), np.uint64)
     for j in range(words):
