@@ -166,8 +166,8 @@ def token_pieces(docs: DataFrame, path: str, kind: str = "word", end_id: int = E
         for whole in batches:
             for batch in text_batches(whole, "text"):
                 rows = []
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                    ids = np.append(own.encode(text or ""), np.uint32(end_id)).astype("<u4")
+                for doc_id, found in zip(batch.column("doc_id").to_pylist(), own.encode_all(batch.column("text")), strict=True):
+                    ids = np.append(found, np.uint32(end_id)).astype("<u4")
                     for number, start in enumerate(range(0, len(ids), capacity)):
                         part = ids[start: start + capacity]
                         rows.append((doc_id, number, start, len(part), zlib.crc32(part), part.astype(np.int32)))

@@ -1,25 +1,29 @@
-"""Token ids of whole texts with a public tokenizer, remembering the ids of words.
+"""Token ids of whole texts with a public tokenizer, a batch of texts at a time.
 
 Both tokenizers cut a text at every white space before they merge, so the pieces between are encoded on
-their own; the ids of a piece are kept and a text becomes a series of look-ups. The result equals that of
-the tokenizer on the whole text. Letters with signs behind them are looked up apart. The memory of a worker is bounded:
-at most two times MOST pieces are kept.
+their own: Arrow splits the texts of a batch and numbers the distinct pieces, each of these is looked up (or encoded) once, and
+numpy gathers the ids of all pieces by their numbers. The result equals that of the tokenizer on the whole text. Letters with signs
+behind them are looked up apart. The memory of a worker is bounded: at most two times MOST pieces are kept besides those of a batch.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MOST = 350_000
+GATHERED = 1 << 18  # pieces whose ids are gathered at once
 
 # white space besides the space and the line feed, as any of the libraries sees it
-_OTHER_SPACE = re.compile("[" + "".join(map(chr, [
+_OTHER_SPACE = "[" + "".join(map(chr, [
     0x09, 0x0B, 0x0C, 0x0D, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
-    0x202F, 0x205F, 0x3000])) + "]")
+    0x202F, 0x205F, 0x3000])) + "]"
+_NOT_SINGLE_SPACES = rf"\A | \z|  |\n\n| \n|\n |{_OTHER_SPACE}"
 
 
 # letters, then ASCII signs but for the apostrophe: every tokenizer here cuts between the two
@@ -34,55 +38,96 @@ def _byte_alphabet() -> dict[int, str]:
 
 
 _ALPHABET = _byte_alphabet()
+_SPACE = _ALPHABET[0x20]
 
 
-class _Pieces(dict):
-    """Ids of pieces, encoded at their first use; ``space`` if a space goes before each.
+class _Pieces:
+    """Ids of pieces as bytes of 32-bit numbers, encoded at their first use; ``space`` if a space goes before each.
 
     Beyond MOST pieces those not used since the last time are dropped.
     """
 
     def __init__(self, tokenizer, space: bool, lower: bool):
-        super().__init__()
         self.tokenizer, self.model = tokenizer, tokenizer.model
         self.before, self.lower = " " if space else "", lower
-        self.signs: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
+        self.signs: dict[str, bytes] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def trim(self) -> None:
-        if len(self) > MOST:
-            self.older = dict(self)
-            self.clear()
+    def find(self, pieces: list[str]) -> list[bytes]:
+        if len(self.recent) > MOST:
+            self.older, self.recent = self.recent, {}
         if len(self.signs) > MOST:
-            self.signs.clear()
-
-    def __missing__(self, piece: str) -> tuple:
-        ids = self.older.pop(piece, None)
-        if ids is None:
-            ids = self._letters(piece) if piece.isalpha() else self._mixed(piece)
-        self[piece] = ids
-        return ids
-
-    def _whole(self, text: str) -> tuple:
-        return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _letters(self, piece: str) -> tuple:
-        try:
-            piece.encode("latin-1")
-        except UnicodeEncodeError:
-            return self._whole(self.before + piece)
+            self.signs = {}
+        recent, older = self.recent, self.older
+        found = list(map(recent.get, pieces))
+        if None in found:
+            for i, ids in enumerate(found):
+                if ids is None:
+                    piece = pieces[i]
+                    ids = older.pop(piece, None)
+                    found[i] = recent[piece] = self._encoded(piece) if ids is None else ids
+        return found
+
+    def _encoded(self, piece: str) -> bytes:
+        return self._letters(piece) if piece.isalpha() else self._mixed(piece)
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _letters(self, piece: str) -> bytes:
         # one word, which normalisation leaves as it is (in Latin 1): only merges are left to do
-        plain = (self.before + (piece.lower() if self.lower else piece)).encode().decode("latin-1")
-        return tuple(t.id for t in self.model.tokenize(plain.translate(_ALPHABET)))
-
-    def _mixed(self, piece: str) -> tuple:
+        plain = self.before + (piece.lower() if self.lower else piece)
+        if not piece.isascii():
+            try:
+                piece.encode("latin-1")
+            except UnicodeEncodeError:
+                return self._whole(self.before + piece)
+            plain = plain.encode().decode("latin-1").translate(_ALPHABET)
+        elif self.before:
+            plain = _SPACE + plain[1:]
+        return array("I", [t.id for t in self.model.tokenize(plain)]).tobytes()
+
+    def _mixed(self, piece: str) -> bytes:
         cut = _LETTERS_SIGNS.fullmatch(piece)
         if not cut:
             return self._whole(self.before + piece)
         letters, signs = cut.groups()
         if signs not in self.signs:
             self.signs[signs] = self._whole(signs)
-        return self[letters] + self.signs[signs]
+        ids = self.recent.get(letters)
+        if ids is None:
+            ids = self.older.pop(letters, None)
+            ids = self.recent[letters] = self._encoded(letters) if ids is None else ids
+        return ids + self.signs[signs]
+
+
+def _gather(ids_of: list[bytes], numbers: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """For each text (pieces ``bounds[i]`` to ``bounds[i + 1]``) the ids of all its pieces, which are given by number."""
+    flat = np.frombuffer(b"".join(ids_of), np.uint32)
+    lengths = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4
+    starts = np.cumsum(lengths) - lengths
+    ends = np.concatenate(([0], np.cumsum(lengths[numbers])))
+    out = np.empty(ends[-1], np.uint32)
+    for lo in range(0, len(numbers), GATHERED):
+        part = numbers[lo: lo + GATHERED]
+        own = lengths[part]
+        at = np.repeat(starts[part] - (np.cumsum(own) - own), own)
+        at += np.arange(len(at))
+        out[ends[lo]: ends[lo] + len(at)] = flat[at]
+    return np.split(out, ends[bounds[1:-1]])
+
+
+def _listed(strings: pa.Array) -> list[str]:
+    return strings.to_numpy(zero_copy_only=False).tolist()
+
+
+def _pieces_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct pieces between single spaces, the numbers of all pieces, and the bounds of each text."""
+    split = pc.split_pattern(texts, " ")
+    bounds = split.offsets.to_numpy()
+    coded = split.flatten().dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), bounds - bounds[0]
 
 
 class WordEncoder:
@@ -91,10 +136,15 @@ class WordEncoder:
     def __init__(self, tokenizer):
         self.pieces = _Pieces(tokenizer, space=False, lower=True)
 
+    def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text; null has none."""
+        if not len(texts):
+            return []
+        distinct, numbers, bounds = _pieces_of(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "))
+        return _gather(self.pieces.find(_listed(distinct)), numbers, bounds)
+
     def encode(self, text: str) -> np.ndarray:
-        self.pieces.trim()
-        words = text.replace("\n", " ").split(" ")
-        return np.fromiter(chain.from_iterable(map(self.pieces.__getitem__, words)), np.uint32)
+        return self.encode_all(pa.array([text], pa.string()))[0]
 
 
 class ByteEncoder:
@@ -107,24 +157,42 @@ class ByteEncoder:
         self.tokenizer = tokenizer
         self.first = _Pieces(tokenizer, space=False, lower=False)
         self.rest = _Pieces(tokenizer, space=True, lower=False)
-        self.line_feed = tuple(tokenizer.encode("\n", add_special_tokens=False).ids)
+        self.line_feed = np.array(tokenizer.encode("\n", add_special_tokens=False).ids, np.uint32).tobytes()
+
+    def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text; null has none."""
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, _NOT_SINGLE_SPACES)
+        out = [np.empty(0, np.uint32)] * len(texts)
+        for i in pc.indices_nonzero(odd).to_pylist():
+            out[i] = np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, np.uint32)
+        plain = pc.indices_nonzero(pc.invert(odd))
+        if len(plain):
+            for i, ids in zip(plain.to_pylist(), self._single_spaced(texts.take(plain)), strict=True):
+                out[i] = ids
+        return out
+
+    def _single_spaced(self, texts: pa.Array) -> list[np.ndarray]:
+        # a line feed opens a piece as a space does, and stays in it; the first piece of a text has neither
+        distinct, numbers, bounds = _pieces_of(pc.replace_substring(texts, "\n", " \n"))
+        of_lines = pc.starts_with(distinct, "\n")
+        ids_of = np.empty(len(distinct), object)
+        ids_of[~of_lines.to_numpy(zero_copy_only=False)] = self.rest.find(_listed(distinct.filter(pc.invert(of_lines))))
+        after_feed = _listed(pc.utf8_slice_codeunits(distinct.filter(of_lines), 1))
+        ids_of[of_lines.to_numpy(zero_copy_only=False)] = [self.line_feed + ids for ids in self.first.find(after_feed)]
+        firsts = pa.array(numbers[bounds[:-1]]).dictionary_encode()
+        opening = self._openings(_listed(distinct.take(firsts.dictionary)))
+        numbers = numbers.copy()
+        numbers[bounds[:-1]] = firsts.indices.to_numpy() + len(distinct)
+        return _gather([*ids_of.tolist(), *opening], numbers, bounds)
+
+    def _openings(self, pieces: list[str]) -> list[bytes]:
+        """Ids of the first pieces of texts; one that begins with a line feed is an empty piece and a line."""
+        ids = self.first.find([p.removeprefix("\n") for p in pieces])
+        return [self.line_feed + x if p.startswith("\n") else x for p, x in zip(pieces, ids, strict=True)]
 
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, np.uint32)
-        if (text[0] == " " or text[-1] == " " or "  " in text or "\n\n" in text or " \n" in text
-                or "\n " in text or _OTHER_SPACE.search(text)):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        self.first.trim()
-        self.rest.trim()
-        parts = []
-        for line in text.split("\n"):
-            words = line.split(" ")
-            parts.append(self.first[words[0]])
-            parts.extend(map(self.rest.__getitem__, words[1:]))
-            parts.append(self.line_feed)
-        parts.pop()
-        return np.fromiter(chain.from_iterable(parts), np.uint32)
+        return self.encode_all(pa.array([text], pa.string()))[0]
 
 
 @lru_cache(maxsize=4)

@@ -188,9 +188,8 @@ def pack_documents(docs: DataFrame, path: str, kind: str = "byte", end_id: int =
         done: list[Piece] = []
         for whole in batches:
             for batch in text_batches(whole, "text"):
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(),
-                                        batch.column("text").to_pylist(), strict=True):
-                    ids = np.append(own.encode(text or ""), np.uint32(end_id))
+                for doc_id, found in zip(batch.column("doc_id").to_pylist(), own.encode_all(batch.column("text")), strict=True):
+                    ids = np.append(found, np.uint32(end_id))
                     done += packer.add(Example(doc_id, ids, 0, len(ids), len(ids)))
                 if done:
                     yield _batch(done)

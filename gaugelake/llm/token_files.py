@@ -94,8 +94,8 @@ def encode_documents(docs: DataFrame, path: str, kind: str, end_id: int, bits: i
         own = encoder(path, kind)
         for whole in batches:
             for batch in text_batches(whole, "text"):
-                ids = [np.append(own.encode(t or ""), np.uint32(end_id)).astype(wide).tobytes()
-                       for t in batch.column("text").to_pylist()]
+                ids = [np.append(found, np.uint32(end_id)).astype(wide).tobytes()
+                       for found in own.encode_all(batch.column("text"))]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("shard"), batch.column("doc_id"), pa.array(ids, pa.binary())],
                     ["shard", "doc_id", "ids"])

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import compare, connect
 
@@ -24,6 +25,22 @@ def test_encoding_equals_the_tokenizer(rows, kind, name):
         assert own.encode(text).tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("kind,name", [("word", token_files.TOKENIZER), ("byte", packing.TOKENIZER)])
+def test_encoding_of_batches(kind, name, monkeypatch):
+    """Batches of odd texts, with a memory and windows so small that both are cut often."""
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(encoding, "MOST", 20)
+    monkeypatch.setattr(encoding, "GATHERED", 7)
+    path = encoding.public_path(name)
+    whole, rng = Tokenizer.from_file(path), random.Random(11)
+    own = {"word": encoding.WordEncoder, "byte": encoding.ByteEncoder}[kind](whole)
+    letters = list(" \n\n  abcABthe'.,!éÀß日\t <|1²")
+    for _ in range(300):
+        texts = [rng.choice([None, "", "".join(rng.choices(letters, k=rng.randint(0, 25)))]) for _ in range(rng.randint(0, 6))]
+        got = own.encode_all(pa.array(texts, pa.string()))
+        assert [ids.tolist() for ids in got] == [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def test_water_filling_and_balance(spark):
     rng = random.Random(1)
     made = [(i, "w " * rng.randint(0, 300), rng.choice(["a", "b", "b", "b", "b", "c", None])) for i in range(3000)]
