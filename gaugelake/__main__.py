@@ -2,8 +2,8 @@
 
     refine      --raw DIR --refined DIR  [--registry FILE --station KEY] [--year Y]
                 [--parameters T,U,RH]  (saves the pass that looks for the parameter names)
-    clean       --refined DIR --silver DIR  [--registry FILE --station KEY] [--year Y]
-    incremental --raw DIR --silver DIR --checkpoint DIR
+    clean       --refined DIR --silver DIR  [--registry FILE --station KEY] [--year Y] [--min-score S] [--gold DIR]
+    incremental --raw DIR --silver DIR --checkpoint DIR  [--keep first|last] [--gold DIR]
     report      --silver DIR --year Y
 """
 
@@ -13,7 +13,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from gaugelake.plans import jobs
+from gaugelake.plans import jobs, summaries
 from gaugelake.sources import registry, tables
 from gaugelake.streaming.incremental import incremental_load
 
@@ -30,11 +30,15 @@ def _station_id(spark: SparkSession, args: argparse.Namespace) -> str | None:
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="gaugelake")
     parser.add_argument("job", choices=["refine", "clean", "incremental", "report"])
-    for name in ("raw", "refined", "silver", "checkpoint", "registry", "station", "quarantine"):
+    for name in ("raw", "refined", "silver", "checkpoint", "registry", "station", "quarantine", "gold"):
         parser.add_argument(f"--{name}")
     parser.add_argument("--year", type=int)
     parser.add_argument("--parameters", type=lambda text: text.split(","))
-    parser.add_argument("--yearly", action="store_true", help="directories by year, not by month")
+    parser.add_argument("--layout", choices=["year", "station-year", "station-month"], default="year",
+                        help="directories of the tables")
+    parser.add_argument("--min-score", type=float, help="clean: rows with a lower quality score go to the quarantine")
+    parser.add_argument("--keep", choices=["first", "last"], default="first",
+                        help="incremental: which copy of an hour counts, the stored or the new one")
     parser.add_argument("--multiline", action="store_true", default=None,
                         help="one pretty-printed document per file; both forms are told apart otherwise")
     args = parser.parse_args(argv)
@@ -45,17 +49,21 @@ def main(argv: list[str] | None = None) -> None:
         parser.error(f"{args.job} needs " + ", ".join(f"--{n}" for n in missing))
 
     spark = SparkSession.builder.appName(f"gaugelake {args.job}").getOrCreate()
-    layout = tables.YEARLY if args.yearly else tables.MONTHLY
+    layout = {"year": tables.BY_YEAR, "station-year": tables.YEARLY, "station-month": tables.MONTHLY}[args.layout]
     if args.job == "refine":
         names = jobs.refine(spark, args.raw, args.refined, _station_id(spark, args), args.year,
                             args.multiline, args.parameters, layout, args.quarantine)
         print("parameters:", ", ".join(names))
     elif args.job == "clean":
-        jobs.clean(spark, args.refined, args.silver, station_id=_station_id(spark, args),
-                   year=args.year, layout=layout)
+        gate = jobs.clean(spark, args.refined, args.silver, station_id=_station_id(spark, args),
+                          year=args.year, layout=layout, min_score=args.min_score)
+        if gate is not None:
+            gate.orderBy("station_id").show(40, truncate=False)
+        if args.gold:
+            summaries.build(spark, args.silver, args.gold, layout)
     elif args.job == "incremental":
         incremental_load(spark, args.raw, args.silver, args.checkpoint, layout=layout,
-                         multiline=args.multiline, quarantine=args.quarantine)
+                         multiline=args.multiline, quarantine=args.quarantine, keep=args.keep, gold_path=args.gold)
     else:
         silver = tables.scan_silver(spark, args.silver, layout)
         for name, result in jobs.report(silver, args.year).items():

@@ -282,6 +282,10 @@ SELECT station_id, any_value(rows_in) AS rows_in, count(*) AS rows_out,
  {_pct('count(*) FILTER (has_missing_values)', 'count(*)')} AS missing_pct,
  {_pct('count(*) FILTER (has_outliers)', 'count(*)')} AS outlier_pct
 FROM silver JOIN before ON station_id = location_id GROUP BY 1""",
+        "quality_gate_routed": f"""{_SILVER} SELECT station_id, CAST(year(timestamp) AS INTEGER) AS year,
+ CASE WHEN quality_score >= 0.7 THEN 'silver' ELSE 'quarantine' END AS written_to, count(*) AS n_rows,
+ {_mean('quality_score', 3)} AS avg_quality, {_total('temperature_celsius', 1)} AS total_temp
+FROM silver GROUP BY 1, 2, 3""",
         "quality_gate": f"""{_SILVER} SELECT station_id, count(*) AS total_rows,
  count(*) FILTER (quality_score >= 0.7) AS good_rows,
  count(*) FILTER (quality_score < 0.7) AS quarantined_rows,
@@ -477,13 +481,18 @@ SELECT station_id, n AS observed_hours, span AS expected_hours,
 
 
 def _gold() -> dict[str, str]:
-    order = "l_returnflag, " + ", ".join(f"{p} NULLS LAST" for p in SILVER_CODES)
-    return {
-        "gold_daily_summary": f"""{_SILVER} SELECT station_id,
+    codes = ", ".join(f"{p} NULLS LAST" for p in SILVER_CODES)
+    daily = f"""SELECT station_id,
  CAST(CAST(timestamp AS DATE) AS VARCHAR) AS date, min(temperature_celsius) AS min_temp,
  max(temperature_celsius) AS max_temp, {_mean('temperature_celsius', 2)} AS avg_temp,
- {_total('rainfall_mm', 1)} AS total_rainfall_mm, {_mean('humidity_percent', 1)} AS avg_humidity
-FROM silver GROUP BY 1, 2""",
+ {_total('rainfall_mm', 1)} AS total_rainfall_mm, {_mean('humidity_percent', 1)} AS avg_humidity"""
+    that_day = f"CAST(timestamp AS DATE) = DATE '{q.DAY}'"
+    return {
+        "gold_daily_summary": f"{_SILVER} {daily} FROM silver GROUP BY 1, 2",
+        "gold_refresh": f"""{_SILVER}, corrected AS (SELECT station_id, timestamp, humidity_percent,
+ temperature_celsius + CASE WHEN {that_day} THEN 1.5 ELSE 0 END AS temperature_celsius,
+ rainfall_mm + CASE WHEN {that_day} THEN 300 ELSE 0 END AS rainfall_mm FROM silver)
+{daily} FROM corrected GROUP BY 1, 2""",
         "gold_hourly_station": f"""{_SILVER} SELECT timestamp, temperature_celsius, humidity_percent,
  rainfall_mm, wind_speed_ms FROM silver WHERE station_id = '{q.STATION}'""",
         "gold_monthly_comparison": _monthly(
@@ -495,9 +504,10 @@ SELECT station_id, timestamp, 'heavy_rain' AS event_type, rainfall_mm AS value F
 UNION ALL SELECT station_id, timestamp, 'frost', temperature_celsius FROM silver WHERE temperature_celsius < 0
 UNION ALL SELECT station_id, timestamp, 'heat', temperature_celsius FROM silver WHERE temperature_celsius > 30
 UNION ALL SELECT station_id, timestamp, 'strong_wind', wind_speed_ms FROM silver WHERE wind_speed_ms * 3.6 > 60""",
-        "wettest_days": f"""{_SILVER} SELECT station_id, date_trunc('day', timestamp) AS day,
+        "wettest_days": f"""{_SILVER_STATIONS}, days AS (SELECT station_id, date_trunc('day', timestamp) AS day,
  {_total('rainfall_mm', 1)} AS total_rainfall_mm FROM silver GROUP BY 1, 2
-ORDER BY total_rainfall_mm DESC NULLS LAST, station_id, day LIMIT 10""",
+ORDER BY total_rainfall_mm DESC NULLS LAST, station_id, day LIMIT 10)
+SELECT station_id, name AS station_name, day, total_rainfall_mm FROM days LEFT JOIN stations ON station_id = id""",
         "param_profile": f"{_OBS} SELECT timestamp, location_id, T, RH, FF, DD, P, U FROM obs",
         "param_profile_temperature": f"""{_OBS} SELECT timestamp, location_id, T, T10N,
  CAST(NULL AS DOUBLE) AS TX, CAST(NULL AS DOUBLE) AS TN, TD FROM obs""",
@@ -506,7 +516,8 @@ ORDER BY total_rainfall_mm DESC NULLS LAST, station_id, day LIMIT 10""",
 FROM silver GROUP BY 1
 UNION ALL SELECT station_id, 'gap', gap_start, gap_end FROM gaps
 WHERE missing_hours <= {MAX_GAP_DAYS * 24}""",
-        "incremental_load": f"{_OBS}, {_silver_from(order)} SELECT {_SILVER_COLUMNS} FROM silver",
+        "incremental_load": f"{_OBS}, {_silver_from(f'l_returnflag, {codes}')} SELECT {_SILVER_COLUMNS} FROM silver",
+        "incremental_upsert": f"{_OBS}, {_silver_from(f'l_returnflag DESC, {codes}')} SELECT {_SILVER_COLUMNS} FROM silver",
     }
 
 

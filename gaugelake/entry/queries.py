@@ -17,6 +17,7 @@ from gaugelake import derive
 from gaugelake.entry.workspace import Workspace, open_workspace
 from gaugelake.functions import fixed_point
 from gaugelake.operators import coverage, gaps, gold, manifest, planning, queries, silver
+from gaugelake.plans import summaries
 from gaugelake.plans.jobs import SILVER_CODES
 from gaugelake.schema import (
     CATALOG_DOCUMENT,
@@ -27,7 +28,7 @@ from gaugelake.schema import (
     REGISTRY_DOCUMENT,
     SILVER,
 )
-from gaugelake.sources import files, manifests, raw, registry, tables
+from gaugelake.sources import files, manifests, raw, registry, snapshots, tables
 from gaugelake.streaming import incremental
 
 STATION = "0-20000-0-06204"
@@ -118,15 +119,18 @@ def land_raw(w: Workspace) -> DataFrame:
 def atomic_replace(w: Workspace) -> DataFrame:
     def write(path: str) -> None:
         rows = w.silver.select("station_id", "year", "timestamp", "temperature_celsius")
-        files.atomic_replace(files.rebalanced(rows, tables.YEARLY), path, tables.YEARLY)
+        table = snapshots.Snapshots(w.spark, path, ["year"])
+        table.replace(files.rebalanced(rows, ["year"]))
         # one year again with other values, twice: the other years stay and nothing is doubled
         again = rows.where(F.col("year") == 1997).withColumn(
             "temperature_celsius", F.col("temperature_celsius") + 100.0)
         for _ in range(2):
-            files.atomic_replace(files.rebalanced(again, tables.YEARLY), path, tables.YEARLY)
+            table.replace(files.rebalanced(again, ["year"]))
+        # a job that is cut off before it publishes changes nothing
+        table.stage(again.withColumn("temperature_celsius", F.lit(0.0)))
     path = w.written("replaced", write)
-    table = w.spark.read.schema(
-        "timestamp timestamp, temperature_celsius double, station_id string, year int").parquet(path)
+    table = snapshots.Snapshots(w.spark, path, ["year"]).read(T.StructType.fromDDL(
+        "timestamp timestamp, temperature_celsius double, station_id string, year int"))
     return table.groupBy("station_id", "year").agg(
         F.count("*").alias("hours"),
         fixed_point.total("temperature_celsius", 1).alias("total_temp"))
@@ -167,7 +171,8 @@ def count_data_points(w: Workspace) -> DataFrame:
 
 
 def _partition_summary(table: DataFrame, temperature: str) -> DataFrame:
-    return table.groupBy("station_id", "year", "month").agg(
+    month = "month" if "month" in table.columns else F.month("timestamp").alias("month")
+    return table.groupBy("station_id", "year", month).agg(
         F.count("*").alias("n_rows"), F.min("timestamp").alias("first_t"),
         F.max("timestamp").alias("last_t"),
         fixed_point.total(temperature, 1).alias("total_temp"))
@@ -180,9 +185,7 @@ def write_refined(w: Workspace) -> DataFrame:
 
 @_register
 def write_silver(w: Workspace) -> DataFrame:
-    path = w.written("silver_monthly", lambda p: tables.write_silver(
-        silver.to_silver(w.observations, derive.LINE_ORDER), p))
-    return _partition_summary(tables.scan_silver(w.spark, path), "temperature_celsius")
+    return _partition_summary(w.silver, "temperature_celsius")
 
 
 @_register
@@ -323,6 +326,21 @@ def quality_gate(w: Workspace) -> DataFrame:
     return silver.quality_gate(w.silver)
 
 
+@_register
+def quality_gate_routed(w: Workspace) -> DataFrame:
+    """What the gated job wrote: rows of the silver table and of its quarantine, per station and year."""
+    path = w.written("gated", lambda p: tables.write_routed(
+        silver.to_silver(w.observations, derive.LINE_ORDER), silver.is_good(), p))
+
+    def counted(table: DataFrame, name: str) -> DataFrame:
+        return table.groupBy("station_id", "year").agg(
+            F.count("*").alias("n_rows"), fixed_point.mean("quality_score", 3).alias("avg_quality"),
+            fixed_point.total("temperature_celsius", 1).alias("total_temp")).withColumn("written_to", F.lit(name))
+
+    return counted(tables.scan_silver(w.spark, path), "silver").unionByName(
+        counted(tables.scan_quarantine(w.spark, path), "quarantine"))
+
+
 # --- Analytical queries ------------------------------------------------------
 
 @_register
@@ -601,32 +619,47 @@ def completeness(w: Workspace) -> DataFrame:
 
 @_register
 def gold_daily_summary(w: Workspace) -> DataFrame:
-    return gold.daily_summary(w.silver)
+    return gold.daily_from_states(w.gold("daily"))
 
 
 @_register
 def gold_hourly_station(w: Workspace) -> DataFrame:
-    return gold.hourly_station(w.silver, STATION)
+    return gold.hourly_station(w.gold("hourly"), STATION)
 
 
 @_register
 def gold_monthly_comparison(w: Workspace) -> DataFrame:
-    return gold.monthly_comparison(w.silver, w.stations)
+    return gold.monthly_from_states(w.gold("daily"), w.stations)
 
 
 @_register
 def gold_monthly_by_region(w: Workspace) -> DataFrame:
-    return gold.monthly_by_region(w.silver, w.stations)
+    return gold.regions_from_states(w.gold("daily"), w.stations)
 
 
 @_register
 def gold_extreme_events(w: Workspace) -> DataFrame:
-    return gold.extreme_events(w.silver)
+    return w.gold("events").drop("date", "year")
 
 
 @_register
 def wettest_days(w: Workspace) -> DataFrame:
-    return gold.wettest_days(w.silver)
+    return gold.wettest_from_states(w.gold("daily"), w.stations)
+
+
+@_register
+def gold_refresh(w: Workspace) -> DataFrame:
+    """A day is corrected in the silver table, and the summaries follow by that day alone."""
+    def correct(path: str) -> None:
+        silver_path, gold_path = f"{path}/silver", f"{path}/gold"
+        tables.write_silver(w.silver.drop("year"), silver_path)
+        summaries.build(w.spark, silver_path, gold_path)
+        corrected = w.silver.where(F.to_date("timestamp") == F.lit(DAY).cast("date")).drop("year").withColumn(
+            "temperature_celsius", F.col("temperature_celsius") + 1.5).withColumn("rainfall_mm", F.col("rainfall_mm") + 300.0)
+        days = incremental.upsert(corrected, silver_path, keep="last")
+        summaries.refresh(w.spark, silver_path, gold_path, days)
+    states = summaries.scan(w.spark, f"{w.written('corrected', correct)}/gold", "daily")
+    return gold.daily_from_states(states)
 
 
 @_register
@@ -644,11 +677,10 @@ def update_windows(w: Workspace) -> DataFrame:
     return gaps.update_windows(w.silver, NOW, LOOKBACK_HOURS, MAX_GAP_DAYS)
 
 
-@_register
-def incremental_load(w: Workspace) -> DataFrame:
+def _three_drops(w: Workspace, name: str, keep: str) -> DataFrame:
     """Three drops of raw files arrive one after the other, and each is loaded on arrival."""
     def load(path: str) -> None:
-        landing, checkpoint = f"{w.root}/drops", f"{w.root}/drops_checkpoint"
+        landing, checkpoint = f"{w.root}/{name}_drops", f"{w.root}/{name}_checkpoint"
         for flag, ingested_at in DROPS.items():
             drop = w.observations.where(F.col("l_returnflag") == flag)
             documents = raw.with_metadata(
@@ -656,8 +688,19 @@ def incremental_load(w: Workspace) -> DataFrame:
                 derive.SOURCE_API, derive.COLLECTION, requested=10)
             raw.land_raw(documents, landing, replace=False)
             incremental.incremental_load(
-                w.spark, landing, path, checkpoint, layout=tables.YEARLY,
+                w.spark, landing, path, checkpoint, keep=keep,
                 order_by=["_ingestion_timestamp", *SILVER_CODES])
 
-    path = w.written("incremental", load)
-    return tables.scan_silver(w.spark, path, tables.YEARLY).select(*MAPPED_COLUMNS, *QUALITY)
+    return tables.scan_silver(w.spark, w.written(name, load)).select(*MAPPED_COLUMNS, *QUALITY)
+
+
+@_register
+def incremental_load(w: Workspace) -> DataFrame:
+    """The first copy of an hour stays."""
+    return _three_drops(w, "incremental", "first")
+
+
+@_register
+def incremental_upsert(w: Workspace) -> DataFrame:
+    """A later drop corrects the hours of earlier ones."""
+    return _three_drops(w, "upserted", "last")

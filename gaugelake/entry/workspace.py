@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gaugelake import derive
 from gaugelake.operators import coverage, silver
-from gaugelake.plans import jobs
+from gaugelake.plans import jobs, summaries
 from gaugelake.session import configure, shared_dir
 from gaugelake.sources import files, raw, tables
 
@@ -65,10 +65,21 @@ class Workspace:
 
     @cached_property
     def silver(self) -> DataFrame:
-        """The silver table the analytical queries read: a directory per station and year."""
-        path = self.written("silver", lambda p: tables.write_silver(
-            silver.to_silver(self.observations, derive.LINE_ORDER), p, tables.YEARLY))
-        return tables.scan_silver(self.spark, path, tables.YEARLY)
+        """The silver table the analytical queries read: a directory per year, clustered by station and time."""
+        return tables.scan_silver(self.spark, self.silver_path)
+
+    @cached_property
+    def silver_path(self) -> str:
+        return self.written("silver", lambda p: tables.write_silver(
+            silver.to_silver(self.observations, derive.LINE_ORDER), p))
+
+    @cached_property
+    def gold_path(self) -> str:
+        return self.written("gold", lambda p: summaries.build(self.spark, self.silver_path, p))
+
+    def gold(self, name: str) -> DataFrame:
+        """A stored summary table."""
+        return summaries.scan(self.spark, self.gold_path, name)
 
     @cached_property
     def raw_root(self) -> str:

@@ -5,7 +5,7 @@ falls on a rounding tie then prints differently from run to run. Every value is
 a DECIMAL of nine decimals, up to 1e19, and rounded half away from zero: one sum and one count,
 with the same arithmetic for all groups. A tenth decimal of a value is rounded, and a mean within
 5e-10 of a tie counts as the tie. Under ANSI mode a value or sum out of range is an error, never a
-wrong number.
+wrong number. NaN is no value, in sums, counts and extremes alike.
 
 Arguments are SQL expressions, mostly column names.
 """
@@ -28,8 +28,28 @@ def _quotient(numerator: str, denominator: str, digits: int) -> str:
             f" {sign} * (abs({numerator}) div {denominator} + {carry}) / {10 ** digits}D END")
 
 
+def _present(value: str) -> str:
+    """The value, null for NaN; whole numbers and decimals have none, and stay as they are."""
+    return f"CASE WHEN NOT isnan({value}) THEN {value} END"
+
+
 def _aggregates(value: str) -> dict[str, str]:
-    return {"sum": f"sum(CAST({value} AS {_VALUE}))", "count": f"count({value})"}
+    return {"sum": f"sum(CAST({_present(value)} AS {_VALUE}))", "count": f"count({_present(value)})"}
+
+
+def present(value: str) -> Column:
+    """The value, null for NaN."""
+    return F.expr(_present(value))
+
+
+def lowest(value: str) -> Column:
+    """Aggregate: the least value."""
+    return F.expr(f"min({_present(value)})")
+
+
+def highest(value: str) -> Column:
+    """Aggregate: the greatest value; NaN, which Spark sorts above all others, does not count."""
+    return F.expr(f"max({_present(value)})")
 
 
 def _stored(name: str, merged: bool) -> dict[str, str]:

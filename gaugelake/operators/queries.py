@@ -29,8 +29,8 @@ def station_comparison(silver: DataFrame) -> DataFrame:
             F.min("timestamp").alias("start_date"),
             F.max("timestamp").alias("end_date"),
             _mean(TEMP, 2).alias("avg_temp"),
-            F.round(F.min(TEMP), 2).alias("min_temp"),
-            F.round(F.max(TEMP), 2).alias("max_temp"),
+            F.round(fixed_point.lowest(TEMP), 2).alias("min_temp"),
+            F.round(fixed_point.highest(TEMP), 2).alias("max_temp"),
             _mean(HUMIDITY, 1).alias("avg_humidity"),
             _total(RAIN).alias("total_rainfall_mm"),
         ).orderBy("station_id")
@@ -64,7 +64,7 @@ def _per_value(silver: DataFrame, column: str) -> DataFrame:
 
     Measurements have a fixed resolution, so this is small however many rows a station has.
     """
-    return silver.groupBy("station_id", column).agg(
+    return silver.groupBy("station_id", fixed_point.present(column).alias(column)).agg(
         F.count("*").alias("_rows"), F.min("timestamp").alias("_first"))
 
 
@@ -76,8 +76,8 @@ def hottest_coldest(silver: DataFrame) -> DataFrame:
     # one row per value, so the value itself decides; without any value the earliest hour counts
     earliest = F.min("_first")
     extremes = _per_value(silver, TEMP).groupBy("station_id").agg(
-        F.max(TEMP).alias("hot"), F.coalesce(F.max_by("_first", TEMP), earliest).alias("hot_at"),
-        F.min(TEMP).alias("cold"), F.coalesce(F.min_by("_first", TEMP), earliest).alias("cold_at"))
+        fixed_point.highest(TEMP).alias("hot"), F.coalesce(F.max_by("_first", TEMP), earliest).alias("hot_at"),
+        fixed_point.lowest(TEMP).alias("cold"), F.coalesce(F.min_by("_first", TEMP), earliest).alias("cold_at"))
     both = F.array(*[
         F.struct(F.lit(label).alias("extreme_type"), F.col(f"{name}_at").alias("timestamp"),
                  F.round(name, 1).alias("temp_celsius"))
@@ -93,7 +93,7 @@ def rainfall_comparison(silver: DataFrame) -> DataFrame:
             F.count("*").alias("total_hours"),
             _total(RAIN).alias("total_rainfall_mm"),
             _mean(RAIN, 2).alias("avg_rainfall_per_hour"),
-            F.round(F.max(RAIN), 1).alias("max_hourly_rainfall"),
+            F.round(fixed_point.highest(RAIN), 1).alias("max_hourly_rainfall"),
             F.expr(wet).alias("hours_with_rain"),
             fixed_point.percent(wet, "count(*)").alias("pct_hours_with_rain"),
         ).orderBy(F.col("total_rainfall_mm").desc_nulls_last(), "station_id")
@@ -116,8 +116,8 @@ def wind_statistics(silver: DataFrame) -> DataFrame:
     return (
         silver.where(F.col(WIND).isNotNull()).groupBy("station_id").agg(
             _mean(WIND, 2).alias("avg_wind_speed_ms"),
-            F.round(F.max(WIND), 1).alias("max_wind_speed_ms"),
-            F.round(F.max("wind_gust_ms"), 1).alias("max_wind_gust_ms"),
+            F.round(fixed_point.highest(WIND), 1).alias("max_wind_speed_ms"),
+            F.round(fixed_point.highest("wind_gust_ms"), 1).alias("max_wind_gust_ms"),
             F.count_if(F.col(WIND) > 10).alias("hours_strong_wind"),
         ).orderBy(F.col("avg_wind_speed_ms").desc(), "station_id")
     )
@@ -134,8 +134,8 @@ def seasonal_temperatures(silver: DataFrame, year: int) -> DataFrame:
         _in_year(silver, year)
         .groupBy("station_id", calendar.season(F.col("timestamp")).alias("season")).agg(
             _mean(TEMP, 2).alias("avg_temp"),
-            F.round(F.min(TEMP), 2).alias("min_temp"),
-            F.round(F.max(TEMP), 2).alias("max_temp"),
+            F.round(fixed_point.lowest(TEMP), 2).alias("min_temp"),
+            F.round(fixed_point.highest(TEMP), 2).alias("max_temp"),
             _total(RAIN).alias("total_rainfall"),
         ).orderBy("station_id", calendar.season_rank(F.col("season")))
     )
@@ -147,8 +147,8 @@ def station_stats(silver: DataFrame) -> DataFrame:
         silver.groupBy("station_id").agg(
             F.count("timestamp").alias("total_hours"),
             _mean(TEMP, 2).alias("avg_temp"),
-            F.round(F.min(TEMP), 2).alias("min_temp"),
-            F.round(F.max(TEMP), 2).alias("max_temp"),
+            F.round(fixed_point.lowest(TEMP), 2).alias("min_temp"),
+            F.round(fixed_point.highest(TEMP), 2).alias("max_temp"),
             F.coalesce(_total(RAIN), F.lit(0.0)).alias("total_rainfall"),
             _mean("quality_score", 3).alias("avg_quality"),
         ).orderBy("station_id")
@@ -292,8 +292,8 @@ def temperature_stats(silver: DataFrame) -> DataFrame:
             F.count(TEMP).alias("count"),
             _mean(TEMP, 2).alias("mean"),
             F.round(F.stddev_samp(TEMP), 2).alias("std"),
-            F.round(F.min(TEMP), 2).alias("min"),
-            F.round(F.max(TEMP), 2).alias("max"),
+            F.round(fixed_point.lowest(TEMP), 2).alias("min"),
+            F.round(fixed_point.highest(TEMP), 2).alias("max"),
         ).orderBy("station_id")
     )
 
@@ -351,8 +351,8 @@ def temps_since(silver: DataFrame, stations: DataFrame, since: str) -> DataFrame
         rows = rows.where(F.col("year") >= int(since[:4]))
     per_station = rows.groupBy("station_id").agg(
         *fixed_point.partial(TEMP, "_temp"),
-        F.min(TEMP).alias("_min"),
-        F.max(TEMP).alias("_max"),
+        fixed_point.lowest(TEMP).alias("_min"),
+        fixed_point.highest(TEMP).alias("_max"),
     )
     named = per_station.join(
         stations.select(F.col("id").alias("station_id"), F.col("name").alias("station_name")),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,10 +23,13 @@ KEY = ["timestamp", "station_id"]
 
 
 def _as(column, source: T.DataType, target: T.DataType):
-    """Lenient cast; NaN counts as no value."""
+    """Lenient cast; NaN counts as no value, also where it comes as text."""
     if isinstance(source, (T.DoubleType, T.FloatType)):
         column = F.when(~F.isnan(column), column)
-    return column if source == target else column.try_cast(target)
+    if source == target:
+        return column
+    column = column.try_cast(target)
+    return F.when(~F.isnan(column), column) if isinstance(target, T.DoubleType) else column
 
 
 def map_silver_schema(refined: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -162,10 +165,15 @@ def quality_totals(report: DataFrame) -> DataFrame:
 def split_by_quality(silver: DataFrame, min_score: float = MIN_QUALITY_SCORE
                      ) -> tuple[DataFrame, DataFrame]:
     """(good rows, rows for the quarantine)."""
-    good = F.coalesce(F.col("quality_score") >= F.lit(min_score), F.lit(False))
+    good = is_good(min_score)
     return silver.where(good), silver.where(~good)
 
 
+def is_good(min_score: float = MIN_QUALITY_SCORE) -> Column:
+    """Whether a row has the least score; one without a score does not."""
+    return F.coalesce(F.col("quality_score") >= F.lit(min_score), F.lit(False))
+
+
 def quality_gate(silver: DataFrame, min_score: float = MIN_QUALITY_SCORE,
                  max_outlier_pct: float = MAX_OUTLIER_PCT,
                  max_missing_pct: float = MAX_MISSING_PCT) -> DataFrame:

@@ -18,7 +18,7 @@ SILVER_CODES = [c for c in SILVER_MAPPING
 
 def refine(spark: SparkSession, raw_root: str, refined_path: str, station_id: str | None = None,
            year: int | None = None, multiline: bool | None = None,
-           names: list[str] | None = None, layout: list[str] = tables.MONTHLY,
+           names: list[str] | None = None, layout: list[str] = tables.BY_YEAR,
            quarantine: str | None = None) -> list[str]:
     """Raw documents -> refined table; gives the parameter names that became columns.
 
@@ -42,7 +42,7 @@ def refine(spark: SparkSession, raw_root: str, refined_path: str, station_id: st
     rows = coverage.flatten_wide(good, names).drop("station_id", "year")
     if year is not None:
         rows = rows.where(F.year("timestamp") == year)
-    tables.write_refined(coverage.add_lineage(rows), refined_path, layout)
+    tables.write_refined(coverage.add_lineage(rows), refined_path, layout, station_id)
     if quarantine is None:
         raw.refuse_losses(counts)
     else:
@@ -52,12 +52,25 @@ def refine(spark: SparkSession, raw_root: str, refined_path: str, station_id: st
 
 def clean(spark: SparkSession, refined_path: str, silver_path: str,
           names: list[str] = SILVER_CODES, station_id: str | None = None, year: int | None = None,
-          sentinel_first: bool = False, layout: list[str] = tables.MONTHLY) -> None:
-    """Refined table -> silver table."""
+          sentinel_first: bool = False, layout: list[str] = tables.BY_YEAR, min_score: float | None = None) -> DataFrame | None:
+    """Refined table -> silver table.
+
+    With ``min_score`` the rows below it go to the quarantine of the silver table (``tables.scan_quarantine``) instead, in the same pass,
+    and the result is the gate: per station the rows that went either way and whether its percentages pass, from a few columns of
+    the files just written. A single station cannot be gated, as the gate replaces whole directories.
+    """
     configure(spark)
     refined = tables.scan_refined(spark, refined_path, names, station_id, year, layout)
     result = silver.to_silver(refined, REFINED_ORDER, sentinel_first)
-    tables.write_silver(result, silver_path, layout)
+    if min_score is None:
+        write = tables.write_silver if station_id is None else tables.replace_stations
+        write(result, silver_path, layout)
+        return None
+    if station_id is not None and "station_id" not in layout:
+        raise ValueError("name no station: the gate replaces whole directories")
+    tables.write_routed(result, silver.is_good(min_score), silver_path, layout)
+    both = tables.scan_silver(spark, silver_path, layout).unionByName(tables.scan_quarantine(spark, silver_path, layout))
+    return silver.quality_gate(both, min_score)
 
 
 def report(silver_table: DataFrame, year: int) -> dict[str, DataFrame]:

@@ -10,7 +10,7 @@ from gaugelake.sources import tables
 
 
 def register_views(spark: SparkSession, silver_path: str, stations: DataFrame | None = None,
-                   layout: list[str] = tables.MONTHLY) -> None:
+                   layout: list[str] = tables.BY_YEAR) -> None:
     """Temporary views ``silver``, ``gold_daily_summary``, ``gold_extreme_events`` and, with a
     registry, ``stations``, ``gold_monthly_comparison`` and ``gold_monthly_by_region``."""
     silver = tables.scan_silver(configure(spark), silver_path, layout)

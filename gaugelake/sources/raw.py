@@ -134,15 +134,16 @@ def _bad(docs: DataFrame) -> Column:
 def counted(docs: DataFrame) -> tuple[DataFrame, Observation]:
     """The documents, counted on their way through the next job that reads them."""
     counts = Observation("documents")
-    return docs.observe(counts, F.count_if(_bad(docs)).alias("bad"), F.count("*").alias("all")), counts
+    return docs.observe(counts, F.count_if(_bad(docs)).alias("bad"), F.count("*").alias("all"),
+                        F.min(F.when(_bad(docs), F.col("_source_file"))).alias("file")), counts
 
 
 def refuse_losses(counts: Observation) -> None:
     """An error if a document was bad, to be called after the job."""
     found = counts.get
     if found["bad"]:
-        raise ValueError(f"{found['bad']} of {found['all']} documents do not parse; the others are written."
-                         " Name a quarantine folder to go on without them")
+        raise ValueError(f"{found['bad']} of {found['all']} documents do not parse, such as one in"
+                         f" {found['file']}; the others are written. Name a quarantine folder to go on without them")
 
 
 def isolate_bad_files(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

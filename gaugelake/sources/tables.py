@@ -1,42 +1,110 @@
-"""Refined and silver tables as partitioned Parquet."""
+"""Refined and silver tables as versions of partitioned Parquet files."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugelake.functions.calendar import with_partition_columns
+from gaugelake.functions.fixed_point import present
 from gaugelake.schema import PARTITION_FIELDS, SILVER
-from gaugelake.sources.files import atomic_replace, exists, rebalanced
+from gaugelake.sources.files import exists, rebalanced
 from gaugelake.sources.raw import canonical_id
+from gaugelake.sources.snapshots import ROUTE, Snapshots
 
-# station, year and month as the directories of the stored tables; by year alone is the better
-# choice where a station-month is small
+# directories of the stored tables: by year, the files follow the bytes, however many stations there are;
+# with the station as a directory, a station and year (or month) should fill a file
+BY_YEAR = ["year"]
 MONTHLY = ["station_id", "year", "month"]
 YEARLY = ["station_id", "year"]
 
 
-def _place(df: DataFrame, layout: list[str]) -> DataFrame:
-    placed = with_partition_columns(df).drop(*[c for c in ("year", "month") if c not in layout])
-    return rebalanced(placed, layout, ["timestamp"])
+def stored(spark: SparkSession, path: str, layout: list[str], branch: str = "") -> Snapshots:
+    """The versions of a table in a layout, where a station's part of a directory can be replaced."""
+    return Snapshots(spark, path, layout, None if "station_id" in layout else "station_id", branch)
 
 
-def write_refined(refined: DataFrame, path: str, layout: list[str] = MONTHLY) -> None:
-    """Refined rows by location, year and month of their own time."""
-    rows = refined.withColumn("station_id", F.col("location_id"))
-    atomic_replace(_place(rows, layout), path, layout)
+def _with_directories(df: DataFrame, layout: list[str]) -> DataFrame:
+    return with_partition_columns(df).drop(*[c for c in ("year", "month") if c not in layout])
 
 
-def write_silver(silver: DataFrame, path: str, layout: list[str] = MONTHLY) -> None:
-    atomic_replace(_place(silver, layout), path, layout)
+def clustered(df: DataFrame, layout: list[str]) -> DataFrame:
+    """Rows with their directory columns, cut into ranges of (directory, station, time) and sorted.
+
+    Neighbouring ranges lie in one file, so its statistics let a query of one station or time skip row groups, and
+    a station with most of the rows is written by many tasks.
+    """
+    order = [*layout, *[c for c in ("station_id", "timestamp") if c not in layout]]
+    return _with_directories(df, layout).repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def write_refined(refined: DataFrame, path: str, layout: list[str] = BY_YEAR, station_id: str | None = None) -> None:
+    """Refined rows by the directories of their own time, sorted within files; all of them, or those of one station.
+
+    Cutting exact ranges would parse all documents twice, so the rows are gathered by directory only; documents lie by station, and so do the rows.
+    """
+    rows = _with_directories(refined.withColumn("station_id", F.col("location_id")), layout)
+    order = [c for c in ("station_id", "timestamp") if c not in layout]
+    table = stored(refined.sparkSession, path, layout)
+    if station_id is None or table.within is None:
+        table.replace(rebalanced(rows, layout, order))
+    else:
+        table.replace_values(rebalanced(rows, layout, order))
+
+
+def write_silver(silver: DataFrame, path: str, layout: list[str] = BY_YEAR) -> None:
+    """Replace the directories that occur in ``silver``."""
+    stored(silver.sparkSession, path, layout).replace(clustered(silver, layout))
+
+
+QUARANTINE = "quarantine"
+
+
+def write_routed(silver: DataFrame, good: Column, path: str, layout: list[str] = BY_YEAR) -> None:
+    """Write the good rows to the silver table and the others to its quarantine, in one pass over ``silver``.
+
+    One job writes the files of both, a directory each; then two versions name them. A directory (year) that occurs is
+    replaced in both tables, so a row that has become good leaves the quarantine.
+    """
+    spark = silver.sparkSession
+    routed = silver.withColumn(ROUTE, F.when(good, "good").otherwise("bad"))
+    order = [ROUTE, *layout, *[c for c in ("station_id", "timestamp") if c not in layout]]
+    rows = _with_directories(routed, layout).repartitionByRange(*order).sortWithinPartitions(*order)
+    table, quarantine = stored(spark, path, layout), stored(spark, path, layout, QUARANTINE)
+    commit = table.stage(rows)
+    ways = {QUARANTINE: f"{commit}/{ROUTE}=bad", "": f"{commit}/{ROUTE}=good"}
+    parts = sorted({part for way in ways.values() for part in table._parts(way)})
+    # the quarantine first: a reader between the two finds a row in both rather than in none
+    quarantine.replace_staged(ways[QUARANTINE], parts)
+    table.replace_staged(ways[""], parts)
+
+
+def scan_quarantine(spark: SparkSession, path: str, layout: list[str] = BY_YEAR) -> DataFrame:
+    """The rows that ``write_routed`` kept out of the silver table at ``path``; none if it never ran."""
+    return stored(spark, path, layout, QUARANTINE).read(silver_schema(layout))
+
+
+def replace_stations(rows: DataFrame, path: str, layout: list[str] = BY_YEAR) -> None:
+    """Replace what ``rows`` has of each station and directory; other stations of the directory stay."""
+    table = stored(rows.sparkSession, path, layout)
+    if table.within is None:
+        table.replace(clustered(rows, layout))
+    else:
+        table.replace_values(clustered(rows, layout), arranged=lambda df: clustered(df, layout))
+
+
+def _read(spark: SparkSession, path: str, layout: list[str], schema: T.StructType) -> DataFrame:
+    """The last version of a table, or the files of one that has no versions."""
+    table = stored(spark, path, layout)
+    return table.read(schema) if table.version() else spark.read.schema(schema).parquet(path)
 
 
 def scan_refined(spark: SparkSession, path: str, params: list[str],
                  station_id: str | None = None, year: int | None = None,
-                 layout: list[str] = MONTHLY, with_params: bool = True) -> DataFrame:
+                 layout: list[str] = BY_YEAR, with_params: bool = True) -> DataFrame:
     """The refined table, of one station and year if given, with one column per parameter."""
     fields = [
         T.StructField("timestamp", T.TimestampType()),
@@ -52,7 +120,7 @@ def scan_refined(spark: SparkSession, path: str, params: list[str],
         T.StructField("station_id", T.StringType()),
         *[f for f in PARTITION_FIELDS if f.name in layout],
     ]
-    table = spark.read.schema(T.StructType(fields)).parquet(path)
+    table = _read(spark, path, layout, T.StructType(fields))
     if station_id is not None:
         table = table.where(F.col("station_id") == station_id)
     if year is not None:
@@ -60,16 +128,19 @@ def scan_refined(spark: SparkSession, path: str, params: list[str],
     return table
 
 
-def scan_silver(spark: SparkSession, path: str, layout: list[str] = MONTHLY) -> DataFrame:
+def scan_silver(spark: SparkSession, path: str, layout: list[str] = BY_YEAR) -> DataFrame:
     """The silver table with its declared schema, never an inferred one."""
     if not exists(spark, path):
         raise FileNotFoundError(f"no silver table at {path}")
-    directories = [f for f in PARTITION_FIELDS if f.name in layout]
-    return spark.read.schema(T.StructType([*SILVER.fields, *directories])).parquet(path)
+    return _read(spark, path, layout, silver_schema(layout))
+
+
+def silver_schema(layout: list[str]) -> T.StructType:
+    return T.StructType([*SILVER.fields, *[f for f in PARTITION_FIELDS if f.name in layout]])
 
 
 def scan_foreign_silver(spark: SparkSession, path: str) -> DataFrame:
-    """Silver files of another writer: times in nanoseconds, all-null columns without a type.
+    """Silver files of another writer: times in nanoseconds, all-null columns without a type, NaN for no value.
 
     Sets ``spark.sql.legacy.parquet.nanosAsLong`` on the session, which only concerns columns that
     Spark cannot read otherwise.
@@ -86,13 +157,15 @@ def scan_foreign_silver(spark: SparkSession, path: str) -> DataFrame:
             return F.timestamp_micros(micros).alias(field.name)
         if field.name == "station_id":
             return canonical_id(F.col("station_id")).alias("station_id")
+        if isinstance(field.dataType, T.DoubleType):
+            return present(field.name).alias(field.name)
         return F.col(field.name)
 
     return table.select(*[column(f) for f in SILVER])
 
 
 def count_stations(table: DataFrame) -> DataFrame:
-    """Number of station directories; no data column is read."""
+    """Number of stations; no other column is read, and none at all where the station is a directory."""
     return table.select("station_id").distinct().agg(F.count("*").alias("stations"))
 
 
@@ -102,7 +175,7 @@ DRIFTING = ["cloud_cover_octas", "visibility_m", "radiation_index"]
 def reconcile_union(parts: list[DataFrame], drifting: list[str] = DRIFTING) -> DataFrame:
     """One table from parts whose types differ or that lack columns.
 
-    The drifting columns become doubles, null where a value does not convert; a column that a
+    The drifting columns become doubles, null where a value is NaN or does not convert; a column that a
     part lacks is null there, and a column name that occurs twice in a part is taken once.
     """
     def aligned(part: DataFrame) -> DataFrame:
@@ -114,7 +187,7 @@ def reconcile_union(parts: list[DataFrame], drifting: list[str] = DRIFTING) -> D
         unique = part.toDF(*[f"c{i}" for i in range(len(part.columns))]).select(
             *[F.col(f"c{i}").alias(name) for i, name in keep])
         return unique.withColumns({
-            c: F.col(c).try_cast("double") for c in drifting if c in unique.columns})
+            c: F.nanvl(F.col(c).try_cast("double"), F.lit(None)) for c in drifting if c in unique.columns})
 
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(aligned, parts))
 

@@ -6,13 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugelake.functions.calendar import with_partition_columns
 from gaugelake.operators import coverage, silver
+from gaugelake.plans import summaries
 from gaugelake.plans.jobs import REFINED_ORDER, SILVER_CODES
 from gaugelake.schema import CORRUPT_COLUMN, RAW_DOCUMENT
 from gaugelake.session import configure
 from gaugelake.sources import raw, tables
-from gaugelake.sources.files import atomic_replace, exists, rebalanced
+
+
+MOST_FILES = 10_000  # of a batch
 
 
 def stream_raw(spark: SparkSession, root: str, multiline: bool = False,
@@ -39,48 +41,79 @@ def refined_rows(docs: DataFrame) -> DataFrame:
         coverage.flatten_wide(docs.drop("station_id", "year"), SILVER_CODES))
 
 
-def _within(column: str, low: Column, high: Column) -> Column:
-    """Inside a range, or without a value: a row without a time has its place, too."""
-    return F.col(column).isNull() | F.col(column).between(low, high)
+KEEP = ("first", "last")
+
+
+def _same_key(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, list[Column]]:
+    """The keys of ``rows`` under other names, and the null-safe condition that joins on them."""
+    named = rows.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    return named, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
 
 
-def insert_new(batch: DataFrame, path: str, layout: list[str] = tables.MONTHLY) -> None:
-    """Append the silver rows whose (station, time) the table does not hold yet.
+def upsert(batch: DataFrame, path: str, layout: list[str] = tables.BY_YEAR, keep: str = "first") -> list[str | None]:
+    """Bring silver rows, one per (station, time), into the table; gives the days of the batch (ISO, null for rows without a time).
 
-    The first copy of an hour stays, so stored files are never rewritten, and repeating a batch
-    that was cut off half way adds just what is still missing. Only the years and hours of the
-    batch are looked up in the table.
+    ``first``: the row that the table has of an hour stays, and only rows of other hours are added, so no stored
+    file is replaced. ``last``: the row of the batch counts, so a correction arrives; what the table has of the touched stations is merged
+    with the batch and replaced, directory by directory. In both cases the batch is written beside the table before it is looked at,
+    readers see all of the change or none, and repeating a batch changes nothing.
     """
+    if keep not in KEEP:
+        raise ValueError(f"keep is one of {KEEP}")
     spark = batch.sparkSession
-    batch = batch.persist()
-    try:
-        new = batch
-        if exists(spark, path):
-            span = batch.agg(F.unix_micros(F.min("timestamp")), F.unix_micros(F.max("timestamp"))).first()
-            low, high = (F.timestamp_micros(F.lit(micros).cast("bigint")) for micros in span)
-            known = tables.scan_silver(spark, path, layout).where(
-                _within("year", F.year(low), F.year(high)) & _within("timestamp", low, high)
-            ).select(*[F.col(k).alias(f"_{k}") for k in silver.KEY])
-            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in silver.KEY]
-            new = batch.join(known, same, "left_anti")
-        placed = with_partition_columns(new).drop(
-            *[c for c in ("year", "month") if c not in layout])
-        rebalanced(placed, layout, ["timestamp"]).write.mode("append").partitionBy(*layout).parquet(path)
-    finally:
-        batch.unpersist()
+    table, schema = tables.stored(spark, path, layout), tables.silver_schema(layout)
+    base = table.version()
+    commit = table.stage(tables.clustered(batch, layout))
+    new = table.staged(commit, schema)
+    days = [row[0] for row in new.select(F.to_date("timestamp").cast("string")).distinct().collect()]
+    if not base:
+        table.add(commit, base)
+        return days
+    parts = list(dict.fromkeys(["station_id", *layout]))
+    touched, at_touched = _same_key(new.select(*parts).distinct(), parts)
+    old = _directories_of(new, table.read(schema), layout).join(touched, at_touched, "left_semi")
+    if keep == "first":
+        hours, at_hours = _same_key(old, silver.KEY)
+        table.append(tables.clustered(new.join(hours, at_hours, "left_anti"), layout), base)
+    else:
+        hours, at_hours = _same_key(new, silver.KEY)
+        merged = tables.clustered(old.join(hours, at_hours, "left_anti").unionByName(new), layout)
+        if table.within is None:
+            table.replace(merged, base)
+        else:
+            table.replace_values(merged, base, lambda df: tables.clustered(df, layout))
+    table.discard(commit)
+    return days
+
+
+def _directories_of(new: DataFrame, old: DataFrame, layout: list[str]) -> DataFrame:
+    """The rows of ``old`` in the years of ``new``, as plain values that prune the scan."""
+    years = [row[0] for row in new.select("year").distinct().collect()] if "year" in layout else []
+    if not years:
+        return old
+    some = [y for y in years if y is not None]
+    return old.where(F.col("year").isin(some) | (F.col("year").isNull() if None in years else F.lit(False)))
+
+
+def insert_new(batch: DataFrame, path: str, layout: list[str] = tables.BY_YEAR) -> None:
+    """Add the silver rows whose (station, time) the table does not hold yet."""
+    upsert(batch, path, layout, "first")
 
 
 def incremental_load(spark: SparkSession, raw_root: str, silver_path: str, checkpoint: str,
-                     sentinel_first: bool = False, layout: list[str] = tables.MONTHLY,
-                     multiline: bool | None = None, max_files: int | None = None,
-                     order_by: list[str] = REFINED_ORDER, quarantine: str | None = None) -> None:
-    """Process the raw files that came since the last call, then stop.
-
-    ``order_by`` decides between copies of an hour within one run. The checkpoint remembers the
-    files seen. A file that repeats hours already loaded, such as one that looks back over the last
-    two days, changes nothing for them. Both forms of files are read, unless ``multiline`` says which one
+                     sentinel_first: bool = False, layout: list[str] = tables.BY_YEAR,
+                     multiline: bool | None = None, max_files: int | None = MOST_FILES,
+                     order_by: list[str] = REFINED_ORDER, quarantine: str | None = None,
+                     keep: str = "first", gold_path: str | None = None) -> None:
+    """Process the raw files that came since the last call, in batches of ``max_files``, then stop.
+
+    ``order_by`` decides between copies of an hour within one batch, ``keep`` between a batch and the table: with ``first`` a file that
+    repeats hours already loaded, such as one that looks back over the last two days, changes nothing for them; with ``last``
+    it corrects them. The days of a batch are brought up to date in the summary tables at ``gold_path``, if given. The checkpoint
+    remembers the files seen. Both forms of files are read, unless ``multiline`` says which one
     they have. Documents that do not parse are written to ``quarantine``, a directory per batch; if it
-    is not given they are an error, and the next call takes the files of that batch again.
+    is not given they are an error that names a file, and every later call meets the same batch first: nothing behind it loads
+    until the file is mended, taken away or a quarantine is named.
     """
     configure(spark)
 
@@ -91,8 +124,9 @@ def incremental_load(spark: SparkSession, raw_root: str, silver_path: str, check
         good, bad, _ = raw.isolate_bad_files(docs)
         if quarantine is not None:
             bad.write.mode("overwrite").json(f"{quarantine}/batch={batch_id}")
-        insert_new(silver.to_silver(refined_rows(good), order_by, sentinel_first),
-                   silver_path, layout)
+        days = upsert(silver.to_silver(refined_rows(good), order_by, sentinel_first), silver_path, layout, keep)
+        if gold_path is not None:
+            summaries.refresh(spark, silver_path, gold_path, days, layout)
         if quarantine is None:
             raw.refuse_losses(counts)
 
@@ -105,10 +139,7 @@ def incremental_load(spark: SparkSession, raw_root: str, silver_path: str, check
     query.awaitTermination()
 
 
-def compact(spark: SparkSession, path: str, staging: str, year: int,
-            layout: list[str] = tables.MONTHLY) -> None:
-    """Rewrite the small files of one year, by way of a staging table."""
-    rows = tables.scan_silver(spark, path, layout).where(F.col("year") == year)
-    atomic_replace(rebalanced(rows, layout, ["timestamp"]), staging, layout)
-    staged = tables.scan_silver(spark, staging, layout).where(F.col("year") == year)
-    atomic_replace(rebalanced(staged, layout, ["timestamp"]), path, layout)
+def compact(spark: SparkSession, path: str, layout: list[str] = tables.BY_YEAR, most_layers: int = 1) -> None:
+    """Rewrite the directories that loads have added to, or replaced parts of, more than ``most_layers`` times."""
+    tables.stored(spark, path, layout).compact(
+        tables.silver_schema(layout), lambda df: tables.clustered(df, layout), most_layers)

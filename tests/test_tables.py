@@ -23,14 +23,15 @@ def test_silver_round_trip(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         tables.scan_silver(spark, path)
     table = hourly(spark, 48, station=A).unionByName(hourly(spark, 24, station=B))
-    tables.write_silver(table, path)
-    back = tables.scan_silver(spark, path)
+    tables.write_silver(table, path, tables.MONTHLY)
+    back = tables.scan_silver(spark, path, tables.MONTHLY)
     assert back.columns == [*(f.name for f in SILVER if f.name != "station_id"), "station_id", "year", "month"]
     same = [c for c in table.columns if not c.startswith("_")]
     assert back.select(same).exceptAll(table.select(same)).count() == 0
     assert back.count() == 72
     # the directory keeps the id as it is, so the column needs no translation
-    assert (tmp_path / "silver" / f"station_id={A}" / "year=2023" / "month=12").is_dir()
+    commit = next((tmp_path / "silver" / "data").iterdir())
+    assert (commit / f"station_id={A}" / "year=2023" / "month=12").is_dir()
     assert tables.count_stations(back).first()["stations"] == 2
     plan = tables.count_stations(back)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<>" in plan
@@ -47,6 +48,10 @@ def test_filters_reach_the_scan(spark, tmp_path):
     schema = plan.split("ReadSchema: ")[1].splitlines()[0]
     assert "rainfall_mm" in schema and "humidity" not in schema
     plan = queries.recent_window(table, A, "2024-01-01")._jdf.queryExecution().executedPlan().toString()
+    assert f"EqualTo(station_id,{A})" in plan.split("PushedFilters:")[1]
+    tables.write_silver(hourly(spark, 48, station=A), path + "2", tables.MONTHLY)
+    table = tables.scan_silver(spark, path + "2", tables.MONTHLY)
+    plan = queries.recent_window(table, A, "2024-01-01")._jdf.queryExecution().executedPlan().toString()
     assert A in plan.split("PartitionFilters:")[1].split("]")[0]
 
 
@@ -60,13 +65,17 @@ def test_a_large_directory_is_written_by_several_tasks(spark, tmp_path):
         rows = spark.range(0, 20_000, 1, 4).select(
             F.lit("hot").alias("station_id"), F.timestamp_seconds(F.col("id")).alias("timestamp"),
             F.rand(1).alias("v"))
-        files.atomic_replace(tables._place(rows, tables.MONTHLY), path, tables.MONTHLY)
+        tables.stored(spark, path, tables.MONTHLY).replace(tables.clustered(rows, tables.MONTHLY))
     finally:
         for k, v in saved.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    written = list((tmp_path / "silver" / "station_id=hot" / "year=1970" / "month=1").glob("*.parquet"))
+    written = list((tmp_path / "silver" / "data").glob("commit=*/station_id=hot/year=1970/month=1/*.parquet"))
     assert len(written) > 1
-    assert spark.read.parquet(path).count() == 20_000
+    assert spark.read.parquet(path + "/data").count() == 20_000
+    # neighbouring times lie in one file
+    spans = [r for r in spark.read.parquet(path + "/data").groupBy(F.input_file_name()).agg(
+        F.min("timestamp").alias("a"), F.max("timestamp").alias("b")).orderBy("a").collect()]
+    assert all(x["b"] < y["a"] for x, y in zip(spans, spans[1:]))
 
 
 def test_atomic_replace_touches_only_its_partitions(spark, tmp_path):
@@ -177,8 +186,10 @@ def test_incremental_equals_full_recomputation(spark, tmp_path):
     jobs.clean(spark, str(tmp_path / "refined"), str(tmp_path / "full"), names)
     assert temperatures(spark, str(tmp_path / "full")) == got
 
-    incremental.compact(spark, path, str(tmp_path / "staging"), 2024)
-    assert temperatures(spark, path) == got
+    table = tables.stored(spark, path, tables.BY_YEAR)
+    assert len(table.layers()) > 1
+    incremental.compact(spark, path)
+    assert temperatures(spark, path) == got and len(table.layers()) == 1
 
 
 def test_repeating_a_batch_adds_nothing(spark, tmp_path):
