@@ -15,13 +15,16 @@ shuffled of a document:
 * Positional filter: a shared n-gram at places a and b (by hash) leaves room for at most
   ``min(a, b) + min(n_a - a, n_b - b)`` shared ones; and one at places i and j of the prefixes is the rarest shared
   one only if enough n-grams follow it in both.
-* Suffix filter: 256 parity bits over the whole set; each n-gram in just one of two sets flips one bit, so the bits
-  that differ bound the size of the difference from below.
+* Suffix filter: parity bits over the whole set; each n-gram in just one of two sets flips one bit, so the bits
+  that differ bound the size of the difference from below. 256 bits go with every posting, which decides for short sets; a pair that
+  passes is then held against bits in proportion to its sets (about two per n-gram), which tell long sets apart as well.
 
 Pairs that pass are verified once, on their whole sets. Documents with equal sets are one class from the start.
-In each posting list all documents are first held against its smallest; those linked to it carry its id
-as label, and the second round joins only documents with different labels, so a large group of near copies
-does not become all of its pairs. Every pair of unlinked labels that passes the filters is still verified: no link
+In each posting list all documents are first held against its smallest. The components of the links found so are labels,
+and the second round joins only documents with different labels, so a large group of near copies
+does not become all of its pairs. In a list of LONG_LIST documents or more a pair counts at the first n-gram that both have among
+their FEW rarest of such lists (or at every n-gram, if these have none in common), so documents that share much meet once there, not at each n-gram. Every pair
+of unlinked labels that passes the filters is still verified: no link
 between components is lost. The components come from alternating large-star and small-star steps.
 
 Defined cases: null and empty texts and texts of white space have no n-grams, link with nothing and are their own
@@ -46,6 +49,8 @@ from gaugelake.llm.shingles import shingle_sets
 from gaugelake.session import ensure_checkpoint_dir
 
 PARITY_WORDS = 4  # 64 bits each
+LONG_LIST = 8
+FEW = 16
 
 SIGNATURE = [f"s{i}" for i in range(PARITY_WORDS)]
 
@@ -83,6 +88,28 @@ def parity(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(cells.astype(np.uint8)).view(np.int64)
 
 
+def parity_in_proportion(tokens: np.ndarray) -> bytes:
+    """As ``parity``, with a power of two of bits: two for each n-gram at least."""
+    bits = 1 << max(6, int(2 * len(tokens) - 1).bit_length())
+    cells = np.bincount((tokens >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(cells.astype(np.uint8), bitorder="little").tobytes()
+
+
+def parity_difference(a: bytes, b: bytes) -> int:
+    """How many bits differ, on as many bits as the shorter one has: halves fold onto each other."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[: len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def most_different(n_a: int, n_b: int, percent: int) -> int:
+    """The n-grams that two linked sets can have alone, both together."""
+    return n_a + n_b - 2 * -(-(n_a + n_b) * percent // (100 + percent))
+
+
 def _reaches(docs: DataFrame, words: int, percent: int, reach: int) -> DataFrame:
     """doc_id, set size, digest of the set, parity bits and the n-grams of the reach, in the order of their hashes."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,9 +138,12 @@ def _whole_sets(docs: DataFrame, words: int) -> DataFrame:
         for whole in batches:
             for batch in text_batches(whole, "text"):
                 made = shingle_sets(batch.column("text").to_pylist(), words)
-                yield pa.RecordBatch.from_arrays([batch.column("id"), _lists(made)], ["id", "tokens"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), pa.array([len(s) for s in made], pa.int32()),
+                     pa.array([parity_in_proportion(s) for s in made], pa.binary()), _lists(made)],
+                    ["id", "n", "bits", "tokens"])
 
-    return docs.select("id", "text").mapInArrow(sets, "id long, tokens array<long>")
+    return docs.select("id", "text").mapInArrow(sets, "id long, n int, bits binary, tokens array<long>")
 
 
 def _postings(heads: DataFrame, reps: DataFrame, percent: int, reach: int) -> DataFrame:
@@ -146,6 +176,21 @@ def _passes(a, b, percent: int) -> F.Column:
             & (differ <= a("n") + b("n") - 2 * needed))
 
 
+def _near_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the parity bits of their whole sets do not rule out."""
+    first = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
+    second = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b")]
+            passes = [parity_difference(x, y) <= most_different(n, m, percent) for n, m, x, y in zip(*columns, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(passes, pa.bool_()))
+
+    return pairs.join(first, "a").join(second, "b").select(
+        "a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(check, "a long, b long")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link."""
     first = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
@@ -156,6 +201,30 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("a", "b"))
 
 
+def _pairs(labelled: DataFrame, percent: int, also=None) -> DataFrame:
+    """Pairs (a, b) of postings of one n-gram whose labels differ and that pass the filters, and ``also``."""
+    left = labelled.select("token", *[F.col(c).alias(f"l_{c}") for c in labelled.columns if c != "token"])
+    joined = labelled.join(left, "token").filter(
+        (F.col("l_id") < F.col("id")) & (F.col("l_label") != F.col("label")) & _passes(F.col, lambda c: F.col(f"l_{c}"), percent))
+    if also is not None:
+        joined = joined.filter(also)
+    return joined.select(F.col("l_id").alias("a"), F.col("id").alias("b"))
+
+
+def _pairs_met_once(labelled: DataFrame, percent: int) -> DataFrame:
+    """As ``_pairs``, at the first n-gram that both documents have among their FEW of the shortest lists.
+
+    A linked pair passes the filter on places at each n-gram, and the one on what is left at the rarest n-gram of both; what is left is not
+    asked here, as a pair may count at another one.
+    """
+    order = Window.partitionBy("id").orderBy("many", "token")
+    few = (labelled.select("id", "many", "token").withColumn("at", F.row_number().over(order)).filter(F.col("at") <= FEW)
+           .groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]).alias("few")))
+    common = F.array_intersect("l_few", "few")
+    return _pairs(labelled.drop("many").withColumn("left", F.col("k")).join(few, "id"), percent,
+                  (F.size(common) == 0) | (F.get(common, F.lit(0)) == F.col("token")))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest node) of all nodes with an edge (a, b); every step is checkpointed."""
     ensure_checkpoint_dir(edges.sparkSession)
@@ -210,17 +279,16 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, reach: int = 100)
     wanted = listed.select("id").distinct()
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi")
     sets = scratch.save(_whole_sets(texts, words), "sets")
+    near = scratch.save(_near_enough(near, sets, percent), "near")
     first = scratch.save(_verified(near, sets, percent), "first")
 
-    labels = first.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("label"))
-    labelled = listed.drop("hub", "many").join(labels, "id", "left").withColumn(
-        "label", F.coalesce("label", "id"))
-    left = labelled.select("token", *[F.col(c).alias(f"l_{c}") for c in labelled.columns if c != "token"])
-    rest = (labelled.join(left, "token")
-            .filter((F.col("l_id") < F.col("id")) & (F.col("l_label") != F.col("label")))
-            .filter(_passes(F.col, lambda c: F.col(f"l_{c}"), percent))
-            .select(F.col("l_id").alias("a"), F.col("id").alias("b")).distinct())
-    rest = rest.join(first, ["a", "b"], "left_anti")
+    linked = first.union(classed.select(F.col("doc_id").alias("a"), F.col("id").alias("b")))
+    labels = scratch.save(components(linked).select(F.col("node").alias("id"), F.col("component").alias("label")), "labels")
+    labelled = listed.drop("hub").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    rest = _pairs(labelled.filter(F.col("many") < LONG_LIST).drop("many"), percent)
+    rest = rest.union(_pairs_met_once(labelled.filter(F.col("many") >= LONG_LIST), percent))
+    rest = scratch.save(rest.distinct(), "rest")
+    rest = scratch.save(_near_enough(rest.join(near, ["a", "b"], "left_anti"), sets, percent), "unlike")
     second = scratch.save(_verified(rest, sets, percent), "second")
 
     found = components(first.union(second).union(classed.select(F.col("doc_id").alias("a"), F.col("id").alias("b"))))
@@ -228,7 +296,7 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, reach: int = 100)
     result = scratch.save(
         sizes.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")), "result")
-    scratch.drop("heads", "classes", "postings", "sets", "first", "second")
+    scratch.drop("heads", "classes", "postings", "sets", "near", "first", "labels", "rest", "unlike", "second")
     return result
 
 

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,7 +46,11 @@ def test_join(docs, rows, words, percent, reach):
     assert any(i != c for i, c in parts.items())
 
 
-def test_random_near_copies(spark):
+@pytest.mark.parametrize("long_list,few", [(8, 16), (2, 1), (2, 2)])
+def test_random_near_copies(spark, long_list, few, monkeypatch):
+    """Also where nearly every list counts as long, and documents seldom have one of their few n-grams in common."""
+    monkeypatch.setattr(ngram_join, "LONG_LIST", long_list)
+    monkeypatch.setattr(ngram_join, "FEW", few)
     rng = random.Random(5)
     base = [f"w{rng.randrange(40)}" for _ in range(60)]
     made = []
@@ -60,6 +65,24 @@ def test_random_near_copies(spark):
     assert got == plain_components(sets, 90)
 
 
+def test_proportional_parity_never_exceeds_the_difference():
+    rng = np.random.default_rng(6)
+    for n in (1, 2, 31, 33, 700, 5000):
+        for m in (n, max(1, n * 4 // 5), n // 2 + 1):
+            shared = rng.integers(0, 2**63, m, dtype=np.uint64)
+            a = np.unique(np.concatenate([shared, rng.integers(0, 2**63, n - m if n > m else 0, dtype=np.uint64)]))
+            b = np.unique(np.concatenate([shared, rng.integers(0, 2**63, rng.integers(0, n + 1), dtype=np.uint64)]))
+            bits = [ngram_join.parity_in_proportion(x) for x in (a, b)]
+            difference = len(np.setxor1d(a, b))
+            assert ngram_join.parity_difference(*bits) <= difference
+            overlap = len(np.intersect1d(a, b))
+            linked = 100 * overlap >= 80 * len(np.union1d(a, b))
+            assert not linked or difference <= ngram_join.most_different(len(a), len(b), 80)
+    far = [rng.integers(0, 2**63, 3000, dtype=np.uint64) for _ in range(2)]
+    bits = [ngram_join.parity_in_proportion(x) for x in far]
+    assert ngram_join.parity_difference(*bits) > ngram_join.most_different(3000, 3000, 80)
+
+
 def test_join_of_odd_tables(with_repeats, empty):
     assert ngram_join.near_duplicates(empty, 3, 90).collect() == []
     got = [r for r in ngram_join.near_duplicates(with_repeats, 3, 90).collect()]
