@@ -129,8 +129,11 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "quality")
     hosts = scratch.save(host_verdicts(_narrow(docs)), "hosts")
-    rows = measured(docs).withColumn("_row", F.monotonically_increasing_id())
-    return with_verdicts(rows, hosts).filter("kept and _row >= 0").select(*docs.columns)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # the input row is carried as a whole, so a column of it may have the name of a measure
+    rows = measured(docs.select("text", "source", F.struct(*columns).alias("_input")))
+    rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    return with_verdicts(rows, hosts).filter("kept and _row >= 0").select("_input.*")
 
 
 def op8_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from compare import compare, connect
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gaugelake.llm import encoding, host_quality, mixing, packing, token_files
@@ -65,8 +66,27 @@ def test_water_filling_and_balance(spark):
     for s in order:
         assert by.t[sizes[s]] == pytest.approx(target[s])
         assert by.k[sizes[s]] == pytest.approx(target[s], rel=0.002)
-    again = mixing.sample(docs, Scratch(spark, "t")).toPandas()
-    assert (got.sort_values("row").times.values == again.sort_values("row").times.values).all()
+    for split in (docs.repartition(7, "text"), docs.repartition(2), docs.sort("text")):
+        again = mixing.sample(split, Scratch(spark, "t")).toPandas()
+        assert again.sort_values("id").times.tolist() == got.sort_values("id").times.tolist()
+
+
+def test_few_long_documents_come_near_their_target(spark):
+    rng = random.Random(2)
+    made = [(i, "w " * (rng.choice([5, 20, 3000, 5000]) + rng.randint(0, 60)), f"s{i % 4}") for i in range(200)]
+    got = mixing.sample(spark.createDataFrame(made, "doc_id long, text string, source string"), Scratch(spark, "t")).toPandas()
+    by = got.assign(taken=got["size"] * got.times).groupby("source").agg(t=("target", "first"), k=("taken", "sum"))
+    assert (abs(by.k - by.t) <= 0.002 * by.t + 1).all()
+
+
+def test_equal_rows_share_what_is_taken(spark):
+    made = [(i // 3, "w " * (10 + i // 3), "a", i) for i in range(300)] + [(500, "w " * 400, "b", 0)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, source string, extra long")
+    taken = mixing.sample(docs, Scratch(spark, "t")).toPandas()
+    times = {int(k): int(v) for k, v in taken.groupby("id").times.sum().items()}
+    mixed = mixing.mix(docs).toPandas()
+    assert {k: v for k, v in times.items() if v} == mixed.groupby("doc_id").size().to_dict()
+    assert mixed.groupby(["doc_id", "extra"]).size().max() <= 2
 
 
 def test_flight_keeps_both_totals():
@@ -228,6 +248,26 @@ def test_quality_equals_sql(spark):
     assert compare(result, connect(sf_dir), host_quality.OP8_SQL) is None
 
 
+def test_pipeline_keeps_columns_of_any_name(spark):
+    """Columns named like what the stages work out, null ids, repeated rows and a very long text come through unchanged."""
+    source = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    names = ["n_words", "kept", "_words", "digest", "copy", "times", "size", "id", "label", "token", "count", "n", "row", "host"]
+    given = source.withColumns({c: F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")) for c in names})
+    long = given.limit(1).withColumns({"doc_id": F.lit(10**12), "text": F.concat_ws(
+        " ", F.transform(F.sequence(F.lit(1), F.lit(60_000)), lambda i: F.concat(F.lit("word"), (i % 997 * (i % 9973)).cast("string"))))})
+    unnamed = given.limit(2).withColumn("doc_id", F.lit(None).cast("long"))
+    given = Scratch(spark, "t").save(given.union(given.limit(3)).union(long).union(unnamed), "given")
+    table = given
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, table = table, Scratch(spark, "t").save(stage(spark, table, ""), name)
+        assert table.columns == given.columns and table.dtypes == given.dtypes
+        kept = [c for c in given.columns if c not in ("text", "n_chars")]  # a redacted text has another length
+        assert table.select(kept).distinct().exceptAll(before.select(kept).distinct()).count() == 0
+    assert table.filter(f"doc_id = {10**12}").count() <= 2
+    packed = corpus_pipeline.STAGES[-1][1](spark, table, "")
+    assert packed.columns == packing.COLUMNS and packed.count() > 0
+
+
 def test_pipeline(spark, docs, empty):
     scratch = Scratch(spark, "t")
     table, kept = spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), None
