@@ -1,7 +1,8 @@
 """The jobs from the command line, for ``spark-submit`` or ``python -m gaugelake``.
 
     refine      --raw DIR --refined DIR  [--registry FILE --station KEY] [--year Y]
-                [--parameters T,U,RH]  (saves the pass that looks for the parameter names)
+                [--index DIR]  (landing index: saves the passes that look for forms and parameter names)
+                [--parameters T,U,RH]
     clean       --refined DIR --silver DIR  [--registry FILE --station KEY] [--year Y] [--min-score S] [--gold DIR]
     incremental --raw DIR --silver DIR --checkpoint DIR  [--keep first|last] [--gold DIR]
     report      --silver DIR --year Y
@@ -14,7 +15,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from gaugelake.plans import jobs, summaries
-from gaugelake.sources import registry, tables
+from gaugelake.sources import landing, registry, tables
 from gaugelake.streaming.incremental import incremental_load
 
 
@@ -30,7 +31,7 @@ def _station_id(spark: SparkSession, args: argparse.Namespace) -> str | None:
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="gaugelake")
     parser.add_argument("job", choices=["refine", "clean", "incremental", "report"])
-    for name in ("raw", "refined", "silver", "checkpoint", "registry", "station", "quarantine", "gold"):
+    for name in ("raw", "refined", "silver", "checkpoint", "registry", "station", "quarantine", "gold", "index"):
         parser.add_argument(f"--{name}")
     parser.add_argument("--year", type=int)
     parser.add_argument("--parameters", type=lambda text: text.split(","))
@@ -52,7 +53,9 @@ def main(argv: list[str] | None = None) -> None:
     layout = {"year": tables.BY_YEAR, "station-year": tables.YEARLY, "station-month": tables.MONTHLY}[args.layout]
     if args.job == "refine":
         names = jobs.refine(spark, args.raw, args.refined, _station_id(spark, args), args.year,
-                            args.multiline, args.parameters, layout, args.quarantine)
+                            args.multiline, args.parameters, layout, args.quarantine, args.index)
+        if args.index:
+            print("{} of {} files ok".format(*landing.totals(landing.scan(spark, args.index)).first()))
         print("parameters:", ", ".join(names))
     elif args.job == "clean":
         gate = jobs.clean(spark, args.refined, args.silver, station_id=_station_id(spark, args),

@@ -249,6 +249,16 @@ FROM obs GROUP BY 1, 2""",
    AS radiation_index FROM silver""",
         "export_csv": f"""{_SILVER} SELECT timestamp, {", ".join(q.CSV_COLUMNS)} FROM silver
 WHERE station_id = '{q.STATION}'""",
+        "landing_index": f"""{_OBS}, held AS (SELECT {per_year}, timestamp,
+  location_id = '{q.STATION}' AND year(timestamp) = 1998 AS has_bad,
+  -- a file of which no line parses counts as pretty-printed
+  CASE WHEN location_id = '{q.OTHER_STATION}' OR location_id = '{q.STATION}' AND year(timestamp) = 1998
+   THEN 'pretty' ELSE 'lines' END AS form FROM obs)
+SELECT station_id, year, form, has_bad, CASE WHEN NOT has_bad THEN min(timestamp) END AS first_time,
+ CASE WHEN NOT has_bad THEN max(timestamp) END AS last_time,
+ CASE WHEN NOT has_bad THEN '{",".join(sorted(PARAMETERS))}' END AS names FROM held GROUP BY 1, 2, 3, 4""",
+        "refine_from_index": f"""{_OBS}, read AS (SELECT * FROM obs
+ WHERE year(timestamp) = 1998 AND location_id <> '{q.STATION}') {_partition_summary('read', 'location_id', 'T')}""",
         "isolate_bad_files": f"""{_OBS} SELECT {per_year}, ({bad}) AS quarantined,
  CASE WHEN {bad} THEN 0 ELSE count(*) END AS loaded_rows
 FROM obs GROUP BY location_id, year(timestamp)""",

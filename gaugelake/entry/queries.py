@@ -17,7 +17,7 @@ from gaugelake import derive
 from gaugelake.entry.workspace import Workspace, open_workspace
 from gaugelake.functions import fixed_point
 from gaugelake.operators import coverage, gaps, gold, manifest, planning, queries, silver
-from gaugelake.plans import summaries
+from gaugelake.plans import jobs, summaries
 from gaugelake.plans.jobs import SILVER_CODES
 from gaugelake.schema import (
     CATALOG_DOCUMENT,
@@ -28,7 +28,7 @@ from gaugelake.schema import (
     REGISTRY_DOCUMENT,
     SILVER,
 )
-from gaugelake.sources import files, manifests, raw, registry, snapshots, tables
+from gaugelake.sources import files, landing, manifests, raw, registry, snapshots, tables
 from gaugelake.streaming import incremental
 
 STATION = "0-20000-0-06204"
@@ -249,6 +249,41 @@ def isolate_bad_files(w: Workspace) -> DataFrame:
         "station_id", "year", "quarantined", F.coalesce("n_times", F.lit(0)).alias("loaded_rows"))
 
 
+def _mixed_drop(w: Workspace) -> str:
+    """Raw documents as others leave them: one station pretty-printed in files of its own, the rest a document per line, one year of a
+    station cut off."""
+    def write(path: str) -> None:
+        text = F.struct("_metadata", "data")
+        pretty = F.col("station_id") == OTHER_STATION
+        cut = (F.col("station_id") == STATION) & (F.col("year") == 1998)
+        whole = w.raw.select("station_id", "year", F.when(pretty, F.to_json(text, {"pretty": "true"})).otherwise(
+            F.to_json(text)).alias("value"), pretty.alias("_pretty"), cut.alias("_cut"))
+        shown = whole.select("station_id", "year", "_pretty", F.when(
+            F.col("_cut"), F.substr("value", F.lit(1), F.length("value") - 10)).otherwise(F.col("value")).alias("value"))
+        for each, most in ((True, 1), (False, 0)):
+            (shown.where(F.col("_pretty") == each).drop("_pretty").write.mode("append")
+             .option("maxRecordsPerFile", most).partitionBy("station_id", "year").text(path))
+    return w.written("mixed", write)
+
+
+@_register
+def landing_index(w: Workspace) -> DataFrame:
+    """What the index of a mixed drop says of each station and year."""
+    path = w.written("mixed_index", lambda p: landing.update(w.spark, _mixed_drop(w), p, "*.txt"))
+    names = F.array_sort(F.array_distinct(F.flatten(F.collect_list("names"))))
+    return landing.scan(w.spark, path).groupBy("station_id", "year", "form").agg(
+        (F.sum("bad_documents") > 0).alias("has_bad"), F.min("first_time").alias("first_time"),
+        F.max("last_time").alias("last_time"), F.when(F.size(names) > 0, names).alias("names"))
+
+
+@_register
+def refine_from_index(w: Workspace) -> DataFrame:
+    """One year of a mixed drop, refined with the index; what does not parse goes to the quarantine."""
+    path = w.written("mixed_refined", lambda p: jobs.refine(
+        w.spark, _mixed_drop(w), p, year=1998, index=f"{p}_index", quarantine=f"{p}_bad", glob="*.txt"))
+    return _partition_summary(tables.scan_refined(w.spark, path, derive.PARAMETERS), "T")
+
+
 # --- Silver ------------------------------------------------------------------
 
 @_register

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gaugelake.operators import coverage, queries, silver
 from gaugelake.schema import SILVER_MAPPING
 from gaugelake.session import configure
-from gaugelake.sources import raw, tables
+from gaugelake.sources import landing, raw, tables
 
 # order of the copies of an hour that came in several documents
 REFINED_ORDER = ["_ingestion_timestamp", "_source_file", "_coverage", "_pos"]
@@ -19,19 +19,25 @@ SILVER_CODES = [c for c in SILVER_MAPPING
 def refine(spark: SparkSession, raw_root: str, refined_path: str, station_id: str | None = None,
            year: int | None = None, multiline: bool | None = None,
            names: list[str] | None = None, layout: list[str] = tables.BY_YEAR,
-           quarantine: str | None = None) -> list[str]:
+           quarantine: str | None = None, index: str | None = None, glob: str = "*.json") -> list[str]:
     """Raw documents -> refined table; gives the parameter names that became columns.
 
-    Files of a document per line and pretty-printed ones are told apart by reading them once more,
-    unless ``multiline`` says which they are. Without ``names`` the vocabulary is read from the
+    With a landing index (``landing.update`` brings it up to date first, parsing new files only) every document is parsed once, and only
+    directories with a file of the year. Without one, files of a document per line and pretty-printed ones are told apart by reading them
+    once more, unless ``multiline`` says which they are, and without ``names`` the vocabulary is read from the
     documents first. Documents that do not parse are written to ``quarantine``; if it is not given
     they are an error, raised after the others are written.
     """
     configure(spark)
-    if multiline is None:
-        docs = raw.read_either_form(spark, raw_root, station_id)
+    if index is not None:
+        landing.update(spark, raw_root, index, glob)
+        files = landing.reaching(landing.scan(spark, index), station_id, year)
+        names = names or landing.parameter_names(files)
+        docs = landing.read(spark, raw_root, files, glob)
+    elif multiline is None:
+        docs = raw.read_either_form(spark, raw_root, station_id, glob)
     else:
-        docs = raw.read_raw_coverage(spark, raw_root, station_id, multiline=multiline, keep_corrupt=True)
+        docs = raw.read_raw_coverage(spark, raw_root, station_id, multiline=multiline, keep_corrupt=True, glob=glob)
     if year is not None:
         # a document lies under the year it starts in and may run on into later ones; a partition
         # is replaced as a whole, so every document that could reach this year is read
@@ -44,7 +50,7 @@ def refine(spark: SparkSession, raw_root: str, refined_path: str, station_id: st
         rows = rows.where(F.year("timestamp") == year)
     tables.write_refined(coverage.add_lineage(rows), refined_path, layout, station_id)
     if quarantine is None:
-        raw.refuse_losses(counts)
+        raw.refuse_losses(counts, docs)
     else:
         bad.write.mode("overwrite").json(quarantine)
     return names

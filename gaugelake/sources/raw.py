@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugelake.operators.coverage import payload
 from gaugelake.schema import CORRUPT_COLUMN, INGEST_METADATA, RAW_DOCUMENT
+from gaugelake.session import ensure_checkpoint_dir
 from gaugelake.sources.files import atomic_replace
 
 _DIRECTORIES = [
@@ -26,14 +25,12 @@ def canonical_id(station: Column) -> Column:
 
 def read_raw_coverage(spark: SparkSession, root: str, station_id: str | None = None,
                       year: int | None = None, multiline: bool = False,
-                      keep_corrupt: bool = False, glob: str = "*.json",
-                      paths: list[str] | None = None) -> DataFrame:
+                      keep_corrupt: bool = False, glob: str = "*.json") -> DataFrame:
     """Documents under ``root/station_id=/year=``, of one station and year if given.
 
     Both document forms are accepted, and both spellings of the directory. ``multiline`` is for
     files that hold one pretty-printed document each; a file of documents line by line is split
-    over tasks. ``keep_corrupt`` keeps what does not parse as text in ``_corrupt_record``. ``paths``
-    names the files under ``root`` to read, all of them if not given.
+    over tasks. ``keep_corrupt`` keeps what does not parse as text in ``_corrupt_record``.
     """
     fields = [*RAW_DOCUMENT.fields, *_DIRECTORIES]
     if keep_corrupt:
@@ -43,35 +40,54 @@ def read_raw_coverage(spark: SparkSession, root: str, station_id: str | None = N
         .option("multiLine", multiline).option("pathGlobFilter", glob)
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     )
-    docs = reader.json(root) if paths is None else reader.option("basePath", root).json(paths)
+    docs = reader.json(root)
+    # unlike input_file_name() the path as a column lets a join with a list of files prune directories
+    docs = docs.withColumn("_source_file", docs.metadataColumn("_metadata")["file_path"])
     if station_id is not None:
         docs = docs.where(F.col("station_id").isin(station_id, station_id.replace("-", "_")))
     if year is not None:
         docs = docs.where(F.col("year") == year)
-    return docs.withColumn("_source_file", F.input_file_name()).withColumn(
-        "station_id", canonical_id(F.col("station_id")))
+    return docs.withColumn("station_id", canonical_id(F.col("station_id")))
+
+
+FILE_KEY = ["station_id", "year", "_source_file"]
+SMALL_FILES = 100_000  # files of a table that is broadcast (some 20 MB)
+
+
+def of_files(docs: DataFrame, files: DataFrame, among: bool = True) -> DataFrame:
+    """The documents of some files, or of all others; ``files`` has the columns FILE_KEY.
+
+    The directories of a table of up to SMALL_FILES files prune the scan while it runs, so files elsewhere are not opened.
+    """
+    wanted = files.select(*[F.col(c).alias(f"_of_{c}") for c in FILE_KEY])
+    if files.limit(SMALL_FILES + 1).count() <= SMALL_FILES:
+        wanted = F.broadcast(wanted)
+    without = {"station_id": "", "year": -1, "_source_file": ""}  # null directories must meet, too
+    same = [F.coalesce(c, F.lit(none)) == F.coalesce(f"_of_{c}", F.lit(none)) for c, none in without.items()]
+    return docs.join(wanted, same, "left_semi" if among else "left_anti")
+
+
+def file_outcomes(docs: DataFrame) -> DataFrame:
+    """Documents that hold coverages, and lines that do not parse, of each file read with ``keep_corrupt``."""
+    filled = F.col(CORRUPT_COLUMN).isNull() & payload(docs)["coverages"].isNotNull()
+    return docs.groupBy(*FILE_KEY).agg(
+        F.count_if(filled).alias("filled"), F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("corrupt"))
 
 
 def reread_pretty_printed(docs: DataFrame, root: str, glob: str = "*.json") -> DataFrame:
     """``docs``, read line by line with ``keep_corrupt``, with pretty-printed files read as a whole.
 
-    A file counts as pretty-printed if lines of it do not parse and none holds a coverage. Its path
-    goes through the driver, whose list of files to read has it already.
+    A file counts as pretty-printed if lines of it do not parse and none holds a coverage. These files are a (checkpointed) table that is
+    joined, so no path passes the driver.
     """
-    filled = F.col(CORRUPT_COLUMN).isNull() & payload(docs)["coverages"].isNotNull()
-    files = docs.groupBy("_source_file").agg(
-        F.count_if(filled).alias("filled"),
-        F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("corrupt"),
-    ).where("filled = 0 and corrupt > 0").select("_source_file")
-    paths = [unquote(row[0]) for row in files.collect()]
-    if not paths:
-        return docs
     spark = docs.sparkSession
-    whole = read_raw_coverage(spark, root, multiline=True, keep_corrupt=True, glob=glob, paths=paths)
-    names = spark.createDataFrame([(path,) for path in paths], "path string")
-    lines = docs.withColumn("_path", F.url_decode(F.replace("_source_file", F.lit("+"), F.lit("%2B"))))
-    lines = lines.join(names, F.col("_path") == F.col("path"), "left_anti").drop("_path")
-    return lines.unionByName(whole)
+    ensure_checkpoint_dir(spark)
+    files = file_outcomes(docs).where("filled = 0 and corrupt > 0").select(*FILE_KEY, "corrupt").checkpoint()
+    if files.isEmpty():
+        return docs
+    pretty = files.where("corrupt > 0")  # again, as Spark prunes directories by tables that are filtered
+    whole = read_raw_coverage(spark, root, multiline=True, keep_corrupt=True, glob=glob)
+    return of_files(docs, pretty, among=False).unionByName(of_files(whole, pretty))
 
 
 def read_either_form(spark: SparkSession, root: str, station_id: str | None = None,
@@ -123,7 +139,7 @@ def land_raw(enveloped: DataFrame, root: str, replace: bool = True) -> None:
         placed.write.mode("append").partitionBy(*RAW_PARTITIONS).json(root)
 
 
-def _bad(docs: DataFrame) -> Column:
+def is_bad(docs: DataFrame) -> Column:
     """Whether the JSON or one of the times of a document does not parse."""
     bad_time = F.exists(payload(docs)["coverages"], lambda c: F.exists(
         c["domain"]["axes"]["t"]["values"],
@@ -131,16 +147,22 @@ def _bad(docs: DataFrame) -> Column:
     return F.col(CORRUPT_COLUMN).isNotNull() | F.coalesce(bad_time, F.lit(False))
 
 
+def _losses(docs: DataFrame) -> list[Column]:
+    bad = is_bad(docs)
+    return [F.count_if(bad).alias("bad"), F.count("*").alias("all"), F.min(F.when(bad, F.col("_source_file"))).alias("file")]
+
+
 def counted(docs: DataFrame) -> tuple[DataFrame, Observation]:
     """The documents, counted on their way through the next job that reads them."""
     counts = Observation("documents")
-    return docs.observe(counts, F.count_if(_bad(docs)).alias("bad"), F.count("*").alias("all"),
-                        F.min(F.when(_bad(docs), F.col("_source_file"))).alias("file")), counts
+    return docs.observe(counts, *_losses(docs)), counts
 
 
-def refuse_losses(counts: Observation) -> None:
-    """An error if a document was bad, to be called after the job."""
-    found = counts.get
+def refuse_losses(counts: Observation, docs: DataFrame) -> None:
+    """An error if a document was bad, to be called after the job that read ``docs``."""
+    # nothing is observed where Spark found a stage of the job to be empty and left out what follows
+    observed = counts._jo.getRow().length() > 0
+    found = counts.get if observed else docs.agg(*_losses(docs)).first().asDict()
     if found["bad"]:
         raise ValueError(f"{found['bad']} of {found['all']} documents do not parse, such as one in"
                          f" {found['file']}; the others are written. Name a quarantine folder to go on without them")
@@ -153,7 +175,7 @@ def isolate_bad_files(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
     coverages counts as empty.
     """
     members = payload(docs)["coverages"]
-    bad = _bad(docs)
+    bad = is_bad(docs)
     filled = members.isNotNull()
     ok, empty = F.count_if(~bad & filled), F.count_if(~bad & ~filled)
     outcome = docs.groupBy("station_id", "year", "_source_file").agg(

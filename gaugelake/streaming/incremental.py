@@ -33,7 +33,9 @@ def stream_raw(spark: SparkSession, root: str, multiline: bool = False,
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(root).withColumn("_source_file", F.input_file_name())
+    docs = reader.json(root)
+    return docs.withColumn("_source_file", docs.metadataColumn("_metadata")["file_path"]).withColumn(
+        "station_id", raw.canonical_id(F.col("station_id")))
 
 
 def refined_rows(docs: DataFrame) -> DataFrame:
@@ -128,7 +130,7 @@ def incremental_load(spark: SparkSession, raw_root: str, silver_path: str, check
         if gold_path is not None:
             summaries.refresh(spark, silver_path, gold_path, days, layout)
         if quarantine is None:
-            raw.refuse_losses(counts)
+            raw.refuse_losses(counts, docs)
 
     query = (
         stream_raw(spark, raw_root, bool(multiline), max_files)

@@ -1,5 +1,6 @@
 import json
 import random
+from datetime import datetime
 
 import pytest
 from documents import A, B, collection, coverage, enveloped, hours, land
@@ -170,8 +171,8 @@ def test_read_pretty_files_of_both_layouts(spark, tmp_path):
     one = raw.read_raw_coverage(spark, root, station_id=A, multiline=True)
     assert {(r["station_id"], r["year"]) for r in one.collect()} == {(A, 2024), (A, 2023)}
     assert raw.read_raw_coverage(spark, root, A, 2023, multiline=True).count() == 1
-    names = jobs.refine(spark, root, str(tmp_path / "refined"), multiline=True)
-    table = tables.scan_refined(spark, str(tmp_path / "refined"), names)
+    names = jobs.refine(spark, root, str(tmp_path / "refined"), multiline=True, layout=tables.MONTHLY)
+    table = tables.scan_refined(spark, str(tmp_path / "refined"), names, layout=tables.MONTHLY)
     got = {(r["station_id"], r["year"], r["month"], r["T"], r["_source_api"]) for r in table.collect()}
     assert got == {(A, 2024, 1, 1.0, None), (A, 2024, 1, 2.0, None), (A, 2023, 1, 3.0, "api"),
                    (B, 2024, 1, 4.0, None)}
@@ -229,3 +230,55 @@ def test_bad_files_are_isolated(spark, tmp_path):
     assert got == {"good.json": (1, 0, 0), "bad.json": (0, 1, 0), "mixed.json": (1, 1, 0),
                    "empty.json": (0, 0, 1), "time.json": (0, 1, 0)}
     assert raw.file_totals(outcome).first().asDict() == {"ok_files": 1, "files": 5}
+
+
+# --- landing index ----------------------------------------------------------------
+
+def test_landing_index(spark, tmp_path):
+    from gaugelake.sources import landing
+    root, index = tmp_path / "raw + more", str(tmp_path / "index")
+
+    def document(station, day, **values):
+        return enveloped(collection(coverage(station, hours(day, 0, 3), {k: list(v) for k, v in values.items()})), station)
+
+    land(root, A, 2023, "over.json", enveloped(collection(coverage(
+        A, ["2023-12-31T23:00:00Z", "2024-01-01T00:00:00Z"], {"T": [1, 2]})), A))
+    land(root, A.replace("-", "_"), 2024, "pretty.json", document(A, "2024-05-01", T=(3, 4, 5), U=(1, 1, 1)))
+    land(root, B, 2024, "lines.json", "\n".join(json.dumps(document(B, f"2024-06-0{d}", T=(6, 7, 8), RH=(0, 0, 0))) for d in (1, 2)))
+    land(root, B, 2025, "later.json", document(B, "2025-06-01", FF=(1, 2, 3)), indent=None)
+    land(root, B, 2025, "blank.json", "\n\n")
+    land(root, B, 2025, "empty.json", "")  # not listed
+    assert landing.update(spark, str(root), index) == 5
+    got = {r["_source_file"].rsplit("/", 1)[1]: r for r in landing.scan(spark, index).collect()}
+    assert {k: (r["form"], r["documents"], r["bad_documents"], r["names"]) for k, r in got.items()} == {
+        "over.json": ("pretty", 1, 0, ["T"]), "pretty.json": ("pretty", 1, 0, ["T", "U"]),
+        "lines.json": ("lines", 2, 0, ["RH", "T"]), "later.json": ("lines", 1, 0, ["FF"]), "blank.json": ("lines", 0, 0, None)}
+    assert got["pretty.json"]["station_id"] == A and got["lines.json"]["last_time"] == datetime(2024, 6, 2, 2)
+    assert landing.update(spark, str(root), index) == 0
+    totals = landing.totals(landing.scan(spark, index)).first()
+    assert (totals["ok_files"], totals["files"]) == (4, 5)
+
+    # a year on its own: a file of the year before that runs on into it is read, later ones are not opened
+    names = jobs.refine(spark, str(root), str(tmp_path / "refined"), year=2024, index=index)
+    assert names == ["RH", "T", "U"]
+    rows = tables.scan_refined(spark, str(tmp_path / "refined"), names)
+    assert rows.count() == 10 and rows.agg(F.sum("T")).first()[0] == 2 + 12 + 42
+    plan = landing.read(spark, str(root), landing.reaching(landing.scan(spark, index), year=2024))
+    assert "dynamicpruning" in plan._jdf.queryExecution().executedPlan().toString()
+
+    # a changed file is taken in again, a broken one is counted
+    land(root, B, 2024, "lines.json", json.dumps(document(B, "2024-06-01", T=(6, 7, 8), RH=(0, 0, 0))) + "\n" + '{"coverages": [')
+    assert landing.update(spark, str(root), index) == 1
+    changed = landing.scan(spark, index).where("_source_file LIKE '%lines.json'").collect()
+    assert [(r["documents"], r["bad_documents"]) for r in changed] == [(2, 1)]
+    with pytest.raises(ValueError, match="1 of 5 documents.*lines.json"):
+        jobs.refine(spark, str(root), str(tmp_path / "refined"), index=index)
+    jobs.refine(spark, str(root), str(tmp_path / "refined"), index=index, quarantine=str(tmp_path / "bad"))
+    assert spark.read.json(str(tmp_path / "bad")).count() == 1
+
+
+def test_landing_index_of_an_empty_folder(spark, tmp_path):
+    from gaugelake.sources import landing
+    (tmp_path / "raw" / f"station_id={A}" / "year=2024").mkdir(parents=True)
+    assert landing.update(spark, str(tmp_path / "raw"), str(tmp_path / "index")) == 0
+    assert landing.scan(spark, str(tmp_path / "index")).count() == 0
