@@ -50,6 +50,7 @@ from gaugelake.session import ensure_checkpoint_dir
 
 PARITY_WORDS = 4  # 64 bits each
 LONG_LIST = 8
+SET_BYTES = 2_000_000  # of text whose sets are made at once in a task
 FEW = 16
 
 SIGNATURE = [f"s{i}" for i in range(PARITY_WORDS)]
@@ -114,7 +115,7 @@ def _reaches(docs: DataFrame, words: int, percent: int, reach: int) -> DataFrame
     """doc_id, set size, digest of the set, parity bits and the n-grams of the reach, in the order of their hashes."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in text_batches(whole, "text"):
+            for batch in text_batches(whole, "text", SET_BYTES):
                 texts, index = distinct_texts_first(batch.column("text").to_pylist())
                 made = shingle_sets(texts, words)
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in made]
@@ -136,7 +137,7 @@ def _reaches(docs: DataFrame, words: int, percent: int, reach: int) -> DataFrame
 def _whole_sets(docs: DataFrame, words: int) -> DataFrame:
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in text_batches(whole, "text"):
+            for batch in text_batches(whole, "text", SET_BYTES):
                 made = shingle_sets(batch.column("text").to_pylist(), words)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id"), pa.array([len(s) for s in made], pa.int32()),
@@ -201,28 +202,27 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("a", "b"))
 
 
-def _pairs(labelled: DataFrame, percent: int, also=None) -> DataFrame:
-    """Pairs (a, b) of postings of one n-gram whose labels differ and that pass the filters, and ``also``."""
-    left = labelled.select("token", *[F.col(c).alias(f"l_{c}") for c in labelled.columns if c != "token"])
-    joined = labelled.join(left, "token").filter(
-        (F.col("l_id") < F.col("id")) & (F.col("l_label") != F.col("label")) & _passes(F.col, lambda c: F.col(f"l_{c}"), percent))
-    if also is not None:
-        joined = joined.filter(also)
-    return joined.select(F.col("l_id").alias("a"), F.col("id").alias("b"))
+def _pairs(labelled: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of postings of one n-gram whose labels differ and that pass the filters.
 
-
-def _pairs_met_once(labelled: DataFrame, percent: int) -> DataFrame:
-    """As ``_pairs``, at the first n-gram that both documents have among their FEW of the shortest lists.
-
-    A linked pair passes the filter on places at each n-gram, and the one on what is left at the rarest n-gram of both; what is left is not
-    asked here, as a pair may count at another one.
+    In long lists a pair counts at the first n-gram that both documents have among their FEW of the shortest long lists. A linked pair passes
+    the filter on places at each n-gram, and the one on what is left at the rarest n-gram of both; what is left is not asked
+    in long lists, as a pair may count at another n-gram there.
     """
+    long = F.col("many") >= LONG_LIST
     order = Window.partitionBy("id").orderBy("many", "token")
-    few = (labelled.select("id", "many", "token").withColumn("at", F.row_number().over(order)).filter(F.col("at") <= FEW)
-           .groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]).alias("few")))
+    few = (labelled.filter(long).select("id", "many", "token").withColumn("at", F.row_number().over(order))
+           .filter(F.col("at") <= FEW).groupBy("id")
+           .agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]).alias("few")))
+    rows = labelled.join(few, "id", "left").withColumns(
+        {"left": F.when(long, F.col("k")).otherwise(F.col("left")), "few": F.when(long, F.col("few"))})
+    other = rows.select("token", *[F.col(c).alias(f"l_{c}") for c in rows.columns if c not in ("token", "many")])
     common = F.array_intersect("l_few", "few")
-    return _pairs(labelled.drop("many").withColumn("left", F.col("k")).join(few, "id"), percent,
-                  (F.size(common) == 0) | (F.get(common, F.lit(0)) == F.col("token")))
+    once = ~long | (F.size(common) == 0) | (F.get(common, F.lit(0)) == F.col("token"))
+    return (rows.join(other, "token")
+            .filter((F.col("l_id") < F.col("id")) & (F.col("l_label") != F.col("label")))
+            .filter(_passes(F.col, lambda c: F.col(f"l_{c}"), percent)).filter(once)
+            .select(F.col("l_id").alias("a"), F.col("id").alias("b")))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -285,9 +285,7 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, reach: int = 100)
     linked = first.union(classed.select(F.col("doc_id").alias("a"), F.col("id").alias("b")))
     labels = scratch.save(components(linked).select(F.col("node").alias("id"), F.col("component").alias("label")), "labels")
     labelled = listed.drop("hub").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    rest = _pairs(labelled.filter(F.col("many") < LONG_LIST).drop("many"), percent)
-    rest = rest.union(_pairs_met_once(labelled.filter(F.col("many") >= LONG_LIST), percent))
-    rest = scratch.save(rest.distinct(), "rest")
+    rest = scratch.save(_pairs(labelled, percent).distinct(), "rest")
     rest = scratch.save(_near_enough(rest.join(near, ["a", "b"], "left_anti"), sets, percent), "unlike")
     second = scratch.save(_verified(rest, sets, percent), "second")
 

@@ -127,13 +127,13 @@ def distinct_texts_first(texts: list) -> tuple[list, list[int]]:
     return list(places), index
 
 
-def text_batches(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts have about BATCH_BYTES together; a longer text is alone."""
+def text_batches(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have about ``most`` bytes together; a longer text is alone."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     lo, total = 0, 0
     for i, size in enumerate(sizes.tolist()):
         total += size
-        if total >= BATCH_BYTES:
+        if total >= most:
             yield batch.slice(lo, i + 1 - lo)
             lo, total = i + 1, 0
     if lo < batch.num_rows:
