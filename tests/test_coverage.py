@@ -6,6 +6,7 @@ import pytest
 from documents import A, B, collection, coverage, enveloped, hours, land
 from pyspark.sql import functions as F
 
+from gaugelake import derive
 from gaugelake.operators import coverage as ops
 from gaugelake.plans import jobs
 from gaugelake.schema import RAW_DOCUMENT
@@ -282,3 +283,20 @@ def test_landing_index_of_an_empty_folder(spark, tmp_path):
     (tmp_path / "raw" / f"station_id={A}" / "year=2024").mkdir(parents=True)
     assert landing.update(spark, str(tmp_path / "raw"), str(tmp_path / "index")) == 0
     assert landing.scan(spark, str(tmp_path / "index")).count() == 0
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_documents_are_packed_in_one_shuffle_of_plain_rows(spark):
+    rows = spark.range(0, 20_000, 1, 3).selectExpr(
+        "concat('s', id % 5) AS location_id", "timestamp_seconds(id * 90000) AS timestamp", "1.5D AS longitude",
+        "2.5D AS latitude", *[f"CASE WHEN id % 7 > 0 THEN double(id + {i}) END AS {p}" for i, p in enumerate(derive.PARAMETERS)])
+    packed = derive.responses(rows)
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert _exchanges(packed) == 1
+    assert plan.rindex("Aggregate") < plan.index("Exchange ")  # nothing is gathered by the tasks that read the input
+    back = ops.flatten_wide(packed, derive.PARAMETERS).select(*rows.columns)
+    assert back.exceptAll(rows).count() == 0 and rows.exceptAll(back).count() == 0
+    assert packed.select(F.explode("data.coverages").alias("c")).where("size(c.domain.axes.t.values) > 8192").count() == 0
