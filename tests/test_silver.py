@@ -110,6 +110,20 @@ def test_hot_hour_is_cut_down_before_the_shuffle(spark):
     assert result.where("k = 0").first()["seq"] == 0
 
 
+def test_a_crowded_hour_is_thinned_where_copies_are_gathered_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(silver, "_CROWD", 1000)
+    df = spark.range(0, 20_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.call_function("div", F.col("id"), F.lit(2))).alias("k"),
+        F.lit("s").alias("station_id"), (-F.col("id")).alias("seq"))
+    df = df.withColumn("timestamp", F.timestamp_seconds(F.col("k") * 3600))
+    thin = silver.thin_crowds(df, ["seq"])
+    assert thin.where("k = 0").count() == 1
+    got, wanted = silver.dedup_first(thin, ["seq"]), silver.dedup_first(df, ["seq"])
+    assert got.exceptAll(wanted).count() == 0 and wanted.exceptAll(got).count() == 0
+    monkeypatch.setattr(silver, "_CROWD", 10_000)
+    assert silver.thin_crowds(df, ["seq"]) is df
+
+
 def test_enforce_types(spark):
     df = spark.createDataFrame([("7", "x", 1, float("nan"))],
                                "weather_code string, visibility_m string, humidity_percent int, dewpoint_celsius double")

@@ -202,3 +202,23 @@ def test_repeating_a_batch_adds_nothing(spark, tmp_path):
     incremental.insert_new(batch.limit(0), path)
     incremental.insert_new(untimed, path)
     assert tables.scan_silver(spark, path).count() == 25
+
+
+@pytest.mark.parametrize("layout", [tables.BY_YEAR, tables.YEARLY, tables.MONTHLY])
+def test_rows_are_deduplicated_in_the_shuffle_that_places_them(spark, tmp_path, layout):
+    start = datetime(2023, 12, 31, 20)
+    raw = refined(spark, [{"location_id": s, "timestamp": None if i == 7 else start + timedelta(hours=i % 6), "T": float(i)}
+                          for s in (A, None) for i in range(10)])
+    placed = tables.silver_to_write(raw, ["seq"], layout)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan[plan.index("Exchange"):]
+    path = str(tmp_path / "silver")
+    tables.write_silver(placed, path, layout, placed=True)
+    columns = ["station_id", "timestamp", "temperature_celsius", "quality_score", "quality_flags"]
+    got, wanted = tables.scan_silver(spark, path, layout).select(columns), silver.to_silver(raw, ["seq"]).select(columns)
+    assert got.count() == 14
+    assert got.exceptAll(wanted).count() == 0 and wanted.exceptAll(got).count() == 0
+    routed = str(tmp_path / "routed")
+    tables.write_routed(placed, F.col("temperature_celsius") < 3, routed, layout, placed=True)
+    both = [tables.scan_silver(spark, routed, layout), tables.scan_quarantine(spark, routed, layout)]
+    assert [t.count() for t in both] == [6, 8]
