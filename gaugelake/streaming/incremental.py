@@ -72,8 +72,7 @@ def upsert(batch: DataFrame, path: str, layout: list[str] = tables.BY_YEAR, keep
         table.add(commit, base)
         return days
     parts = list(dict.fromkeys(["station_id", *layout]))
-    touched, at_touched = _same_key(new.select(*parts).distinct(), parts)
-    old = _directories_of(new, table.read(schema), layout).join(touched, at_touched, "left_semi")
+    old = _of_touched(_directories_of(new, table.read(schema), layout), new, parts)
     if keep == "first":
         hours, at_hours = _same_key(old, silver.KEY)
         table.append(tables.clustered(new.join(hours, at_hours, "left_anti"), layout), base)
@@ -88,6 +87,17 @@ def upsert(batch: DataFrame, path: str, layout: list[str] = tables.BY_YEAR, keep
     return days
 
 
+def _of_touched(old: DataFrame, new: DataFrame, parts: list[str]) -> DataFrame:
+    """The rows of ``old`` in the directories and stations of ``new``.
+
+    These are counted first: where they are few, the rest of the table is passed over as it is read, and only what is to be merged is shuffled.
+    """
+    found = new.select(*parts).distinct()
+    few = found.limit(raw.SMALL_FILES + 1).count() <= raw.SMALL_FILES
+    touched, at_touched = _same_key(found, parts)
+    return old.join(F.broadcast(touched) if few else touched, at_touched, "left_semi")
+
+
 def _directories_of(new: DataFrame, old: DataFrame, layout: list[str]) -> DataFrame:
     """The rows of ``old`` in the years of ``new``, as plain values that prune the scan."""
     years = [row[0] for row in new.select("year").distinct().collect()] if "year" in layout else []

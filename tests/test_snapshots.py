@@ -321,3 +321,25 @@ def test_nan_is_no_value(spark):
     assert queries.temperature_distribution(table).first()["median_temp"] in (1.0, 2.0)
     text = spark.createDataFrame([("NaN",), ("1.5",), ("x",)], "T string")
     assert [r[0] for r in silver.map_silver_schema(text).select("temperature_celsius").collect()] == [None, 1.5, None]
+
+
+def test_thousands_of_hidden_values_go_to_spark_as_one_text(spark, monkeypatch):
+    calls, lit = [], F.lit
+    values = (*[f"s{i}" for i in range(3000)], "it's", "back\\slash", "", "s{1}", None)
+    monkeypatch.setattr(snapshots.F, "lit", lambda v: calls.append(v) or lit(v))
+    outside = snapshots._outside("k", T.StringType(), values)
+    monkeypatch.undo()
+    assert len(calls) < 10
+    table = spark.createDataFrame([(v,) for v in ["s7", "s3000", "it's", "its", "back\\slash", "backslash", "", " ", "s{1}", None]], "k string")
+    assert {r["k"] for r in table.where(outside).collect()} == {"s3000", "its", "backslash", " "}
+    days = spark.createDataFrame([("2024-01-01",), ("2024-01-02",), (None,)], "d string").selectExpr("CAST(d AS date) AS d")
+    kept = days.where(snapshots._outside("d", T.DateType(), ("2024-01-02",))).selectExpr("CAST(d AS string) AS d")
+    assert {r["d"] for r in kept.collect()} == {"2024-01-01", None}
+
+
+def test_only_what_an_upsert_merges_is_shuffled(spark):
+    old = spark.createDataFrame([(A, 2023, 1), (A, 2024, 2), (B, 2023, 3), (None, None, 4)], "station_id string, year int, v int")
+    new = old.where("v in (1, 4)")
+    touched = incremental._of_touched(old, new, ["station_id", "year"])
+    assert "BroadcastHashJoin" in touched._jdf.queryExecution().executedPlan().toString()
+    assert {r["v"] for r in touched.collect()} == {1, 4}
