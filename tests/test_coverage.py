@@ -213,6 +213,32 @@ def test_land_replaces_a_station_year_and_reads_back(spark, tmp_path):
     assert (meta["ingestion_method"], meta["station_id"]) == ("single_station", A)
 
 
+def test_documents_are_not_shuffled_to_name_their_stations(spark, monkeypatch):
+    made = [collection(coverage(station, hours("2024-01-01", 0, 1), {"T": [1]})) for station in (A, B, A)]
+    docs = ops.split_coverages(parse(spark, *made))
+    # a registry with names that repeat, are missing or belong to no document
+    stations = spark.createDataFrame([(A, "a"), (A, "a again"), ("C", "c"), (None, "none")], "id string, name string")
+    observed = spark.createDataFrame([(A,), (A,), (B,), (None,)], "station_id string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def named(observed):
+            out = raw.with_metadata(docs, stations, "2025-01-01T00:00:00Z", "api", "c", 1, observed)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            return sorted((r["station_id"], r["_metadata"]["station_name"]) for r in out.collect()
+                          if r["station_id"] == A) + [r["_metadata"]["station_name"] for r in out.collect()
+                                                      if r["station_id"] == B], plan
+        whole, shuffled = named(None)
+        cut, plan = named(observed)
+        assert cut == whole == [(A, "a"), (A, "a"), (A, "a again"), (A, "a again"), None]
+        assert "Exchange hashpartitioning(station_id" in shuffled and "Exchange hashpartitioning(station_id" not in plan
+        # more names than are broadcast are joined as before
+        monkeypatch.setattr(raw, "SMALL_REGISTRY", 1)
+        many, plan = named(observed)
+        assert many == whole and "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_bad_files_are_isolated(spark, tmp_path):
     root = str(tmp_path / "raw")
     good = json.dumps(collection(coverage(A, hours("2024-01-01", 0, 1), {"T": [1]})))
