@@ -273,6 +273,22 @@ def test_stored_summaries(spark, tmp_path):
     check()
 
 
+def test_hours_are_shuffled_once_at_most_for_the_summaries(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    rows = hourly(spark, datetime(2023, 12, 31), 48, A, T=35.0, RH=30.0, U=50.0, FF=20.0).unionByName(
+        hourly(spark, datetime(2023, 12, 31), 48, B, T=-2.5, RH=-1.0))
+    tables.write_silver(rows, path)
+    table = tables.scan_silver(spark, path)
+    made = {}
+    for name, kind in summaries.KINDS.items():
+        whole = summaries._whole(name, table, tables.BY_YEAR)
+        made[name] = whole._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(repr, whole.collect())) == sorted(map(repr, kind.rows(table).collect()))
+    # as they are read; and before an hour becomes several events
+    assert "Exchange" not in made["hourly"]
+    assert made["events"].index("Generate explode") < made["events"].index("Exchange rangepartitioning")
+
+
 def test_many_refreshes_keep_few_layers(spark, tmp_path, monkeypatch):
     silver_path, gold_path = str(tmp_path / "silver"), str(tmp_path / "gold")
     monkeypatch.setattr(summaries, "MOST_LAYERS", 3)
