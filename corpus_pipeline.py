@@ -36,7 +36,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all sequences."""
     ship_package(spark)
-    return packing.pack_documents(docs, public_path(packing.TOKENIZER))
+    return packing.pack_documents(docs, public_path(packing.TOKENIZER), forget=True)
 
 
 STAGES = [

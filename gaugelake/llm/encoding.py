@@ -54,6 +54,9 @@ class _Pieces:
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        self.signs, self.recent, self.older = {}, {}, {}
+
     def find(self, pieces: list[str]) -> list[bytes]:
         if len(self.recent) > MOST:
             self.older, self.recent = self.recent, {}
@@ -136,6 +139,9 @@ class WordEncoder:
     def __init__(self, tokenizer):
         self.pieces = _Pieces(tokenizer, space=False, lower=True)
 
+    def forget(self) -> None:
+        self.pieces.forget()
+
     def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; null has none."""
         if not len(texts):
@@ -159,6 +165,10 @@ class ByteEncoder:
         self.rest = _Pieces(tokenizer, space=True, lower=False)
         self.line_feed = np.array(tokenizer.encode("\n", add_special_tokens=False).ids, np.uint32).tobytes()
 
+    def forget(self) -> None:
+        self.first.forget()
+        self.rest.forget()
+
     def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; null has none."""
         texts = pc.fill_null(texts, "")

@@ -52,6 +52,8 @@ PARITY_WORDS = 4  # 64 bits each
 LONG_LIST = 8
 SET_BYTES = 2_000_000  # of text whose sets are made at once in a task
 FEW = 16
+WIDE_FROM = 400  # n-grams: the 64 * PARITY_WORDS bits of larger sets differ too little to rule pairs out
+WIDE_MOST = 2048  # bits
 
 SIGNATURE = [f"s{i}" for i in range(PARITY_WORDS)]
 
@@ -106,6 +108,17 @@ def parity_difference(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def wide_parity(bits: bytes, n: int) -> np.ndarray:
+    """Half of the bits in proportion, WIDE_MOST at most, for sets of WIDE_FROM n-grams or more; empty for others."""
+    if n < WIDE_FROM:
+        return np.empty(0, np.int64)
+    x = np.frombuffer(bits, np.uint64)
+    words = min(len(x) // 2, WIDE_MOST // 64)
+    while len(x) > words:
+        x = x[: len(x) // 2] ^ x[len(x) // 2:]
+    return x.view(np.int64)
+
+
 def most_different(n_a: int, n_b: int, percent: int) -> int:
     """The n-grams that two linked sets can have alone, both together."""
     return n_a + n_b - 2 * -(-(n_a + n_b) * percent // (100 + percent))
@@ -139,12 +152,13 @@ def _whole_sets(docs: DataFrame, words: int) -> DataFrame:
         for whole in batches:
             for batch in text_batches(whole, "text", SET_BYTES):
                 made = shingle_sets(batch.column("text").to_pylist(), words)
+                bits = [parity_in_proportion(s) for s in made]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), pa.array([len(s) for s in made], pa.int32()),
-                     pa.array([parity_in_proportion(s) for s in made], pa.binary()), _lists(made)],
-                    ["id", "n", "bits", "tokens"])
+                    [batch.column("id"), pa.array([len(s) for s in made], pa.int32()), pa.array(bits, pa.binary()), _lists(made),
+                     _lists([wide_parity(b, len(s)) for b, s in zip(bits, made, strict=True)])],
+                    ["id", "n", "bits", "tokens", "wide"])
 
-    return docs.select("id", "text").mapInArrow(sets, "id long, n int, bits binary, tokens array<long>")
+    return docs.select("id", "text").mapInArrow(sets, "id long, n int, bits binary, tokens array<long>, wide array<long>")
 
 
 def _postings(heads: DataFrame, reps: DataFrame, percent: int, reach: int) -> DataFrame:
@@ -165,9 +179,26 @@ def _postings(heads: DataFrame, reps: DataFrame, percent: int, reach: int) -> Da
                     own.alias("k"), *SIGNATURE))
 
 
+def _needed(a, b, percent: int) -> F.Column:
+    return F.ceil((a("n") + b("n")) * percent / (100.0 + percent) - 1e-9)
+
+
+def _wide_passes(a, b, percent: int) -> F.Column:
+    """The suffix filter with the bits of long sets, on as many as the shorter one has; a set without them passes."""
+    x, y = a("wide"), b("wide")
+    words, most = F.least(F.size(x), F.size(y)), F.greatest(F.size(x), F.size(y))
+
+    def folded(bits: F.Column) -> F.Column:
+        halves = F.zip_with(F.slice(bits, F.lit(1), words), F.slice(bits, words + 1, words), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(bits) > words, halves).otherwise(bits)
+
+    differ = F.aggregate(F.zip_with(folded(x), folded(y), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, c: s + c)
+    return (most > 2 * words) | (differ <= a("n") + b("n") - 2 * _needed(a, b, percent))
+
+
 def _passes(a, b, percent: int) -> F.Column:
     """Length, positional and suffix filters of two postings of one n-gram."""
-    needed = F.ceil((a("n") + b("n")) * percent / (100.0 + percent) - 1e-9)
+    needed = _needed(a, b, percent)
     smaller, larger = F.least(a("n"), b("n")), F.greatest(a("n"), b("n"))
     room = F.least(a("place"), b("place")) + F.least(a("n") - a("place"), b("n") - b("place"))
     differ = sum((F.bit_count(a(s).bitwiseXOR(b(s))) for s in SIGNATURE), F.lit(0))
@@ -222,6 +253,7 @@ def _pairs(labelled: DataFrame, percent: int) -> DataFrame:
     return (rows.join(other, "token")
             .filter((F.col("l_id") < F.col("id")) & (F.col("l_label") != F.col("label")))
             .filter(_passes(F.col, lambda c: F.col(f"l_{c}"), percent)).filter(once)
+            .filter(_wide_passes(F.col, lambda c: F.col(f"l_{c}"), percent))
             .select(F.col("l_id").alias("a"), F.col("id").alias("b")))
 
 
@@ -284,7 +316,10 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, reach: int = 100)
 
     linked = first.union(classed.select(F.col("doc_id").alias("a"), F.col("id").alias("b")))
     labels = scratch.save(components(linked).select(F.col("node").alias("id"), F.col("component").alias("label")), "labels")
-    labelled = listed.drop("hub").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    # several texts under one id have bits of their own, told apart by their sizes
+    wide = sets.filter("size(wide) > 0").select("id", "n", "wide").distinct()
+    labelled = listed.drop("hub").join(labels, "id", "left").join(wide, ["id", "n"], "left").withColumns({
+        "label": F.coalesce("label", "id"), "wide": F.coalesce("wide", F.array().cast("array<long>"))})
     rest = scratch.save(_pairs(labelled, percent).distinct(), "rest")
     rest = scratch.save(_near_enough(rest.join(near, ["a", "b"], "left_anti"), sets, percent), "unlike")
     second = scratch.save(_verified(rest, sets, percent), "second")

@@ -180,8 +180,11 @@ def _batch(pieces: list[Piece]) -> pa.RecordBatch:
 
 
 def pack_documents(docs: DataFrame, path: str, kind: str = "byte", end_id: int = END_ID,
-                   limits: Limits = Limits()) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+                   limits: Limits = Limits(), forget: bool = False) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    With ``forget`` a worker keeps no words once its task is done, for jobs whose other stages need the memory.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, kind)
         packer = Packer(limits, TaskContext.get().partitionId() * SEQUENCES_PER_TASK)
@@ -197,6 +200,8 @@ def pack_documents(docs: DataFrame, path: str, kind: str = "byte", end_id: int =
         done += packer.finish()
         if done:
             yield _batch(done)
+        if forget:
+            own.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
 

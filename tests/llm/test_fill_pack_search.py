@@ -253,3 +253,15 @@ def test_search_equals_sql(spark):
     con = connect(SF_DIR)
     con.execute(f"CREATE VIEW benchmark AS SELECT * FROM '{SF_DIR}/benchmark.parquet'")
     assert compare(max_sketches.op13_max_sketch_search(spark, SF_DIR), con, max_sketches.OP13_SQL) is None
+
+
+@pytest.mark.parametrize("kind, name", [("byte", "byte_bpe_50k.json"), ("word", "word_bpe_49k.json")])
+def test_forgotten_words_are_found_again(kind, name):
+    own = encoding.encoder(encoding.public_path(name), kind)
+    texts = ["one river stone,\nover the winter", "a  letter"]
+    first = [own.encode(t).tolist() for t in texts]
+    pieces = [own.pieces] if kind == "word" else [own.first, own.rest]
+    assert any(p.recent for p in pieces)
+    own.forget()
+    assert not any(p.recent or p.older or p.signs for p in pieces)
+    assert [own.encode(t).tolist() for t in texts] == first

@@ -83,6 +83,43 @@ def test_proportional_parity_never_exceeds_the_difference():
     assert ngram_join.parity_difference(*bits) > ngram_join.most_different(3000, 3000, 80)
 
 
+def test_bits_of_long_sets_lose_no_pair_and_tell_others_apart(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for n in (1, 399, 400, 500, 511, 520, 1000, 1030, 2040, 2100, 4000, 9000):
+        base = rng.integers(0, 2**63, n, dtype=np.uint64)
+        for changed in (0, n // 20, n // 10, n // 4, n):
+            other = np.concatenate([base[changed:], rng.integers(0, 2**63, changed + n // 50, dtype=np.uint64)])
+            common = len(np.intersect1d(base, other))
+            linked = 100 * common >= 80 * (len(base) + len(other) - common)
+            wide = [ngram_join.wide_parity(ngram_join.parity_in_proportion(x), len(x)).tolist() for x in (base, other)]
+            rows.append((n, changed, linked, len(base), wide[0], len(other), wide[1]))
+    pairs = spark.createDataFrame(rows, "at int, changed int, linked boolean, n int, wide array<long>, l_n int, l_wide array<long>")
+    passes = ngram_join._wide_passes(F.col, lambda c: F.col(f"l_{c}"), 80)
+    got = pairs.select("at", "changed", "linked", passes.alias("passes")).collect()
+    assert sum(r["linked"] for r in got) > 20 and all(r["passes"] for r in got if r["linked"])
+    assert not any(r["passes"] for r in got if r["changed"] == r["at"] and 500 <= r["at"] <= 4000)
+
+
+def test_long_documents_with_a_common_passage_do_not_become_pairs(spark, monkeypatch):
+    rng = random.Random(11)
+    common = " ".join(f"c{i}" for i in range(300))
+    rows = [(i, common + " " + " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(900))) for i in range(12)]
+    rows.append((12, rows[5][1].replace(" c150 ", " other ")))
+    made, plain = [], ngram_join._pairs
+
+    def counted(labelled, percent):
+        pairs = plain(labelled, percent)
+        made.append(pairs.distinct().count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "_pairs", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in ngram_join.near_duplicates(docs, 5, 80, 25).collect()}
+    assert found == {**{i: i for i in range(12)}, 12: 5}
+    assert made == [0]
+
+
 def test_join_of_odd_tables(with_repeats, empty):
     assert ngram_join.near_duplicates(empty, 3, 90).collect() == []
     got = [r for r in ngram_join.near_duplicates(with_repeats, 3, 90).collect()]
