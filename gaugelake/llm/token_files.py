@@ -87,11 +87,15 @@ def read_document(block: bytes, place: int) -> np.ndarray:
 
 
 def encode_documents(docs: DataFrame, path: str, kind: str, end_id: int, bits: int) -> DataFrame:
-    """doc_id and its ids as little-endian bytes of 2 or 4 each."""
+    """doc_id and its ids as little-endian bytes of 2 or 4 each.
+
+    Idle workers stay beside those of later stages, so a worker gives back what it no longer uses after each batch of
+    texts, and keeps no words once its task is done.
+    """
     wide = "<u2" if bits <= 16 else "<u4"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path, kind)
+        own, pool = encoder(path, kind), pa.default_memory_pool()
         for whole in batches:
             for batch in text_batches(whole, "text"):
                 ids = [np.append(found, np.uint32(end_id)).astype(wide).tobytes()
@@ -99,6 +103,9 @@ def encode_documents(docs: DataFrame, path: str, kind: str, end_id: int, bits: i
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("shard"), batch.column("doc_id"), pa.array(ids, pa.binary())],
                     ["shard", "doc_id", "ids"])
+                pool.release_unused()
+        own.forget()
+        pool.release_unused()
 
     return docs.select("shard", "doc_id", "text").mapInArrow(encode, "shard int, doc_id long, ids binary")
 

@@ -133,6 +133,28 @@ def test_token_files(spark, docs, rows, with_repeats, empty):
     assert token_files.read_index(none).collect() == []
 
 
+def test_workers_keep_no_words_of_token_files(rows):
+    batch = pa.table({"shard": pa.array([0] * len(rows), pa.int32()), "doc_id": pa.array([r[0] for r in rows], pa.int64()),
+                      "text": pa.array([r[1] for r in rows], pa.string())}).to_batches()[0]
+
+    class InThisProcess:
+        """Runs the task of mapInArrow here, on the batch above."""
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, task, schema):
+            return list(task(iter([batch, batch])))
+
+    path = encoding.public_path(token_files.TOKENIZER)
+    own = encoding.encoder(path, "word")
+    found = token_files.encode_documents(InThisProcess(), path, "word", token_files.END_ID, 16)
+    assert not (own.pieces.recent or own.pieces.older or own.pieces.signs)
+    ids = [raw for part in found for raw in part.column("ids").to_pylist()]
+    wanted = [np.append(own.encode(r[1] or ""), token_files.END_ID).astype("<u2").tobytes() for r in rows]
+    assert ids == wanted * 2
+
+
 def test_running_before(spark):
     rng = random.Random(1)
     made = [(rng.choice([None, *range(60)]), rng.randint(0, 9), i) for i in range(300)]
