@@ -28,7 +28,7 @@ def stream_raw(spark: SparkSession, root: str, multiline: bool = False,
     ])
     reader = (
         spark.readStream.schema(schema).option("multiLine", multiline)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", raw.RAW_FILES)
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     )
     if max_files:
