@@ -12,9 +12,10 @@ from gaugelake.plans.jobs import REFINED_ORDER, SILVER_CODES
 from gaugelake.schema import CORRUPT_COLUMN, RAW_DOCUMENT
 from gaugelake.session import configure
 from gaugelake.sources import raw, tables
+from gaugelake.sources.snapshots import Snapshots
 
 
-MOST_FILES = 10_000  # of a batch
+MOST_FILES = raw.SMALL_FILES  # of a batch; each batch costs some passes over lists of files and versions
 
 
 def stream_raw(spark: SparkSession, root: str, multiline: bool = False,
@@ -62,10 +63,14 @@ def upsert(batch: DataFrame, path: str, layout: list[str] = tables.BY_YEAR, keep
     """
     if keep not in KEEP:
         raise ValueError(f"keep is one of {KEEP}")
-    spark = batch.sparkSession
-    table, schema = tables.stored(spark, path, layout), tables.silver_schema(layout)
+    table = tables.stored(batch.sparkSession, path, layout)
     base = table.version()
-    commit = table.stage(tables.clustered(batch, layout))
+    return _publish(table, table.stage(tables.clustered(batch, layout)), base, layout, keep)
+
+
+def _publish(table: Snapshots, commit: str, base: int, layout: list[str], keep: str) -> list[str | None]:
+    """The second part of ``upsert``, for a batch that is staged beside version ``base`` of the table."""
+    schema = tables.silver_schema(layout)
     new = table.staged(commit, schema)
     days = [row[0] for row in new.select(F.to_date("timestamp").cast("string")).distinct().collect()]
     if not base:
@@ -129,14 +134,28 @@ def incremental_load(spark: SparkSession, raw_root: str, silver_path: str, check
     """
     configure(spark)
 
-    def load(docs: DataFrame, batch_id: int) -> None:
-        if multiline is None:
-            docs = raw.reread_pretty_printed(docs, raw_root)
-        docs, counts = raw.counted(docs)
-        good, bad, _ = raw.isolate_bad_files(docs)
+    if keep not in KEEP:
+        raise ValueError(f"keep is one of {KEEP}")
+    table = tables.stored(spark, silver_path, layout)
+
+    def staged(docs: DataFrame) -> str:
+        good, _, _ = raw.isolate_bad_files(docs)
+        return table.stage(tables.clustered(silver.to_silver(refined_rows(good), order_by, sentinel_first), layout))
+
+    def load(read: DataFrame, batch_id: int) -> None:
+        base = table.version()
+        docs, counts = raw.counted(read)
+        commit = staged(docs)
+        # pretty-printed files are looked for only where something did not parse line by line
+        if multiline is None and raw.losses(counts, docs)["bad"]:
+            either = raw.reread_pretty_printed(read, raw_root)
+            if either is not read:
+                table.discard(commit)
+                docs, counts = raw.counted(either)
+                commit = staged(docs)
         if quarantine is not None:
-            bad.write.mode("overwrite").json(f"{quarantine}/batch={batch_id}")
-        days = upsert(silver.to_silver(refined_rows(good), order_by, sentinel_first), silver_path, layout, keep)
+            raw.isolate_bad_files(docs)[1].write.mode("overwrite").json(f"{quarantine}/batch={batch_id}")
+        days = _publish(table, commit, base, layout, keep)
         if gold_path is not None:
             summaries.refresh(spark, silver_path, gold_path, days, layout)
         if quarantine is None:

@@ -10,6 +10,8 @@ from gaugelake import derive
 from gaugelake.entry.queries import OTHER_STATION, STATION, registered
 from gaugelake.operators import coverage
 from gaugelake.sources import raw
+from gaugelake.sources import tables as tables_of
+from gaugelake.streaming import incremental
 
 YEARS = (1996, 1998, 2001)
 
@@ -81,3 +83,13 @@ def test_shuffle_files_go_with_their_query(spark):
     from gaugelake.session import configure
 
     assert configure(spark).conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+
+
+def test_a_drop_that_parses_is_not_read_again_for_its_form(spark, tmp_path, monkeypatch):
+    root, silver, checkpoint = (str(tmp_path / name) for name in ("raw", "silver", "checkpoint"))
+    rows = observed(spark, 300, "concat('s', id % 3)", "timestamp_seconds(id * 3600)")
+    split = coverage.split_coverages(derive.responses(rows))
+    raw.land_raw(raw.with_metadata(split, None, "2025-01-01T00:00:00Z", "api", "c", 10), root, placed=True)
+    monkeypatch.setattr(raw, "reread_pretty_printed", lambda *_: pytest.fail("read again"))
+    incremental.incremental_load(spark, root, silver, checkpoint)
+    assert tables_of.scan_silver(spark, silver).count() == 300
